@@ -79,27 +79,35 @@ MALFORMED_TRUNCATED = "comment_id % 29 = 11"
 MALFORMED_ARRAY = "comment_id % 31 = 13"
 EMPTY_OBJECT = "comment_id % 37 = 17"
 
-# Spark-only: LLM response text per comment = v_aspects grouped by comment -> to_json -> fenced.
+# LLM response text per comment: the comment's aspects rendered as a JSON object,
+# fenced in one of three styles, with the breakages above injected.  Built with
+# plain string functions so Spark and DuckDB produce byte-identical text; only
+# the ordered string aggregate differs by dialect ({agg}).
+SPARK_ITEMS_AGG = ("array_join(transform(array_sort(collect_list(named_struct('s', seq, 'i', item))), "
+                   "x -> x.i), ', ')")
+DUCK_ITEMS_AGG = "string_agg(item, ', ' ORDER BY seq)"
 V_RESPONSES = f"""
-WITH g AS (
-  SELECT comment_id,
-         to_json(named_struct('aspects', transform(array_sort(collect_list(
-             struct(seq, aspect, sentiment, evidence, confidence))),
-             x -> named_struct('aspect', x.aspect, 'sentiment', x.sentiment,
-                               'evidence', x.evidence, 'confidence', x.confidence)))) AS body
-  FROM v_aspects GROUP BY comment_id
+WITH a AS (
+  SELECT comment_id, seq,
+         concat('{{"aspect": "', aspect, '", "sentiment": "', sentiment, '", "evidence": "',
+                replace(evidence, '"', concat(chr(92), '"')), '"',
+                CASE WHEN confidence IS NULL THEN '' ELSE concat(', "confidence": ', printf('%.4f', confidence)) END,
+                '}}') AS item
+  FROM v_aspects
+), g AS (
+  SELECT comment_id, concat('{{"aspects": [', {{agg}}, ']}}') AS body FROM a GROUP BY comment_id
 ), b AS (
   SELECT comment_id,
-         CASE WHEN {MALFORMED_TRUNCATED} THEN substring(body, 1, CAST(length(body) / 2 AS INT))
+         CASE WHEN {MALFORMED_TRUNCATED} THEN substring(body, 1, CAST(floor(length(body) / 2) AS INT))
               WHEN {MALFORMED_ARRAY} THEN concat('[', body, ']')
               WHEN {EMPTY_OBJECT} THEN '{{}}'
               ELSE body END AS body
   FROM g
 )
 SELECT comment_id,
-       concat(CASE WHEN comment_id % 3 = 0 THEN concat('```json\\n', body, '\\n```')
-                   WHEN comment_id % 3 = 1 THEN concat('```\\n', body, '\\n```')
-                   ELSE concat('  ', body, '\\n') END,
+       concat(CASE WHEN comment_id % 3 = 0 THEN concat('```json', chr(10), body, chr(10), '```')
+                   WHEN comment_id % 3 = 1 THEN concat('```', chr(10), body, chr(10), '```')
+                   ELSE concat('  ', body, chr(10)) END,
               CASE WHEN {MALFORMED_TRAILING} THEN ' Let me know if you need anything else.' ELSE '' END)
          AS response_text
 FROM b
@@ -123,7 +131,7 @@ def register(spark: SparkSession, sf_dir: str) -> None:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
     for name, sql in VIEWS.items():
         spark.sql(sql).createOrReplaceTempView(name)
-    spark.sql(V_RESPONSES).createOrReplaceTempView("v_responses")
+    spark.sql(V_RESPONSES.replace("{agg}", SPARK_ITEMS_AGG)).createOrReplaceTempView("v_responses")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,5 +146,9 @@ def cte(*names: str) -> str:
     need = set(names)
     if "v_insights" in need:
         need.add("v_aspects")
+    if "v_responses" in need:
+        need.add("v_aspects")
     parts = [f"{n} AS ({VIEWS[n].strip()})" for n in order if n in need]
+    if "v_responses" in names:
+        parts.append("v_responses AS (" + V_RESPONSES.replace("{agg}", DUCK_ITEMS_AGG).strip() + ")")
     return "WITH " + ",\n".join(parts) + "\n" if parts else ""
