@@ -69,3 +69,16 @@ def cost_ledger(runs: DataFrame, order: Sequence[str], budget_usd: float = cost.
 def append_run(runs: DataFrame, path: str) -> None:
     """Append runs to the ledger table (append-only parquet)."""
     runs.write.mode("append").parquet(path)
+
+
+def cost_efficiency(df: DataFrame, budget_usd: float = cost.BUDGET_USD) -> DataFrame:
+    """Cost per comment / aspect / cluster and budget use, from a one-row frame of totals
+    (``total_cost_usd, n_comments, n_aspects, n_clusters``)."""
+    total = F.col("total_cost_usd")
+    return df.select(
+        total.alias("total_cost_usd"),
+        F.try_divide(total, F.col("n_comments")).alias("cost_per_comment"),
+        F.try_divide(total, F.col("n_aspects")).alias("cost_per_aspect"),
+        F.try_divide(total, F.col("n_clusters")).alias("cost_per_cluster"),
+        (total / F.lit(budget_usd) * 100.0).alias("budget_used_pct"),
+        (F.lit(budget_usd) - total).alias("budget_remaining"))
