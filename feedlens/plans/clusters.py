@@ -1 +1,231 @@
-"""placeholder"""
+"""Cluster statistics, quality metrics, clustering and insight queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedlens.functions import prompts, ratings
+from feedlens.functions.hashing import seeded_key_sql
+from feedlens.operators import clustering, insights, quality
+from feedlens.plans.aspects import ASPECTS_SQL, aspect_rows
+from feedlens.plans.fixtures import cte
+from feedlens.plans.registry import query, r6
+
+SIZES_SQL = ASPECTS_SQL + ", sz AS (SELECT cluster_id, count(*) AS size FROM a GROUP BY cluster_id)\n"
+VEC_SQL = cte("v_vectors") + ", p AS (SELECT vec_id, cluster_id, CAST(v AS DOUBLE[]) AS v FROM v_vectors)\n"
+SQDIST = "list_sum(list_transform(list_zip({a}, {b}), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"
+
+
+def sizes(spark):
+    return quality.cluster_sizes(aspect_rows(spark))
+
+
+def vecs(spark):
+    return spark.table("v_vectors")
+
+
+@query("cluster_size_stats", SIZES_SQL + f"""
+SELECT count(*) AS num_clusters, min(size) AS min_size, max(size) AS max_size, {r6('avg(size)')} AS mean_size,
+       {r6('quantile_cont(size, 0.5)')} AS median_size FROM sz""")
+def q_cluster_size_stats(spark, sf_dir):
+    return quality.size_stats(sizes(spark))
+
+
+@query("cluster_sizes", SIZES_SQL + "SELECT cluster_id, size FROM sz")
+def q_cluster_sizes(spark, sf_dir):
+    return sizes(spark)
+
+
+@query("cluster_sizes_legacy", SIZES_SQL + """
+, i AS (SELECT cluster_id, row_number() OVER (ORDER BY cluster_id) AS r FROM sz),
+s AS (SELECT size AS size_legacy, row_number() OVER (ORDER BY size) AS r FROM sz)
+SELECT i.cluster_id, s.size_legacy FROM i JOIN s ON i.r = s.r""")
+def q_cluster_sizes_legacy(spark, sf_dir):
+    """The reference's size table (sorted ids zipped with sorted sizes), kept for golden comparison."""
+    return quality.legacy_size_pairing(sizes(spark))
+
+
+@query("cluster_balance", SIZES_SQL + f"""
+SELECT min(size) AS min_size, max(size) AS max_size, {r6('avg(size)')} AS mean_size,
+       {r6('quantile_cont(size, 0.5)')} AS median_size, {r6('max(size) / min(size)')} AS range_ratio,
+       {r6('stddev_pop(size) / avg(size)')} AS coefficient_variation FROM sz""")
+def q_cluster_balance(spark, sf_dir):
+    return quality.size_balance(sizes(spark))
+
+
+DOM_SQL = ASPECTS_SQL + """
+, cs AS (SELECT cluster_id, sentiment, count(*) AS n FROM a GROUP BY cluster_id, sentiment),
+dom AS (SELECT cluster_id, 100.0 * max(n) / sum(n) AS dominant_pct FROM cs GROUP BY cluster_id)
+"""
+
+
+@query("sentiment_coherence", DOM_SQL + f"""
+SELECT {r6('avg(dominant_pct)')} AS mean_dominant_pct, count(*) FILTER (WHERE dominant_pct > 70) AS clusters_gt_70,
+       count(*) FILTER (WHERE dominant_pct > 80) AS clusters_gt_80, count(*) AS total_clusters FROM dom""")
+def q_sentiment_coherence(spark, sf_dir):
+    return quality.sentiment_coherence(aspect_rows(spark))
+
+
+@query("top_coherent", DOM_SQL + f"""
+SELECT cluster_id, {r6('dominant_pct')} AS dominant_pct, CAST(rk AS INT) AS rank,
+       concat('Cluster ', CAST(cluster_id AS VARCHAR), ': ', {prompts.fmt_sql('dominant_pct', 0)}, '% dominant') AS label
+FROM (SELECT *, row_number() OVER (ORDER BY dominant_pct DESC, cluster_id) AS rk FROM dom) WHERE rk <= 5""")
+def q_top_coherent(spark, sf_dir):
+    return quality.top_coherent(aspect_rows(spark), 5).withColumn("rank", F.col("rank").cast("int"))
+
+
+@query("cluster_coverage", cte("v_vectors") + f"""
+SELECT count(*) AS total_input, count(cluster_id) AS total_aspects_clustered,
+       count(DISTINCT cluster_id) AS num_clusters, {r6('100.0 * count(cluster_id) / count(*)')} AS coverage_pct,
+       {ratings.ladder_sql('cluster_coverage_pct', r6('100.0 * count(cluster_id) / count(*)'))} AS rating
+FROM v_vectors""")
+def q_cluster_coverage(spark, sf_dir):
+    """Clustered / input rows; the denominator is the input table's own count (not a constant)."""
+    cov = quality.coverage(vecs(spark))
+    return cov.withColumn("coverage_pct", F.round("coverage_pct", 6)).withColumn(
+        "rating", ratings.rate("cluster_coverage_pct", "coverage_pct"))
+
+
+CENT_SQL = VEC_SQL + """
+, e AS (SELECT cluster_id, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM p),
+c AS (SELECT cluster_id, pos, avg(x) AS m, count(*) AS size FROM e GROUP BY cluster_id, pos),
+cv AS (SELECT cluster_id, list(m ORDER BY pos) AS cen FROM c GROUP BY cluster_id)
+"""
+
+
+@query("centroids", CENT_SQL + f"""
+SELECT cluster_id, size, CAST(pos - 1 AS INT) AS pos, {r6('m')} AS value FROM c""")
+def q_centroids(spark, sf_dir):
+    c = quality.centroids(vecs(spark))
+    return c.select("cluster_id", "size", F.posexplode("centroid").alias("pos", "value"))
+
+
+@query("davies_bouldin", CENT_SQL + f"""
+, s AS (SELECT p.cluster_id, avg(sqrt({SQDIST.format(a='p.v', b='cv.cen')})) AS s
+        FROM p JOIN cv ON p.cluster_id = cv.cluster_id GROUP BY p.cluster_id),
+pr AS (SELECT a.cluster_id AS i, (sa.s + sb.s) / sqrt({SQDIST.format(a='a.cen', b='b.cen')}) AS r
+       FROM cv a JOIN cv b ON a.cluster_id <> b.cluster_id
+       JOIN s sa ON sa.cluster_id = a.cluster_id JOIN s sb ON sb.cluster_id = b.cluster_id)
+SELECT {r6('avg(mx)')} AS davies_bouldin, CAST(count(*) AS INT) AS num_clusters
+FROM (SELECT i, max(r) AS mx FROM pr GROUP BY i)""")
+def q_davies_bouldin(spark, sf_dir):
+    return quality.davies_bouldin(vecs(spark))
+
+
+@query("silhouette_exact", VEC_SQL + f"""
+, d AS (SELECT a.vec_id, a.cluster_id AS own, b.cluster_id AS other, sqrt({SQDIST.format(a='a.v', b='b.v')}) AS dist
+        FROM p a, p b),
+g AS (SELECT vec_id, own, other, sum(dist) AS s, count(*) AS c FROM d GROUP BY vec_id, own, other),
+pp AS (SELECT vec_id, own, sum(CASE WHEN other = own THEN s END) AS a_sum, sum(CASE WHEN other = own THEN c END) AS own_n,
+              min(CASE WHEN other <> own THEN s / c END) AS b FROM g GROUP BY vec_id, own),
+ss AS (SELECT CASE WHEN own_n <= 1 THEN 0.0
+                   ELSE (b - a_sum / (own_n - 1)) / greatest(a_sum / (own_n - 1), b) END AS s FROM pp)
+SELECT {r6('avg(s)')} AS silhouette, count(*) AS n FROM ss""")
+def q_silhouette_exact(spark, sf_dir):
+    """Exact Euclidean silhouette via blocked pairwise distances (no pair rows)."""
+    return quality.silhouette_exact(vecs(spark), "vec_id", block_size=256)
+
+
+@query("silhouette_sq")
+def q_silhouette_sq(spark, sf_dir):
+    """Spark ML silhouette (squared Euclidean, linear time) - the large-N mode."""
+    return quality.silhouette_squared(vecs(spark))
+
+
+LLOYD_K = 8
+
+
+@query("kmeans_lloyd_step", cte() + f"""
+WITH p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+c AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INT) AS center, v AS cv FROM p
+      QUALIFY row_number() OVER (ORDER BY vec_id) <= {LLOYD_K}),
+d AS (SELECT p.vec_id, p.v, c.center, {SQDIST.format(a='p.v', b='c.cv')} AS dd FROM p, c),
+a AS (SELECT vec_id, v, center FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dd, center) = 1),
+e AS (SELECT center, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a)
+SELECT center, count(*) AS size, CAST(pos - 1 AS INT) AS pos, {r6('avg(x)')} AS value FROM e GROUP BY center, pos""")
+def q_kmeans_lloyd_step(spark, sf_dir):
+    """One Lloyd step from the first 8 vectors (by id) as centres."""
+    v = vecs(spark)
+    first = [list(r["v"]) for r in v.orderBy("vec_id").limit(LLOYD_K).select("v").collect()]
+    new = clustering.lloyd_step(v, first)
+    return new.select(F.col("center").cast("int").alias("center"), "size",
+                      F.posexplode("centroid").alias("pos", "value"))
+
+
+@query("kmeans_sizes")
+def q_kmeans_sizes(spark, sf_dir):
+    """Spark ML k-means (k=8, best of 10 k-means|| runs from seed 42): cluster sizes."""
+    v = vecs(spark).select("vec_id", "v")
+    model = clustering.kmeans_fit(v, 8, seed=42, n_init=10)
+    return quality.cluster_sizes(clustering.assign(model, v))
+
+
+@query("hierarchical_sizes")
+def q_hierarchical_sizes(spark, sf_dir):
+    """Divisive hierarchical clustering into 20 clusters (bisecting k-means): sizes."""
+    return quality.cluster_sizes(clustering.bisecting(vecs(spark).select("vec_id", "v"), k=20))
+
+
+@query("cluster_assign_join", cte("v_vectors", "v_aspects") + """
+SELECT p.vec_id, p.cluster_id, a.aspect, a.sentiment FROM v_vectors p JOIN v_aspects a ON a.seq = p.vec_id""")
+def q_cluster_assign_join(spark, sf_dir):
+    """Labels joined back to aspects by id (replaces the positional zip)."""
+    labels = vecs(spark).select("vec_id", "cluster_id")
+    asp = spark.table("v_aspects").select(F.col("seq").alias("vec_id"), "aspect", "sentiment")
+    return labels.join(asp, "vec_id")
+
+
+def _prompt_sql():
+    tpl = "'" + prompts.INSIGHT_TEMPLATE.replace("'", "''") + "'"
+    return ASPECTS_SQL + f"""
+, sz AS (SELECT cluster_id, CAST(ceil(count(*) / 500.0) AS BIGINT) AS nch FROM a GROUP BY cluster_id),
+l AS (SELECT a.cluster_id, CAST(({seeded_key_sql('a.seq', 11)}) % sz.nch AS INT) AS chunk, a.seq, a.sentiment,
+             concat('- ', a.aspect, ' (', a.sentiment, ', confidence: ', {prompts.fmt_sql('a.confidence', 2)}, ')') AS line
+      FROM a JOIN sz ON a.cluster_id = sz.cluster_id),
+pr AS (SELECT cluster_id, chunk, count(*) AS n_lines,
+              replace({tpl}, '{{aspects}}', string_agg(line, chr(10) ORDER BY seq)) AS prompt
+       FROM l GROUP BY cluster_id, chunk)
+"""
+
+
+@query("render_cluster_prompt", _prompt_sql() + """
+SELECT cluster_id, chunk, n_lines, sha256(concat('stub-model', chr(1), prompt)) AS request_id FROM pr""")
+def q_render_cluster_prompt(spark, sf_dir):
+    """One insight prompt per (cluster, chunk of <= ~500 lines), lines in appearance order."""
+    p = insights.cluster_prompts(aspect_rows(spark))
+    return p.select("cluster_id", "chunk", "n_lines", "request_id")
+
+
+INSIGHT_SQL = _prompt_sql() + """
+, sc AS (SELECT cluster_id, chunk, sentiment, count(*) AS k FROM l GROUP BY cluster_id, chunk, sentiment),
+top AS (SELECT cluster_id, chunk, sentiment FROM sc
+        QUALIFY row_number() OVER (PARTITION BY cluster_id, chunk ORDER BY k DESC, sentiment) = 1),
+ins AS (SELECT pr.cluster_id, pr.chunk, pr.n_lines, top.sentiment,
+               CASE WHEN pr.n_lines % 7 = 3 THEN 'error' ELSE 'success' END AS status
+        FROM pr JOIN top ON pr.cluster_id = top.cluster_id AND pr.chunk = top.chunk)
+"""
+
+
+@query("insight_stub", INSIGHT_SQL + """
+SELECT cluster_id, chunk, status,
+       CASE WHEN status = 'success' THEN concat('group of ', CAST(n_lines AS VARCHAR), ' aspects') END AS cluster_name,
+       CASE WHEN status = 'success' THEN sentiment END AS primary_sentiment FROM ins""")
+def q_insight_stub(spark, sf_dir):
+    """Insight per cluster chunk from an offline model; truncated answers become error rows."""
+    p = insights.cluster_prompts(aspect_rows(spark))
+    out = insights.generate_insights(p, insights.InsightStubClient)
+    return out.select("cluster_id", "chunk", "status", "cluster_name", "primary_sentiment")
+
+
+@query("insight_success", INSIGHT_SQL + f"""
+SELECT count(*) AS total_clusters, count(*) FILTER (WHERE status = 'success') AS successful_insights,
+       count(*) FILTER (WHERE status <> 'success') AS failed_insights,
+       {r6("count(*) FILTER (WHERE status = 'success') / count(*)")} AS success_rate,
+       {ratings.ladder_sql('interpretability_rate', r6("count(*) FILTER (WHERE status = 'success') / count(*)"))} AS rating
+FROM ins""")
+def q_insight_success(spark, sf_dir):
+    """Interpretability: share of clusters with a parsed insight, rated."""
+    p = insights.cluster_prompts(aspect_rows(spark))
+    s = insights.insight_success(insights.generate_insights(p, insights.InsightStubClient))
+    return (s.withColumn("success_rate", F.round("success_rate", 6))
+            .withColumn("rating", ratings.rate("interpretability_rate", "success_rate")))
