@@ -15,26 +15,23 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _drop_prefix(s: Column, n: int) -> Column:
-    return s.substr(F.lit(n + 1), F.greatest(F.length(s) - n, F.lit(0)))
+_WS = r"[\s\x1c-\x1f]"
+# Variant A as one pattern: strip, optional leading ```json / ```, optional trailing ```, strip.
+FENCE_A = r"(?sU)^" + _WS + r"*(?:```json|```)?" + _WS + r"*(.*?)" + _WS + r"*(?:```)?" + _WS + r"*$"
+# Variant B: text between the first fence and the next one (or the end), minus a leading 'json'.
+FENCE_B_START = r"(?sU)^" + _WS + r"*```"
+FENCE_B = r"(?sU)^" + _WS + r"*```(?:json)?(.*?)(?:```|\z)"
 
 
 def strip_fence_a(col) -> Column:
     """Variant A: strip; drop a leading ```json or ``` and a trailing ```; strip again."""
-    s = strip_ws(_c(col))
-    s = (F.when(s.startswith(FENCE + "json"), _drop_prefix(s, 7))
-         .when(s.startswith(FENCE), _drop_prefix(s, 3))
-         .otherwise(s))
-    s = F.when(s.endswith(FENCE), s.substr(F.lit(1), F.length(s) - 3)).otherwise(s)
-    return strip_ws(s)
+    return F.regexp_extract(_c(col), FENCE_A, 1)
 
 
 def strip_fence_b(col) -> Column:
     """Variant B: strip; when fenced keep the text between the first two fences, drop a leading 'json'."""
-    s = strip_ws(_c(col))
-    inner = F.element_at(F.split(s, FENCE, -1), 2)
-    inner = F.when(inner.startswith("json"), _drop_prefix(inner, 4)).otherwise(inner)
-    return F.when(s.startswith(FENCE), inner).otherwise(s)
+    c = _c(col)
+    return F.when(c.rlike(FENCE_B_START), F.regexp_extract(c, FENCE_B, 1)).otherwise(strip_ws(c))
 
 
 def strict_from_json(col, schema: T.StructType) -> Column:
@@ -42,14 +39,27 @@ def strict_from_json(col, schema: T.StructType) -> Column:
 
     ``from_json`` alone accepts trailing text after the object.  Wrapping the
     text in ``[...]`` and requiring exactly one non-null element rejects
-    trailing text, several values and top-level arrays or scalars.
+    trailing text, several values and top-level arrays or scalars.  (Column
+    form; ``parse_strict`` is the DataFrame form that parses once per row.)
     """
     arr = F.from_json(F.concat(F.lit("["), _c(col), F.lit("]")), T.ArrayType(schema))
     first = F.element_at(arr, 1)
-    ok = (F.size(arr) == 1) & first.isNotNull() & strip_ws(_c(col)).startswith("{")
+    ok = (F.size(arr) == 1) & first.isNotNull() & _c(col).rlike(r"(?sU)^" + _WS + r"*\{")
     return F.when(ok, first)
 
 
+def parse_strict(df, col: str, schema: T.StructType, out: str):
+    """Add ``out`` = the single JSON object in ``col`` parsed into ``schema`` (null otherwise).
+
+    The parsed array is its own projection, so the JSON text is parsed once
+    per row rather than once per reference.
+    """
+    wrapped = df.withColumn("_arr", F.from_json(F.concat(F.lit("["), F.col(col), F.lit("]")), T.ArrayType(schema)))
+    first = F.element_at("_arr", 1)
+    ok = (F.size("_arr") == 1) & first.isNotNull() & F.col(col).rlike(r"(?sU)^" + _WS + r"*\{")
+    return wrapped.withColumn(out, F.when(ok, first)).drop("_arr")
+
+
 # Response schemas: numbers are read as text and converted with try_cast, so a
 # quoted number ("0.9") and a bare number (0.9) both survive.
 ASPECT_FIELDS = T.StructType([

@@ -68,21 +68,30 @@ def normalize_name(col, word_boundary: bool = False) -> Column:
 
 
 def contains_count(lower_text: Column, words: Iterable[str]) -> Column:
-    """How many distinct words occur as substrings of ``lower_text``."""
-    terms = [F.when(F.instr(lower_text, w) > 0, 1).otherwise(0) for w in dict.fromkeys(words)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
+    """How many distinct words occur as substrings of ``lower_text`` (already lower-cased)."""
+    arr = F.array(*[F.lit(w) for w in dict.fromkeys(words)])
+    return F.aggregate(arr, F.lit(0), lambda acc, w: acc + F.when(F.instr(lower_text, w) > 0, 1).otherwise(0))
+
+
+def lexicon_counts(df, col: str, positive: Iterable[str] = POSITIVE_WORDS,
+                   negative: Iterable[str] = NEGATIVE_WORDS, pos_out: str = "pos_hits", neg_out: str = "neg_hits"):
+    """Add positive/negative lexicon hit counts; the text is lower-cased once in its own projection."""
+    lt = df.withColumn("_lt", F.lower(_c(col)))
+    return (lt.withColumn(pos_out, contains_count(F.col("_lt"), positive))
+            .withColumn(neg_out, contains_count(F.col("_lt"), negative)).drop("_lt"))
+
+
+def polarity(pos, neg) -> Column:
+    """Larger side wins; a tie is neutral."""
+    p, n = _c(pos), _c(neg)
+    return F.when(p > n, "positive").when(n > p, "negative").otherwise("neutral")
 
 
 def lexicon_polarity(col, positive: Iterable[str] = POSITIVE_WORDS,
                      negative: Iterable[str] = NEGATIVE_WORDS) -> Column:
-    """'positive' / 'negative' / 'neutral' by counting lexicon words contained in the text."""
+    """'positive' / 'negative' / 'neutral' by counting lexicon words contained in the text (single column)."""
     lt = F.lower(_c(col))
-    pos = contains_count(lt, positive)
-    neg = contains_count(lt, negative)
-    return (F.when(pos > neg, "positive").when(neg > pos, "negative").otherwise("neutral"))
+    return polarity(contains_count(lt, positive), contains_count(lt, negative))
 
 
 def tokens(col, pattern: str = TOKEN_PATTERN) -> Column:

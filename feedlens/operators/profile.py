@@ -13,12 +13,14 @@ from feedlens.functions import binning, text
 def profile_text(df: DataFrame, text_col: str = "comment", edges: Sequence[float] = binning.SAMPLE_BINS[0],
                  labels: Sequence[str] = binning.SAMPLE_BINS[1]) -> DataFrame:
     """Add ``length, word_count, rough_sentiment, length_bin, length_bin_ord`` (narrow, no shuffle)."""
-    return (df
+    counted = text.lexicon_counts(df, text_col, pos_out="_pos", neg_out="_neg")
+    return (counted
             .withColumn("length", text.char_length(text_col))
             .withColumn("word_count", text.word_count(text_col))
-            .withColumn("rough_sentiment", text.lexicon_polarity(text_col))
+            .withColumn("rough_sentiment", text.polarity("_pos", "_neg"))
             .withColumn("length_bin", binning.bin_column("length", edges, labels))
-            .withColumn("length_bin_ord", binning.bin_ordinal("length", edges)))
+            .withColumn("length_bin_ord", binning.bin_ordinal("length", edges))
+            .drop("_pos", "_neg"))
 
 
 def share_pct(count_col: str = "n") -> F.Column:

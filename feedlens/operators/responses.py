@@ -19,8 +19,9 @@ def parse_responses(df: DataFrame, text_col: str = "response_text", schema: T.St
     row; the job never fails on bad model output.
     """
     strip = jsonparse.strip_fence_a if fence == "a" else jsonparse.strip_fence_b
-    parsed = jsonparse.strict_from_json(strip(text_col), schema)
-    return (df.withColumn(out, parsed)
+    clean = df.withColumn("_clean", strip(text_col))
+    parsed = jsonparse.parse_strict(clean, "_clean", schema, out).drop("_clean")
+    return (parsed
             .withColumn("status", F.when(F.col(out).isNull(), "error").otherwise("success"))
             .withColumn("error", F.when(F.col(out).isNull(), F.lit(PARSE_ERROR))))
 
@@ -35,8 +36,9 @@ def with_aspect_count(df: DataFrame, parsed: str = "parsed") -> DataFrame:
 def explode_aspects(df: DataFrame, keys: list[str], parsed: str = "parsed",
                     default_evidence: str = "", default_confidence: float = 0.5) -> DataFrame:
     """Successful rows -> one row per aspect with position; evidence/confidence defaults applied."""
-    ok = df.where(F.col("status") == "success")
-    ex = ok.select(*keys, F.posexplode(F.col(f"{parsed}.aspects")).alias("pos", "a"))
+    # error rows carry a null struct and explode to nothing: no filter needed (a
+    # status filter would be pushed below the parse and repeat it).
+    ex = df.select(*keys, F.posexplode(F.col(f"{parsed}.aspects")).alias("pos", "a"))
     return ex.select(
         *keys, "pos",
         F.col("a.aspect").alias("aspect"),

@@ -125,13 +125,45 @@ VIEWS = {
 }
 
 
+_REGISTERED: dict[int, str] = {}
+_SPREAD_MIN_BYTES = 8 << 20
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan; a large test file stored as a single row group is spread over the cores.
+
+    Parquet splits at row-group boundaries, so a one-row-group file is read by
+    a single task however many cores there are.  Production tables have many
+    row groups and are never touched by this (the check is on the file footer).
+    """
+    df = spark.read.parquet(path)
+    try:
+        import os
+
+        import pyarrow.parquet as pq
+        cores = spark.sparkContext.defaultParallelism
+        if os.path.getsize(path) >= _SPREAD_MIN_BYTES and pq.ParquetFile(path).num_row_groups < cores:
+            return df.repartition(cores)
+    except (OSError, ValueError, ImportError):
+        pass
+    return df
+
+
 def register(spark: SparkSession, sf_dir: str) -> None:
-    """Register the base tables and the fixture views as temp views (lazy parquet scans)."""
+    """Register the base tables and the fixture views as temp views (lazy parquet scans).
+
+    Registration is remembered per session and directory; switching the
+    directory re-registers everything.
+    """
+    key = id(spark)
+    if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists("v_responses"):
+        return
     for name in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        _scan(spark, f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
     for name, sql in VIEWS.items():
         spark.sql(sql).createOrReplaceTempView(name)
     spark.sql(V_RESPONSES.replace("{agg}", SPARK_ITEMS_AGG)).createOrReplaceTempView("v_responses")
+    _REGISTERED[key] = sf_dir
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
