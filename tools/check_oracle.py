@@ -5,7 +5,6 @@ usage: python tools/check_oracle.py [sf_dir] [name ...]
 
 from __future__ import annotations
 
-import math
 import os
 import sys
 import time
@@ -20,27 +19,7 @@ from feedlens.plans.fixtures import BASE_TABLES  # noqa: E402
 from feedlens.session import local_session  # noqa: E402
 
 
-def canon(v):
-    if v is None:
-        return "∅"
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "∅"
-        return f"{round(v, 6):.6f}"
-    if hasattr(v, "tolist"):
-        v = v.tolist()
-    if isinstance(v, (list, tuple)):
-        return "[" + ",".join(canon(x) for x in v) + "]"
-    if isinstance(v, dict):
-        return "{" + ",".join(f"{k}:{canon(x)}" for k, x in sorted(v.items())) + "}"
-    if hasattr(v, "asDict"):
-        return canon(v.asDict())
-    return str(v)
-
-
-def rows_of(cols, records):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted(tuple(canon(r[i]) for i in order) for r in records)
+from feedlens.plans.compare import compare  # noqa: E402
 
 
 def main():
@@ -78,16 +57,7 @@ def main():
             print(f"FAIL {name}: duckdb error {e!r}"[:2000])
             bad += 1
             continue
-        problems = []
-        if sorted(scols) != sorted(dcols):
-            problems.append(f"cols spark={sorted(scols)} duck={sorted(dcols)}")
-        if len(srows) != len(drows):
-            problems.append(f"rows spark={len(srows)} duck={len(drows)}")
-        if not problems:
-            a, b = rows_of(scols, srows), rows_of(dcols, drows)
-            if a != b:
-                diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
-                problems.append(f"values differ, e.g. {diff}")
+        problems = compare(scols, srows, dcols, drows)
         st = dict(zip(scols, stypes))
         dt = dict(zip(dcols, dtypes))
         types = " ".join(f"{c}:{st.get(c)}/{dt.get(c)}" for c in sorted(scols))
