@@ -229,3 +229,56 @@ def q_insight_success(spark, sf_dir):
     s = insights.insight_success(insights.generate_insights(p, insights.InsightStubClient))
     return (s.withColumn("success_rate", F.round("success_rate", 6))
             .withColumn("rating", ratings.rate("interpretability_rate", "success_rate")))
+
+
+# ---------------------------------------------------------------- density, embeddings, report
+
+DENSITY_EPS = 1.15
+DENSITY_MIN = 3
+
+
+@query("density_clusters", VEC_SQL + f"""
+, e AS (SELECT a.vec_id AS s, b.vec_id AS d FROM p a, p b
+        WHERE a.vec_id <> b.vec_id AND sqrt({SQDIST.format(a='a.v', b='b.v')}) <= {DENSITY_EPS}),
+r AS (SELECT * FROM (
+  WITH RECURSIVE reach(v, lab) AS (
+    SELECT vec_id, vec_id FROM p
+    UNION
+    SELECT e.d, reach.lab FROM reach JOIN e ON e.s = reach.v)
+  SELECT v, min(lab) AS comp FROM reach GROUP BY v)),
+sz AS (SELECT comp, count(*) AS n FROM r GROUP BY comp)
+SELECT r.v AS vec_id, CAST(CASE WHEN sz.n >= {DENSITY_MIN} THEN r.comp ELSE -1 END AS BIGINT) AS cluster_id
+FROM r JOIN sz ON r.comp = sz.comp""")
+def q_density_clusters(spark, sf_dir):
+    """Exact eps-neighbour graph (eps = 1.15) -> connected components; components < 3 points are noise (-1)."""
+    from feedlens.operators import density
+    return density.density_clusters(vecs(spark), "vec_id", DENSITY_EPS, DENSITY_MIN, block_size=256)
+
+
+@query("embed_join", cte("v_aspects", "v_vectors") + f"""
+SELECT a.seq, a.aspect, CAST(len(x.v) AS INT) AS dim, {r6(f"sqrt({SQDIST.format(a='CAST(x.v AS DOUBLE[])', b='[0.0 for _ in range(len(x.v))]')})")} AS norm
+FROM v_aspects a JOIN v_vectors x ON x.vec_id = a.seq""")
+def q_embed_join(spark, sf_dir):
+    """Aspects get their vectors from a precomputed embeddings table, joined on the key."""
+    from feedlens.functions import vectors as vf
+    from feedlens.operators import embedding
+    asp = spark.table("v_aspects").select("seq", "aspect")
+    j = embedding.join_embeddings(asp, "seq", spark.table("embeddings"), "vec_id")
+    return j.select("seq", "aspect", F.size("v").alias("dim"), vf.norm("v").alias("norm"))
+
+
+@query("embed_hashing")
+def q_embed_hashing(spark, sf_dir):
+    """Spark-native text vectors (hashing TF-IDF, L2) for every comment: non-zeros and norm."""
+    from pyspark.ml.functions import vector_to_array  # noqa: F401  (kept for users converting to arrays)
+    from feedlens.operators import embedding
+    v = embedding.hashing_vectors(spark.table("v_comments"), "comment", num_features=1 << 12)
+    nnz = F.udf(lambda x: int(x.numNonzeros()) if x is not None else 0, "int")
+    return v.select("comment_id", nnz("features").alias("nnz"))
+
+
+@query("clustering_report")
+def q_clustering_report(spark, sf_dir):
+    """Nested one-row evaluation document (statistics, balance, coherence, silhouette, DB) as JSON."""
+    from feedlens.operators import reports
+    return reports.clustering_report(aspect_rows(spark), vecs(spark))

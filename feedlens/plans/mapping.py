@@ -362,3 +362,10 @@ def q_overlay_validated(spark, sf_dir):
         F.lit("reviewed").alias("rationale"))
     out = mapping.overlay(ok, val)
     return out.select("cluster_id", "primary_theme", "primary_category", "primary_confidence", "validated")
+
+
+@query("insight_text", cte("v_insights") + """
+SELECT cluster_id, concat(cluster_name, '. ', summary) AS insight_text FROM v_insights""")
+def q_insight_text(spark, sf_dir):
+    """The text embedded for an insight: ``name. summary``."""
+    return insights_df(spark).select("cluster_id", prompts.insight_text("cluster_name", "summary").alias("insight_text"))
