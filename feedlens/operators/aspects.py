@@ -29,13 +29,20 @@ def top_k_by_count(df: DataFrame, key: str, k: int, seq: str = "seq") -> DataFra
 
 
 def extraction_summary(ex: DataFrame, top_n: int = 20) -> DataFrame:
-    """Flat summary rows ``(section, key, rank, value)``: total, sentiment counts, top aspects."""
-    total = ex.agg(F.lit("total_aspects").alias("section"), F.lit(None).cast("string").alias("key"),
-                   F.lit(None).cast("int").alias("rank"), F.count("*").alias("value"))
-    sent = ex.groupBy("sentiment").agg(F.count("*").alias("value")).select(
+    """Flat summary rows ``(section, key, rank, value)``: total, sentiment counts, top aspects.
+
+    One grouped aggregate per (aspect, sentiment) feeds all three sections, so
+    the input is read and shuffled once (the exchange is reused).
+    """
+    per = ex.groupBy("aspect", "sentiment").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
+    total = per.agg(F.lit("total_aspects").alias("section"), F.lit(None).cast("string").alias("key"),
+                    F.lit(None).cast("int").alias("rank"), F.sum("n").cast("long").alias("value"))
+    sent = per.groupBy("sentiment").agg(F.sum("n").cast("long").alias("value")).select(
         F.lit("sentiment").alias("section"), F.col("sentiment").alias("key"), F.lit(None).cast("int").alias("rank"),
         "value")
-    top = top_k_by_count(ex, "aspect", top_n).select(
+    by_aspect = per.groupBy("aspect").agg(F.sum("n").cast("long").alias("n"), F.min("first_seq").alias("first_seq"))
+    top = by_aspect.orderBy(F.desc("n"), F.asc("first_seq")).limit(top_n)
+    top = _rank_small(top, [F.desc("n"), F.asc("first_seq")]).select(
         F.lit("top_aspect").alias("section"), F.col("aspect").alias("key"), "rank", F.col("n").alias("value"))
     return total.unionByName(sent).unionByName(top)
 

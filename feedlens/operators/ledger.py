@@ -50,9 +50,9 @@ def budget_cutoff(usage: DataFrame, limit_usd: float, batch_col: str = "batch_no
                                             F.sum("input_tokens").cast("long").alias("input_tokens"),
                                             F.sum("output_tokens").cast("long").alias("output_tokens"))
     cum = running_sum(per_batch, [batch_col], ["input_tokens", "output_tokens"], suffix="_cum")
-    cum = running_sum(cum, [batch_col], ["input_tokens", "output_tokens"], suffix="_before", exclusive=True)
     spent = F.round(cost.request_cost(F.col("input_tokens_cum"), F.col("output_tokens_cum")), 4)
-    before = F.round(cost.request_cost(F.col("input_tokens_before"), F.col("output_tokens_before")), 4)
+    before = F.round(cost.request_cost(F.col("input_tokens_cum") - F.col("input_tokens"),
+                                       F.col("output_tokens_cum") - F.col("output_tokens")), 4)
     return cum.select(batch_col, "n_requests", "input_tokens", "output_tokens",
                       spent.alias("cumulative_cost_usd"),
                       (before <= F.lit(limit_usd)).alias("run"))

@@ -44,7 +44,7 @@ def length_bins(df: DataFrame, value_col: str, edges: Sequence[float], labels: S
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str], sample_std: bool = True, approx: bool = False) -> DataFrame:
-    """One row per column: n, min, max, mean, median, std, p25, p75.
+    """One row per column: n, min, max, mean, median, std, p25, p75 - from a single scan.
 
     ``percentile`` is exact with linear interpolation (pandas ``quantile``); its
     state is a value->count map, so it stays small for low-cardinality columns
@@ -52,27 +52,33 @@ def numeric_profile(df: DataFrame, cols: Sequence[str], sample_std: bool = True,
     high-cardinality columns at very large N.
     """
     std = F.stddev_samp if sample_std else F.stddev_pop
-    rows = []
-    for c in cols:
+    aggs = []
+    for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        if approx:
-            q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
-            p25, med, p75 = q[0].cast("double"), q[1].cast("double"), q[2].cast("double")
-        else:
-            p25, med, p75 = F.percentile(x, 0.25), F.percentile(x, 0.5), F.percentile(x, 0.75)
-        rows.append(df.agg(
-            F.lit(c).alias("metric"), F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
-            F.avg(x).alias("mean"), med.alias("median"), std(x).alias("std"),
-            p25.alias("p25"), p75.alias("p75")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>") if approx
+             else F.percentile(x, [0.25, 0.5, 0.75]))
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 F.avg(x).alias(f"mean{i}"), std(x).alias(f"std{i}"), q.alias(f"q{i}")]
+    one = df.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("metric"), F.col(f"n{i}").alias("n"), F.col(f"lo{i}").alias("min"),
+                     F.col(f"hi{i}").alias("max"), F.col(f"mean{i}").alias("mean"),
+                     F.col(f"q{i}")[1].alias("median"), F.col(f"std{i}").alias("std"),
+                     F.col(f"q{i}")[0].alias("p25"), F.col(f"q{i}")[2].alias("p75")) for i, c in enumerate(cols)]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def text_digest(col) -> F.Column:
+    """SHA-256 of a text: an exact (collision-free in practice) 32-byte key for whole-text distinct counts."""
+    return F.sha2(F.col(col) if isinstance(col, str) else col, 256)
 
 
 def dup_counts(df: DataFrame, col: str) -> DataFrame:
-    """Total, distinct, duplicate rows and duplicate % of one column (exact distinct, partial agg)."""
-    per_value = df.groupBy(col).agg(F.count("*").alias("c"))
+    """Total, distinct, duplicate rows and duplicate % of one text column.
+
+    Texts are grouped by their SHA-256 digest, so the shuffle moves 32 bytes per
+    row instead of the whole text.
+    """
+    per_value = df.groupBy(text_digest(col).alias("_k")).agg(F.count("*").alias("c"))
     return per_value.agg(
         F.sum("c").cast("long").alias("total"),
         F.count("*").alias("unique"),
@@ -130,7 +136,7 @@ def boxplot_summary(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
 def data_summary(profiled: DataFrame, text_col: str) -> DataFrame:
     """One-row corpus summary (counts, length and word statistics)."""
     return profiled.agg(
-        F.count("*").alias("total_comments"), F.countDistinct(text_col).alias("unique_comments"),
+        F.count("*").alias("total_comments"), F.countDistinct(text_digest(text_col)).alias("unique_comments"),
         F.min("length").alias("min_length"), F.max("length").alias("max_length"),
         F.avg("length").alias("mean_length"), F.percentile("length", 0.5).alias("median_length"),
         F.min("word_count").alias("min_words"), F.max("word_count").alias("max_words"),

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import TOKEN_PATTERN, tokens
+from feedlens.session import ensure_checkpoint_dir
 
 
 @functools.lru_cache(maxsize=None)
@@ -41,11 +42,20 @@ def term_frequencies(df: DataFrame, id_col: str, text_col: str, stop_words=None,
 
 def top_terms(df: DataFrame, id_col: str, text_col: str, max_features: int = 50, top_n: int = 20,
               stop_words=None) -> DataFrame:
+    """Mean L2-normalised TF-IDF weight of the ``max_features`` most frequent terms; the ``top_n`` best.
+
+    Tokenising whole texts is the expensive step, so the (doc, term, tf) table
+    is computed once and checkpointed into the shared checkpoint dir; the
+    vocabulary (bounded by ``max_features``) is read from it and broadcast.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n_docs = df.select(id_col).count()
-    tf = term_frequencies(df, id_col, text_col, stop_words)
-    vocab = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
-             .orderBy(F.desc("total"), "term").limit(max_features))
-    # The vocabulary is bounded by max_features: broadcast it.
+    tf = term_frequencies(df, id_col, text_col, stop_words).checkpoint(eager=True)
+    vocab_rows = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
+                  .orderBy(F.desc("total"), "term").limit(max_features).collect())
+    vocab = spark.createDataFrame([(r["term"], int(r["total"]), int(r["df"])) for r in vocab_rows],
+                                  "term string, total long, df long")
     w = (tf.join(F.broadcast(vocab), "term")
          .withColumn("w", F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)))
     per_doc = Window.partitionBy("doc_id")
