@@ -122,8 +122,8 @@ def _block_distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     if left.empty or right.empty:
         return pd.DataFrame({f.name: pd.Series(dtype="int64" if f.name != "dsum" else "float64") for f in _PARTIAL})
     x = np.stack(left["v"].to_numpy()).astype(np.float64)
-    y = np.stack(right["v"].to_numpy()).astype(np.float64)
-    labels = right["cid"].to_numpy()
+    y = np.stack(right["rv"].to_numpy()).astype(np.float64)
+    labels = right["rcid"].to_numpy()
     out = []
     for lab in np.unique(labels):
         yy = y[labels == lab]
@@ -154,7 +154,7 @@ def silhouette_exact(points: DataFrame, id_col: str, vec_col: str = "v", cluster
     left = pts.withColumn("_o", seq).withColumn("_pair", F.col("_b") * blocks + F.col("_o"))
     right = pts.withColumn("_o", seq).withColumn("_pair", F.col("_o") * blocks + F.col("_b"))
     partial = (left.select("_pair", "pid", "cid", "v").groupBy("_pair")
-               .cogroup(right.select("_pair", "pid", "cid", "v").groupBy("_pair"))
+               .cogroup(right.select("_pair", F.col("cid").alias("rcid"), F.col("v").alias("rv")).groupBy("_pair"))
                .applyInPandas(_block_distances, _PARTIAL))
     per = partial.groupBy("pid", "own", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     own = F.col("other") == F.col("own")
