@@ -102,3 +102,41 @@ class ReplayClient:
     def complete(self, prompt: str):
         text = self.answers[prompt]
         return text, (len(prompt) + 3) // 4, len(text) // 4
+
+
+def run_budgeted(requests: DataFrame, client_factory: Callable[[], object], completions_path: str,
+                 order: list[str], batch_size: int, limit_usd: float, prompt_col: str = "prompt") -> dict:
+    """Live budget enforcement: call the model batch by batch (in ``order``), appending each batch's
+    completions to ``completions_path``; stop after the batch whose cumulative cost exceeds the limit
+    (that batch is kept, as in the reference loop).  Re-runs skip stored request ids.
+
+    Returns ``{"batches_run", "total_cost_usd", "stopped_by_budget"}``.  The batched requests are
+    written once as Parquet (in the shared checkpoint dir) in batch order, so each batch's filter
+    skips other batches' row groups by their statistics; each batch is one Spark job over its slice.
+    Use large batches on a cluster: every batch costs one job plus one read of the completion totals.
+    """
+    import uuid
+
+    from feedlens.functions import cost
+    from feedlens.operators.ledger import assign_batches
+    from feedlens.session import ensure_checkpoint_dir
+    spark = requests.sparkSession
+    staged = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedlens-batches-{uuid.uuid4().hex}"
+    assign_batches(requests, order, batch_size).sortWithinPartitions("batch_no").write.parquet(staged)
+    batched = spark.read.parquet(staged)
+    n_batches = batched.agg(F.max("batch_no")).first()[0]
+    spent, run = 0.0, 0
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(completions_path)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for b in range(0 if n_batches is None else n_batches + 1):
+        todo = batched.where(F.col("batch_no") == b)
+        if fs.exists(path):
+            todo = pending(todo, spark.read.parquet(completions_path))
+        complete(todo, client_factory, prompt_col).write.mode("append").parquet(completions_path)
+        run += 1
+        tok = spark.read.parquet(completions_path).agg(F.sum("input_tokens"), F.sum("output_tokens")).first()
+        spent = round((tok[0] or 0) * cost.INPUT_USD_PER_TOKEN + (tok[1] or 0) * cost.OUTPUT_USD_PER_TOKEN, 4)
+        if spent > limit_usd:
+            return {"batches_run": run, "total_cost_usd": spent, "stopped_by_budget": True}
+    return {"batches_run": run, "total_cost_usd": spent, "stopped_by_budget": False}

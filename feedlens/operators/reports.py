@@ -33,3 +33,35 @@ def clustering_report(members: DataFrame, points: DataFrame, id_col: str = "vec_
     doc = side_by_side(_struct(quality.size_stats(sizes), "cluster_statistics"), _struct(bal, "size_balance"),
                        _struct(coh, "sentiment_coherence"), _struct(sil, "silhouette"), _struct(db, "davies_bouldin"))
     return doc.select(F.to_json(F.struct(*doc.columns)).alias("report"))
+
+
+def extraction_report(parsed: DataFrame, ex: DataFrame, cost: DataFrame, n_comments_col: str = "status") -> DataFrame:
+    """Extraction evaluation: success rate, confidence, aspects per comment, sentiment balance, dedup, cost."""
+    from feedlens.operators import aspects, responses
+    succ = responses.success_counts(parsed).withColumn("rating", ratings.rate("extraction_success_rate", "success_rate"))
+    conf = aspects.confidence_stats(ex).withColumn("rating", ratings.rate("mean_aspect_confidence", "mean"))
+    apc = aspects.aspects_per_comment(parsed.where(F.col("status") == "success")) \
+        .withColumn("rating", ratings.rate("mean_aspects_per_comment", "mean_aspects"))
+    bal = ex.agg((F.lit(100.0) * F.count_if(F.col("sentiment") == "negative") / F.count("*")).alias("negative_pct"),
+                 (F.lit(100.0) * F.count_if(F.col("sentiment") == "positive") / F.count("*")).alias("positive_pct")) \
+        .withColumn("rating", ratings.rate("sentiment_balance", "negative_pct", "positive_pct"))
+    dup = aspects.dedup_potential(ex).withColumn("rating", ratings.rate("duplicate_pct", "duplicate_pct"))
+    doc = side_by_side(_struct(succ, "success_rate"), _struct(conf, "confidence_scores"),
+                       _struct(apc, "aspects_per_comment"), _struct(bal, "sentiment_distribution"),
+                       _struct(dup, "deduplication"), _struct(cost, "cost_summary"))
+    return doc.select(F.to_json(F.struct(*doc.columns)).alias("report"))
+
+
+def mapping_report(m: DataFrame, themes: DataFrame) -> DataFrame:
+    """Mapping evaluation: confidence, tiers, theme coverage, category balance, consistency."""
+    from feedlens.operators import mapping
+    conf = mapping.confidence_report(m).withColumn("rating", ratings.rate("mean_mapping_confidence", "mean")) \
+        .withColumn("tier_rating", ratings.rate("high_confidence_share_pct", "high_pct"))
+    cov = mapping.theme_coverage(m, themes).withColumn(
+        "rating", ratings.rate("theme_coverage", "coverage_pct", "categories_used"))
+    bal = mapping.category_balance(m).withColumn(
+        "rating", ratings.rate("category_balance", "max_category_pct", "min_category_pct"))
+    con = mapping.mapping_consistency(m).withColumn("rating", ratings.rate("consistency_score", "consistency_score"))
+    doc = side_by_side(_struct(conf, "confidence"), _struct(cov, "theme_coverage"), _struct(bal, "category_balance"),
+                       _struct(con, "consistency"))
+    return doc.select(F.to_json(F.struct(*doc.columns)).alias("report"))

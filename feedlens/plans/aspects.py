@@ -298,3 +298,12 @@ def _register_sql_oracles():
 
 
 _register_sql_oracles()
+
+
+@query("extraction_report")
+def q_extraction_report(spark, sf_dir):
+    """Extraction evaluation document (success, confidence, granularity, balance, dedup, cost) as JSON."""
+    from feedlens.operators import reports
+    p = parsed(spark)
+    ex = responses.explode_aspects(p, ["comment_id"])
+    return reports.extraction_report(p, ex, ledger.cost_summary(spark.table("v_usage")))

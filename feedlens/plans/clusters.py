@@ -282,3 +282,35 @@ def q_clustering_report(spark, sf_dir):
     """Nested one-row evaluation document (statistics, balance, coherence, silhouette, DB) as JSON."""
     from feedlens.operators import reports
     return reports.clustering_report(aspect_rows(spark), vecs(spark))
+
+
+SWEEP_KS = (3, 4, 5, 6)
+
+
+def _k_select_sql() -> str:
+    ks = ", ".join(str(k) for k in SWEEP_KS)
+    return VEC_SQL + f"""
+, ks AS (SELECT unnest([{ks}]) AS k),
+c AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INT) AS center, v AS cv FROM p
+      QUALIFY row_number() OVER (ORDER BY vec_id) <= {max(SWEEP_KS)}),
+asg AS (SELECT ks.k, p.vec_id, p.v, c.center FROM ks, p, c WHERE c.center < ks.k
+        QUALIFY row_number() OVER (PARTITION BY ks.k, p.vec_id ORDER BY {SQDIST.format(a='p.v', b='c.cv')}, c.center) = 1),
+d AS (SELECT a.k, a.vec_id, a.center AS own, b.center AS other, sqrt({SQDIST.format(a='a.v', b='b.v')}) AS dist
+      FROM asg a JOIN asg b ON a.k = b.k),
+g AS (SELECT k, vec_id, own, other, sum(dist) AS s, count(*) AS c FROM d GROUP BY k, vec_id, own, other),
+pp AS (SELECT k, vec_id, sum(CASE WHEN other = own THEN s END) AS a_sum, sum(CASE WHEN other = own THEN c END) AS own_n,
+              min(CASE WHEN other <> own THEN s / c END) AS b FROM g GROUP BY k, vec_id, own),
+ss AS (SELECT k, CASE WHEN own_n <= 1 THEN 0.0
+                      ELSE (b - a_sum / (own_n - 1)) / greatest(a_sum / (own_n - 1), b) END AS s FROM pp),
+sc AS (SELECT k, avg(s) AS silhouette FROM ss GROUP BY k)
+SELECT CAST(k AS INT) AS k, {r6('silhouette')} AS silhouette,
+       k = (SELECT k FROM sc ORDER BY silhouette DESC, k LIMIT 1) AS selected FROM sc"""
+
+
+@query("k_select", _k_select_sql())
+def q_k_select(spark, sf_dir):
+    """k sweep (3..6) scored by exact silhouette of nearest-first-k-centre labellings; first arg-max selected."""
+    scores = clustering.seeded_sweep_scores(vecs(spark).select("vec_id", "v"), "vec_id", SWEEP_KS)
+    best = clustering.select_k(scores).select(F.col("k").alias("_best"))
+    return (scores.withColumn("_one", F.lit(1)).join(best.withColumn("_one", F.lit(1)), "_one")
+            .select(F.col("k").cast("int").alias("k"), "silhouette", (F.col("k") == F.col("_best")).alias("selected")))

@@ -369,3 +369,10 @@ SELECT cluster_id, concat(cluster_name, '. ', summary) AS insight_text FROM v_in
 def q_insight_text(spark, sf_dir):
     """The text embedded for an insight: ``name. summary``."""
     return insights_df(spark).select("cluster_id", prompts.insight_text("cluster_name", "summary").alias("insight_text"))
+
+
+@query("mapping_report")
+def q_mapping_report(spark, sf_dir):
+    """Mapping evaluation document (confidence, tiers, coverage, balance, consistency) as JSON."""
+    from feedlens.operators import reports
+    return reports.mapping_report(mappings(spark), themes(spark))

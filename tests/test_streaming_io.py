@@ -145,3 +145,18 @@ def test_cluster_dispatch_rejects_unknown_method(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0])], "vec_id long, v array<double>")
     with pytest.raises(ValueError):
         clustering.cluster(df, "vec_id", method="gmm")
+
+
+def test_budgeted_run_stops_after_crossing_batch(spark):
+    out = os.path.join(tmpdir(), "completions")
+    req = spark.range(100).select(F.col("id").alias("comment_id"),
+                                  F.concat(F.lit("prompt "), F.col("id").cast("string"), F.lit(" " + "x" * 4000))
+                                  .alias("prompt"))
+    req = completion.with_request_id(req, "prompt", "m")
+    # each request costs ~1000 input tokens -> ~$0.0008; 10 requests per batch -> ~$0.008 per batch
+    res = completion.run_budgeted(req, completion.EchoClient, out, ["comment_id"], 10, 0.02)
+    assert res["stopped_by_budget"] and res["batches_run"] == 3
+    stored = spark.read.parquet(out)
+    assert stored.count() == 30
+    again = completion.run_budgeted(req, completion.EchoClient, out, ["comment_id"], 10, 1.0)
+    assert not again["stopped_by_budget"] and spark.read.parquet(out).count() == 100
