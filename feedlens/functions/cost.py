@@ -11,14 +11,18 @@ OUTPUT_USD_PER_TOKEN = 4.0 / 1_000_000
 BUDGET_USD = 20.0
 
 
+def _c(col) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
 def input_cost(tokens) -> Column:
-    return F.col(tokens) * F.lit(INPUT_USD_PER_TOKEN) if isinstance(tokens, str) else tokens * F.lit(INPUT_USD_PER_TOKEN)
+    return _c(tokens) * F.lit(INPUT_USD_PER_TOKEN)
 
 
 def output_cost(tokens) -> Column:
-    return F.col(tokens) * F.lit(OUTPUT_USD_PER_TOKEN) if isinstance(tokens, str) else tokens * F.lit(OUTPUT_USD_PER_TOKEN)
+    return _c(tokens) * F.lit(OUTPUT_USD_PER_TOKEN)
 
 
 def request_cost(input_tokens, output_tokens) -> Column:
-    """Unrounded USD cost of one request."""
+    """Unrounded USD cost of one request (or of token totals)."""
     return input_cost(input_tokens) + output_cost(output_tokens)

@@ -208,6 +208,14 @@ def overlay(m: DataFrame, validations: DataFrame, id_col: str = "cluster_id") ->
             .drop("_t", "_c", "_p", "_r"))
 
 
+def in_catalogue(m: DataFrame, themes: DataFrame, theme_col: str = "primary_theme",
+                 category_col: str = "primary_category") -> DataFrame:
+    """Add ``in_catalogue``: whether the (theme, category) a model recommended exists in the catalogue (Q13)."""
+    cat = themes.select(F.col("theme").alias("_t"), F.col("category").alias("_c"), F.lit(True).alias("_hit")).distinct()
+    j = m.join(F.broadcast(cat), (F.col(theme_col) == F.col("_t")) & (F.col(category_col) == F.col("_c")), "left")
+    return j.withColumn("in_catalogue", F.coalesce("_hit", F.lit(False))).drop("_t", "_c", "_hit")
+
+
 # ---------------------------------------------------------------- model-backed mapping
 
 def suggestion_lines(top_matches: str = "top_matches") -> Column:

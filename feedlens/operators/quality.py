@@ -8,6 +8,7 @@ join against the k centroids, or a blocked pairwise pass.
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -168,6 +169,54 @@ def silhouette_exact(points: DataFrame, id_col: str, vec_col: str = "v", cluster
     return point.agg(F.avg(s).alias("silhouette"), F.count("*").alias("n"))
 
 
+def silhouette_sampled(points: DataFrame, id_col: str, per_cluster: int = 256, vec_col: str = "v",
+                       cluster_col: str = "cluster_id", seed: int = 42) -> DataFrame:
+    """Euclidean silhouette of every point against a seeded anchor sample of each cluster (large-N mode).
+
+    All N points are scored; only the reference sets are sampled (up to
+    ``per_cluster`` anchors per cluster, picked with a group-limited window), so
+    the pass is linear in N.  When every cluster has at most ``per_cluster``
+    members the anchors are the whole clusters and the result is exact.
+    """
+    from feedlens.functions.hashing import seeded_key
+    pts = points.select(F.col(id_col).cast("long").alias("pid"), F.col(cluster_col).cast("long").alias("cid"),
+                        vectors.as_double(vec_col).alias("v"))
+    w = Window.partitionBy("cid").orderBy(seeded_key("pid", seed), "pid")
+    anchors = pts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_cluster).drop("_r").collect()
+    if len(anchors) > MAX_CENTROIDS:
+        raise ValueError("too many anchors to broadcast")
+    sizes = {r["cid"]: r["size"] for r in pts.groupBy("cid").agg(F.count("*").alias("size")).collect()}
+    a_ids = np.array([r["pid"] for r in anchors], dtype=np.int64)
+    a_cid = np.array([r["cid"] for r in anchors], dtype=np.int64)
+    a_vec = np.array([r["v"] for r in anchors], dtype=np.float64)
+    bc = points.sparkSession.sparkContext.broadcast((a_ids, a_cid, a_vec, sizes))
+
+    def score(batches):
+        ids, cids, vecs_, sz = bc.value
+        labels = np.unique(cids)
+        for pdf in batches:
+            x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+            d2 = (x * x).sum(1)[:, None] + (vecs_ * vecs_).sum(1)[None, :] - 2.0 * x @ vecs_.T
+            d = np.sqrt(np.maximum(d2, 0.0))
+            d[pdf["pid"].to_numpy()[:, None] == ids[None, :]] = np.nan  # a point is not its own anchor
+            own = pdf["cid"].to_numpy()
+            with warnings.catch_warnings():  # a cluster whose only anchor is the point itself -> all-NaN row
+                warnings.simplefilter("ignore", RuntimeWarning)
+                means = np.stack([np.nanmean(np.where(cids[None, :] == lab, d, np.nan), axis=1) for lab in labels], 1)
+            own_idx = np.searchsorted(labels, own)
+            a = means[np.arange(len(x)), own_idx]
+            other = means.copy()
+            other[np.arange(len(x)), own_idx] = np.inf
+            b = other.min(1)
+            single = np.array([sz.get(int(c), 0) <= 1 for c in own])
+            den = np.maximum(a, b)
+            s = np.where(single | ~np.isfinite(a) | (den == 0), 0.0, (b - a) / np.where(den == 0, 1, den))
+            yield pd.DataFrame({"s": s})
+
+    per = pts.mapInPandas(score, "s double")
+    return per.agg(F.avg("s").alias("silhouette"), F.count("*").alias("n"))
+
+
 def silhouette_squared(points: DataFrame, vec_col: str = "v", cluster_col: str = "cluster_id") -> DataFrame:
     """Spark ML's linear-time silhouette with squared Euclidean distance (a different metric than V9's)."""
     from pyspark.ml.evaluation import ClusteringEvaluator

@@ -314,3 +314,9 @@ def q_k_select(spark, sf_dir):
     best = clustering.select_k(scores).select(F.col("k").alias("_best"))
     return (scores.withColumn("_one", F.lit(1)).join(best.withColumn("_one", F.lit(1)), "_one")
             .select(F.col("k").cast("int").alias("k"), "silhouette", (F.col("k") == F.col("_best")).alias("selected")))
+
+
+@query("silhouette_sampled")
+def q_silhouette_sampled(spark, sf_dir):
+    """Large-N silhouette mode: every point against up to 64 seeded anchors per cluster."""
+    return quality.silhouette_sampled(vecs(spark), "vec_id", per_cluster=64)

@@ -209,3 +209,14 @@ def register_tfidf_oracle():
 
 
 register_tfidf_oracle()
+
+
+@query("length_bins_nb", f"""
+SELECT {binning.bin_ordinal_sql('length(text)', binning.LENGTH_BINS_NB[0])} AS bin_ord,
+       {binning.bin_sql('length(text)', *binning.LENGTH_BINS_NB)} AS bin,
+       count(*) AS n, {r6('100.0 * count(*) / sum(count(*)) OVER ()')} AS pct
+FROM documents GROUP BY 1, 2""")
+def q_length_bins_nb(spark, sf_dir):
+    """The notebook's variant: edges 0, 5, 200, 500 with the '<50' label kept as published (Q11)."""
+    df = comments(spark).select(text.char_length("comment").alias("length"))
+    return profile.length_bins(df, "length", *binning.LENGTH_BINS_NB)

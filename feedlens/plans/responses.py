@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from feedlens.functions import prompts
 from feedlens.functions.hashing import seeded_key, seeded_key_sql
 from feedlens.operators import completion, ledger, responses
-from feedlens.plans import fixtures
 from feedlens.plans.fixtures import (EMPTY_OBJECT, MALFORMED_ARRAY, MALFORMED_TRAILING, MALFORMED_TRUNCATED,
                                      cte)
 from feedlens.plans.registry import query, r6
@@ -37,7 +36,6 @@ DUCK_STRIP_B = f"""
 # Which comment ids fail to parse, by fence variant (follows from the fixture's injected breakages).
 ERR_A = f"({MALFORMED_TRAILING} OR {MALFORMED_TRUNCATED} OR {MALFORMED_ARRAY})"
 ERR_B = f"(({MALFORMED_TRAILING} AND comment_id % 3 = 2) OR {MALFORMED_TRUNCATED} OR {MALFORMED_ARRAY})"
-RESP_IDS = "(SELECT DISTINCT comment_id FROM v_aspects)"
 
 
 def parsed(spark, fence="a"):
@@ -275,5 +273,3 @@ def q_union_batches(spark, sf_dir):
               .select("comment_id", F.lit(2).alias("run"), "status"))
     return first.unionByName(second)
 
-
-_ = fixtures  # fixtures are registered by the registry wrapper

@@ -145,3 +145,20 @@ def test_complete_captures_errors_and_dedups(spark):
     out = completion.complete(completion.with_request_id(df, "prompt", "m"), completion.EchoClient).collect()
     by = {r["status"]: r for r in out}
     assert len(out) == 2 and by["error"]["error"] == "stub: upstream error" and by["success"]["text"] == '{"echo_chars": 5}'
+
+
+def test_sampled_silhouette_is_exact_when_anchors_cover_clusters(spark):
+    df, x, lab = _points(spark, n=120, seed=5)
+    got = quality.silhouette_sampled(df, "vec_id", per_cluster=1000).first()
+    assert got["silhouette"] == pytest.approx(_brute_silhouette(x, lab), abs=1e-9)
+    approx = quality.silhouette_sampled(df, "vec_id", per_cluster=10).first()
+    assert approx["n"] == 120 and -1 <= approx["silhouette"] <= 1
+
+
+def test_in_catalogue_flags_unknown_themes(spark):
+    from feedlens.operators import mapping
+    themes = spark.createDataFrame([(0, "App Performance", "Online Experience")], "theme_pos int, theme string, category string")
+    m = spark.createDataFrame([(1, "App Performance", "Online Experience"), (2, "Made Up", "Online Experience"),
+                               (3, None, None)], "cluster_id int, primary_theme string, primary_category string")
+    got = {r["cluster_id"]: r["in_catalogue"] for r in mapping.in_catalogue(m, themes).collect()}
+    assert got == {1: True, 2: False, 3: False}
