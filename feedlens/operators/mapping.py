@@ -52,9 +52,10 @@ def theme_block(flat: DataFrame) -> DataFrame:
 
 
 def _catalogue_literal(themes: DataFrame, vec_col: str = "v") -> Column:
+    n = themes.count()
+    if n > MAX_CATALOGUE:
+        raise ValueError(f"theme catalogue of {n} rows exceeds {MAX_CATALOGUE}")
     rows = themes.select("theme_pos", "theme", "category", vectors.as_double(vec_col).alias("v")).collect()
-    if len(rows) > MAX_CATALOGUE:
-        raise ValueError(f"theme catalogue of {len(rows)} rows exceeds {MAX_CATALOGUE}")
     return F.array(*[F.struct(F.lit(int(r["theme_pos"])).alias("theme_pos"), F.lit(r["theme"]).alias("theme"),
                               F.lit(r["category"]).alias("category"),
                               F.array(*[F.lit(float(x)) for x in r["v"]]).alias("v")) for r in rows])
@@ -212,6 +213,8 @@ def in_catalogue(m: DataFrame, themes: DataFrame, theme_col: str = "primary_them
                  category_col: str = "primary_category") -> DataFrame:
     """Add ``in_catalogue``: whether the (theme, category) a model recommended exists in the catalogue (Q13)."""
     cat = themes.select(F.col("theme").alias("_t"), F.col("category").alias("_c"), F.lit(True).alias("_hit")).distinct()
+    if cat.count() > MAX_CATALOGUE:
+        raise ValueError(f"theme catalogue exceeds {MAX_CATALOGUE} rows")
     j = m.join(F.broadcast(cat), (F.col(theme_col) == F.col("_t")) & (F.col(category_col) == F.col("_c")), "left")
     return j.withColumn("in_catalogue", F.coalesce("_hit", F.lit(False))).drop("_t", "_c", "_hit")
 

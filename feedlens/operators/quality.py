@@ -182,9 +182,10 @@ def silhouette_sampled(points: DataFrame, id_col: str, per_cluster: int = 256, v
     pts = points.select(F.col(id_col).cast("long").alias("pid"), F.col(cluster_col).cast("long").alias("cid"),
                         vectors.as_double(vec_col).alias("v"))
     w = Window.partitionBy("cid").orderBy(seeded_key("pid", seed), "pid")
-    anchors = pts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_cluster).drop("_r").collect()
-    if len(anchors) > MAX_CENTROIDS:
-        raise ValueError("too many anchors to broadcast")
+    picked = pts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_cluster).drop("_r")
+    if picked.count() > MAX_CENTROIDS:
+        raise ValueError(f"more than {MAX_CENTROIDS} anchors: lower per_cluster")
+    anchors = picked.collect()
     sizes = {r["cid"]: r["size"] for r in pts.groupBy("cid").agg(F.count("*").alias("size")).collect()}
     a_ids = np.array([r["pid"] for r in anchors], dtype=np.int64)
     a_cid = np.array([r["cid"] for r in anchors], dtype=np.int64)

@@ -270,11 +270,12 @@ def q_embed_join(spark, sf_dir):
 @query("embed_hashing")
 def q_embed_hashing(spark, sf_dir):
     """Spark-native text vectors (hashing TF-IDF, L2) for every comment: non-zeros and norm."""
-    from pyspark.ml.functions import vector_to_array  # noqa: F401  (kept for users converting to arrays)
+    from pyspark.ml.functions import vector_to_array
     from feedlens.operators import embedding
     v = embedding.hashing_vectors(spark.table("v_comments"), "comment", num_features=1 << 12)
-    nnz = F.udf(lambda x: int(x.numNonzeros()) if x is not None else 0, "int")
-    return v.select("comment_id", nnz("features").alias("nnz"))
+    arr = vector_to_array("features")
+    return v.select("comment_id", F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
+                    F.sqrt(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)).alias("norm"))
 
 
 @query("clustering_report")
