@@ -147,11 +147,6 @@ def cluster_drilldown(df: DataFrame, cluster_id: int, cluster_col: str = "cluste
         F.map_from_entries(F.collect_list(F.struct("sentiment", "n"))).alias("sentiment_counts"))
 
 
-def one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Put two one-row reports side by side (equi-join on a constant key)."""
-    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
-
-
 def sentiment_rollup(per_cluster_maps: DataFrame, map_col: str = "sentiments") -> DataFrame:
     """Roll per-cluster sentiment maps back into overall counts."""
     return (per_cluster_maps.select(F.explode(map_col).alias("sentiment", "n"))
@@ -159,12 +154,21 @@ def sentiment_rollup(per_cluster_maps: DataFrame, map_col: str = "sentiments") -
 
 
 def final_summary(ex: DataFrame, successful_comments: DataFrame) -> DataFrame:
-    """The notebook's closing table: totals, averages and sentiment shares (one row)."""
-    a = ex.agg(F.count("*").alias("total_aspects"), F.countDistinct("aspect").alias("unique_aspects"),
-               F.avg("confidence").alias("avg_confidence"),
-               (F.lit(100.0) * F.count_if(F.col("sentiment") == "positive") / F.count("*")).alias("positive_pct"),
-               (F.lit(100.0) * F.count_if(F.col("sentiment") == "negative") / F.count("*")).alias("negative_pct"),
-               (F.lit(100.0) * F.count_if(F.col("sentiment") == "neutral") / F.count("*")).alias("neutral_pct"))
-    c = successful_comments.agg(F.count("*").alias("total_comments"))
-    return (one_row_join(a, c)
-            .withColumn("avg_aspects_per_comment", F.col("total_aspects") / F.col("total_comments")))
+    """The notebook's closing table: totals, averages and sentiment shares (one row).
+
+    Aspect rows and comment rows are tagged and unioned, then folded by one
+    aggregate with conditional terms (no join of one-row frames).
+    """
+    a = ex.select(F.lit(True).alias("_asp"), "aspect", "sentiment", F.col("confidence").cast("double").alias("confidence"))
+    c = successful_comments.select(F.lit(False).alias("_asp"), F.lit(None).cast("string").alias("aspect"),
+                                   F.lit(None).cast("string").alias("sentiment"),
+                                   F.lit(None).cast("double").alias("confidence"))
+    asp = F.col("_asp")
+    n_asp = F.count_if(asp)
+    share = lambda label: F.lit(100.0) * F.count_if(asp & (F.col("sentiment") == label)) / n_asp
+    out = a.unionByName(c).agg(
+        n_asp.alias("total_aspects"), F.countDistinct(F.when(asp, F.col("aspect"))).alias("unique_aspects"),
+        F.avg(F.when(asp, F.col("confidence"))).alias("avg_confidence"),
+        share("positive").alias("positive_pct"), share("negative").alias("negative_pct"),
+        share("neutral").alias("neutral_pct"), F.count_if(~asp).alias("total_comments"))
+    return out.withColumn("avg_aspects_per_comment", F.col("total_aspects") / F.col("total_comments"))

@@ -116,12 +116,16 @@ def category_usage(m: DataFrame) -> DataFrame:
 
 def theme_coverage(m: DataFrame, themes: DataFrame) -> DataFrame:
     """Themes used / catalogue size in %, categories used / total."""
-    used = _ok(m).agg(F.countDistinct("primary_theme").alias("themes_used"),
-                      F.countDistinct("primary_category").alias("categories_used"))
-    total = themes.agg(F.countDistinct("theme").alias("themes_total"),
-                       F.countDistinct("category").alias("categories_total"))
-    both = used.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return both.withColumn("coverage_pct", F.lit(100.0) * F.col("themes_used") / F.col("themes_total"))
+    used = _ok(m).select(F.lit(True).alias("_used"), F.col("primary_theme").alias("theme"),
+                         F.col("primary_category").alias("category"))
+    cat = themes.select(F.lit(False).alias("_used"), "theme", "category")
+    u = F.col("_used")
+    out = used.unionByName(cat).agg(
+        F.countDistinct(F.when(u, F.col("theme"))).alias("themes_used"),
+        F.countDistinct(F.when(u, F.col("category"))).alias("categories_used"),
+        F.countDistinct(F.when(~u, F.col("theme"))).alias("themes_total"),
+        F.countDistinct(F.when(~u, F.col("category"))).alias("categories_total"))
+    return out.withColumn("coverage_pct", F.lit(100.0) * F.col("themes_used") / F.col("themes_total"))
 
 
 def category_balance(m: DataFrame) -> DataFrame:
@@ -221,6 +225,14 @@ def in_catalogue(m: DataFrame, themes: DataFrame, theme_col: str = "primary_them
 
 # ---------------------------------------------------------------- model-backed mapping
 
+def block_text(block: DataFrame) -> str:
+    """The rendered catalogue (one row, catalogue-sized) as a literal for prompt templates."""
+    rows = block.select("theme_block").limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("theme block must be a single row")
+    return rows[0][0]
+
+
 def suggestion_lines(top_matches: str = "top_matches") -> Column:
     return F.array_join(F.transform(top_matches, lambda m, i: F.format_string(
         prompts.SUGGESTION_LINE, i + 1, m["theme"], m["category"], m["confidence"])), "\n")
@@ -229,8 +241,7 @@ def suggestion_lines(top_matches: str = "top_matches") -> Column:
 def validation_prompts(low: DataFrame, insights: DataFrame, block: DataFrame, model: str = "stub-model",
                        template: str = prompts.VALIDATION_TEMPLATE, id_col: str = "cluster_id") -> DataFrame:
     """Prompt per low-confidence mapping: insight fields, ranked suggestions, catalogue block."""
-    j = low.join(insights, id_col, "left")
-    j = j.withColumn("_one", F.lit(1)).join(F.broadcast(block.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    j = low.join(insights, id_col, "left").withColumn("theme_block", F.lit(block_text(block)))
     themes_arr = (F.coalesce(F.col("key_themes"), F.array(F.col("primary_sentiment"))) if "key_themes" in j.columns
                   else F.array(F.col("primary_sentiment")))
     key_themes = F.array_join(themes_arr, ", ")
@@ -242,7 +253,7 @@ def validation_prompts(low: DataFrame, insights: DataFrame, block: DataFrame, mo
 
 def full_mapping_prompts(insights: DataFrame, block: DataFrame, model: str = "stub-model",
                          template: str = prompts.FULL_MAPPING_TEMPLATE, id_col: str = "cluster_id") -> DataFrame:
-    j = insights.withColumn("_one", F.lit(1)).join(F.broadcast(block.withColumn("_one", F.lit(1))), "_one")
+    j = insights.withColumn("theme_block", F.lit(block_text(block)))
     prompt = prompts.render(template, cluster_id=F.col(id_col), cluster_name=F.col("cluster_name"),
                             summary=F.col("summary"), primary_sentiment=F.col("primary_sentiment"),
                             theme_block=F.col("theme_block"))

@@ -9,16 +9,25 @@ from feedlens.functions import ratings
 from feedlens.operators import quality
 
 
-def _struct(df: DataFrame, name: str) -> DataFrame:
-    return df.select(F.struct(*df.columns).alias(name))
+def _section(df: DataFrame, name: str) -> DataFrame:
+    """A one-row metric frame as ``(name, json)``."""
+    return df.select(F.lit(name).alias("section"), F.to_json(F.struct(*df.columns)).alias("json"))
 
 
-def side_by_side(*frames: DataFrame) -> DataFrame:
-    """Put one-row frames next to each other (equi-join on a constant key)."""
-    out = frames[0].withColumn("_one", F.lit(1))
-    for f in frames[1:]:
-        out = out.join(f.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+def assemble(*sections: DataFrame) -> DataFrame:
+    """Union ``(name, json)`` sections and fold them into one JSON document (no joins).
+
+    Sections keep their given order; the fold is a global aggregate over as
+    many rows as there are sections.
+    """
+    tagged = [s.withColumn("_i", F.lit(i)) for i, s in enumerate(sections)]
+    u = tagged[0]
+    for t in tagged[1:]:
+        u = u.unionByName(t)
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("_i", F.concat(F.lit('"'), F.col("section"),
+                                                                            F.lit('":'), F.col("json")).alias("p")))),
+                        lambda x: x["p"])
+    return u.agg(F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("report"))
 
 
 def clustering_report(members: DataFrame, points: DataFrame, id_col: str = "vec_id") -> DataFrame:
@@ -30,9 +39,8 @@ def clustering_report(members: DataFrame, points: DataFrame, id_col: str = "vec_
     sil = quality.silhouette_exact(points, id_col).withColumn("rating", ratings.rate("silhouette", "silhouette")) \
         .withColumn("coherence", ratings.rate("coherence_label", "silhouette"))
     db = quality.davies_bouldin(points).withColumn("rating", ratings.rate("davies_bouldin", "davies_bouldin"))
-    doc = side_by_side(_struct(quality.size_stats(sizes), "cluster_statistics"), _struct(bal, "size_balance"),
-                       _struct(coh, "sentiment_coherence"), _struct(sil, "silhouette"), _struct(db, "davies_bouldin"))
-    return doc.select(F.to_json(F.struct(*doc.columns)).alias("report"))
+    return assemble(_section(quality.size_stats(sizes), "cluster_statistics"), _section(bal, "size_balance"),
+                    _section(coh, "sentiment_coherence"), _section(sil, "silhouette"), _section(db, "davies_bouldin"))
 
 
 def extraction_report(parsed: DataFrame, ex: DataFrame, cost: DataFrame, n_comments_col: str = "status") -> DataFrame:
@@ -46,10 +54,9 @@ def extraction_report(parsed: DataFrame, ex: DataFrame, cost: DataFrame, n_comme
                  (F.lit(100.0) * F.count_if(F.col("sentiment") == "positive") / F.count("*")).alias("positive_pct")) \
         .withColumn("rating", ratings.rate("sentiment_balance", "negative_pct", "positive_pct"))
     dup = aspects.dedup_potential(ex).withColumn("rating", ratings.rate("duplicate_pct", "duplicate_pct"))
-    doc = side_by_side(_struct(succ, "success_rate"), _struct(conf, "confidence_scores"),
-                       _struct(apc, "aspects_per_comment"), _struct(bal, "sentiment_distribution"),
-                       _struct(dup, "deduplication"), _struct(cost, "cost_summary"))
-    return doc.select(F.to_json(F.struct(*doc.columns)).alias("report"))
+    return assemble(_section(succ, "success_rate"), _section(conf, "confidence_scores"),
+                    _section(apc, "aspects_per_comment"), _section(bal, "sentiment_distribution"),
+                    _section(dup, "deduplication"), _section(cost, "cost_summary"))
 
 
 def mapping_report(m: DataFrame, themes: DataFrame) -> DataFrame:
@@ -62,6 +69,5 @@ def mapping_report(m: DataFrame, themes: DataFrame) -> DataFrame:
     bal = mapping.category_balance(m).withColumn(
         "rating", ratings.rate("category_balance", "max_category_pct", "min_category_pct"))
     con = mapping.mapping_consistency(m).withColumn("rating", ratings.rate("consistency_score", "consistency_score"))
-    doc = side_by_side(_struct(conf, "confidence"), _struct(cov, "theme_coverage"), _struct(bal, "category_balance"),
-                       _struct(con, "consistency"))
-    return doc.select(F.to_json(F.struct(*doc.columns)).alias("report"))
+    return assemble(_section(conf, "confidence"), _section(cov, "theme_coverage"), _section(bal, "category_balance"),
+                    _section(con, "consistency"))

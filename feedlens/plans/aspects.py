@@ -193,12 +193,17 @@ SELECT {r6('total_cost_usd')} AS total_cost_usd, {r6('total_cost_usd / n_comment
 FROM c, k""")
 def q_cost_efficiency(spark, sf_dir):
     """Cost per comment / aspect / cluster, share of the $20 budget used, remaining budget."""
-    usage = spark.table("v_usage")
-    cost = ledger.cost_summary(usage).select("total_cost_usd")
-    n_comments = usage.agg(F.count("*").alias("n_comments"))
-    k = spark.table("v_aspects").agg(F.count("*").alias("n_aspects"),
-                                     F.countDistinct("cluster_id").alias("n_clusters"))
-    return ledger.cost_efficiency(aspects.one_row_join(aspects.one_row_join(cost, n_comments), k))
+    usage = spark.table("v_usage").select(F.lit(True).alias("_u"), "input_tokens", "output_tokens",
+                                          F.lit(None).cast("int").alias("cluster_id"))
+    asp = spark.table("v_aspects").select(F.lit(False).alias("_u"), F.lit(None).cast("long").alias("input_tokens"),
+                                          F.lit(None).cast("long").alias("output_tokens"), "cluster_id")
+    u = F.col("_u")
+    totals = usage.unionByName(asp).agg(  # one pass over both tables, no join of one-row frames
+        F.sum(F.when(u, F.col("input_tokens"))).cast("long").alias("input_tokens"),
+        F.sum(F.when(u, F.col("output_tokens"))).cast("long").alias("output_tokens"),
+        F.count_if(u).alias("n_comments"), F.count_if(~u).alias("n_aspects"),
+        F.countDistinct(F.when(~u, F.col("cluster_id"))).alias("n_clusters"))
+    return ledger.cost_efficiency(ledger.priced(totals))
 
 
 # Value domains used to sweep each ladder across its thresholds: x (and y) as SQL over
@@ -240,14 +245,14 @@ def _ladder_sql() -> str:
 
 
 def ladder_values(spark):
-    base = spark.sql(BASE_SQL.replace("v_mappings", "v_mappings"))
-    out = None
-    for m, (x, y) in LADDER_INPUTS.items():
-        part = base.select(F.lit(m).alias("metric"), "cluster_id", F.expr(x).alias("x"),
-                           (F.expr(y) if y else F.lit(None).cast("double")).alias("y"))
-        part = part.withColumn("rating", ratings.rate(m, "x", "y" if y else None))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """One scan of the mapping rows; each row expands to one (metric, x, y) item per ladder."""
+    base = spark.sql(BASE_SQL)
+    items = F.array(*[F.struct(F.lit(m).alias("metric"), F.expr(x).cast("double").alias("x"),
+                               (F.expr(y) if y else F.lit(None)).cast("double").alias("y"))
+                      for m, (x, y) in LADDER_INPUTS.items()])
+    ex = base.select("cluster_id", F.explode(items).alias("it")).select("cluster_id", "it.*")
+    case = "CASE " + " ".join(f"WHEN metric = '{m}' THEN {ratings.ladder_sql(m, 'x', 'y')}" for m in LADDER_INPUTS) + " END"
+    return ex.withColumn("rating", F.expr(case)).select("metric", "cluster_id", "x", "y", "rating")
 
 
 @query("rating_ladders")

@@ -311,10 +311,12 @@ SELECT CAST(k AS INT) AS k, {r6('silhouette')} AS silhouette,
 @query("k_select", _k_select_sql())
 def q_k_select(spark, sf_dir):
     """k sweep (3..6) scored by exact silhouette of nearest-first-k-centre labellings; first arg-max selected."""
+    from pyspark.sql import Window
     scores = clustering.seeded_sweep_scores(vecs(spark).select("vec_id", "v"), "vec_id", SWEEP_KS)
-    best = clustering.select_k(scores).select(F.col("k").alias("_best"))
-    return (scores.withColumn("_one", F.lit(1)).join(best.withColumn("_one", F.lit(1)), "_one")
-            .select(F.col("k").cast("int").alias("k"), "silhouette", (F.col("k") == F.col("_best")).alias("selected")))
+    # the score table has one row per k: a window over it picks the first arg-max
+    w = Window.orderBy(F.desc("silhouette"), "k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return scores.select(F.col("k").cast("int").alias("k"), "silhouette",
+                         (F.col("k") == F.first("k").over(w)).alias("selected"))
 
 
 @query("silhouette_sampled")

@@ -18,18 +18,26 @@ def write_extraction_results(results: DataFrame, path: str, mode: str = "overwri
     results.write.mode(mode).parquet(path)
 
 
-def extraction_metadata(results: DataFrame, cost: DataFrame) -> DataFrame:
-    """One-row metadata block: totals, average aspects per success, cost summary struct (K1)."""
+def extraction_metadata(results: DataFrame) -> DataFrame:
+    """One-row metadata block: totals, average aspects per success, cost summary struct (K1).
+
+    Everything comes from one aggregate over the result rows (token counts are per row).
+    """
+    from feedlens.operators.ledger import priced
     ok = F.col("status") == "success"
     counts = results.agg(
         F.count("*").alias("total_comments"), F.count_if(ok).alias("successful"),
         F.count_if(~ok).alias("failed"),
-        F.coalesce(F.sum(F.when(ok, F.col("num_aspects"))), F.lit(0)).cast("long").alias("total_aspects"))
-    counts = counts.withColumn("avg_aspects_per_comment",
-                               F.when(F.col("successful") > 0, F.col("total_aspects") / F.col("successful"))
-                               .otherwise(F.lit(0.0)))
-    cs = cost.select(F.struct(*cost.columns).alias("cost_summary"))
-    return counts.withColumn("_one", F.lit(1)).join(cs.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        F.coalesce(F.sum(F.when(ok, F.col("num_aspects"))), F.lit(0)).cast("long").alias("total_aspects"),
+        F.coalesce(F.sum("input_tokens"), F.lit(0)).cast("long").alias("input_tokens"),
+        F.coalesce(F.sum("output_tokens"), F.lit(0)).cast("long").alias("output_tokens"))
+    counts = priced(counts).withColumn(
+        "avg_aspects_per_comment",
+        F.when(F.col("successful") > 0, F.col("total_aspects") / F.col("successful")).otherwise(F.lit(0.0)))
+    cost_cols = ["input_tokens", "output_tokens", "total_tokens", "input_cost_usd", "output_cost_usd",
+                 "total_cost_usd", "cost_per_token_usd"]
+    return counts.select("total_comments", "successful", "failed", "total_aspects", "avg_aspects_per_comment",
+                         F.struct(*cost_cols).alias("cost_summary"))
 
 
 def write_json_report(report: DataFrame, path: str) -> None:

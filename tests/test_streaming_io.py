@@ -58,10 +58,9 @@ def test_extraction_results_file(spark):
     assert meta.first()["successful"] == 2 and rows.count() == 3
     ex = sorted(map(tuple, sources.explode_results(rows).select("aspect", "evidence", "confidence").collect()))
     assert ex == [("x", "e", 0.9), ("y", "", 0.5), ("z", "", 0.4)]
-    cost = spark.createDataFrame([(10, 5)], "input_tokens long, output_tokens long")
-    md = sinks.extraction_metadata(rows, ledger.priced(cost)).first()
+    md = sinks.extraction_metadata(rows.withColumn("input_tokens", F.lit(5)).withColumn("output_tokens", F.lit(2))).first()
     assert (md["total_comments"], md["successful"], md["failed"], md["total_aspects"]) == (3, 2, 1, 3)
-    assert md["avg_aspects_per_comment"] == 1.5 and md["cost_summary"]["total_tokens"] == 15
+    assert md["avg_aspects_per_comment"] == 1.5 and md["cost_summary"]["total_tokens"] == 21
 
 
 def test_insights_clusters_mappings_files(spark):
