@@ -33,10 +33,12 @@ FULL_MAPPING_TEMPLATE = (
     '"reasoning": "..."}\n'
 )
 
-# Line formats shared with the reference prompts.
+# Line formats and texts that must equal the reference's.
 ASPECT_LINE = "- %s (%s, confidence: %.2f)"
 SUGGESTION_LINE = "  %d. %s (%s): %.3f"
 THEME_BLOCK_HEADER = "AVAILABLE THEMES AND CATEGORIES:\n"
+SEMANTIC_REASONING = "Semantic similarity between cluster '%s' and theme '%s'"
+PARSE_ERROR = "JSON parsing failed"
 
 
 def render(template: str, **fields) -> Column:

@@ -90,7 +90,7 @@ def primary_mapping(ranked: DataFrame, id_col: str = "cluster_id", name_col: str
     return ranked.select(
         id_col, first["theme"].alias("primary_theme"), first["category"].alias("primary_category"),
         first["confidence"].alias("primary_confidence"), "top_matches",
-        F.format_string("Semantic similarity between cluster '%s' and theme '%s'", name, first["theme"])
+        F.format_string(prompts.SEMANTIC_REASONING, name, first["theme"])
         .alias("reasoning"),
         F.lit("success").alias("status"), F.lit(False).alias("validated"))
 

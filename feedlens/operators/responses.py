@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.functions import jsonparse, text
-
-PARSE_ERROR = "JSON parsing failed"
+from feedlens.functions.prompts import PARSE_ERROR
 
 
 def parse_responses(df: DataFrame, text_col: str = "response_text", schema: T.StructType = jsonparse.EXTRACTION_SCHEMA,

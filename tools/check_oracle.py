@@ -67,7 +67,12 @@ def main():
             print(f"     types {types}")
         else:
             ok += 1
-            print(f"OK   {name}: {len(srows)} rows ({ts:.1f}s) [{CHECK[name]}] types {types}"[:400])
+            print(f"OK   {name}: {len(srows)} rows ({ts:.1f}s) [{CHECK[name]}]")
+            simple = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                      "boolean": "BOOLEAN"}
+            for c in sorted(scols):
+                if simple.get(st.get(c)) != dt.get(c):
+                    print(f"TYPE {name}.{c}: spark {st.get(c)} vs oracle {dt.get(c)}")
     print(f"\n{ok} ok, {bad} failed of {len(names)}")
 
 
