@@ -105,8 +105,14 @@ def dedup_keep_best(df: DataFrame, col: str = "aspect", seq: str = "seq", conf:
     return best.select("dedup_key", "best.*")
 
 
-def normalize_names(df: DataFrame, col: str = "aspect", word_boundary: bool = False) -> DataFrame:
-    return df.withColumn(col, text.normalize_name(col, word_boundary))
+def normalize_names(df: DataFrame, col: str = "aspect", word_boundary: bool = False, rededup: bool = False,
+                    seq: str = "seq", conf: str = "confidence") -> DataFrame:
+    """Strip, lower-case, drop 'the ' (Q5).  ``rededup=True`` merges names that collide after
+    normalising (the reference does not), keeping the most confident, first seen on ties."""
+    out = df.withColumn(col, text.normalize_name(col, word_boundary))
+    if rededup:
+        out = dedup_keep_best(out.drop("dedup_key") if "dedup_key" in out.columns else out, col, seq, conf)
+    return out
 
 
 def top_aspect_sentiment(df: DataFrame, k: int = 10, col: str = "aspect", seq: str = "seq") -> DataFrame:

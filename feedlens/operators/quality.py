@@ -118,21 +118,34 @@ _PARTIAL = T.StructType([
 ])
 
 
+def _sums_by_label(dist: np.ndarray, ids: np.ndarray, own: np.ndarray, labels: np.ndarray) -> list[pd.DataFrame]:
+    """Per row of ``dist``: sum and count of distances to the columns of each label."""
+    out = []
+    for lab in np.unique(labels):
+        sel = labels == lab
+        out.append(pd.DataFrame({"pid": ids, "own": own, "other": np.full(len(ids), lab),
+                                 "dsum": dist[:, sel].sum(1), "cnt": np.full(len(ids), int(sel.sum()))}))
+    return out
+
+
 def _block_distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Sum of Euclidean distances from each left point to the right points of each cluster."""
+    """One unordered block pair: distance sums per cluster for the points of both blocks.
+
+    Off-diagonal pairs emit sums for the left points over the right block and
+    for the right points over the left block, so each pair of blocks is
+    computed once.
+    """
     if left.empty or right.empty:
         return pd.DataFrame({f.name: pd.Series(dtype="int64" if f.name != "dsum" else "float64") for f in _PARTIAL})
     x = np.stack(left["v"].to_numpy()).astype(np.float64)
     y = np.stack(right["rv"].to_numpy()).astype(np.float64)
-    labels = right["rcid"].to_numpy()
-    out = []
-    for lab in np.unique(labels):
-        yy = y[labels == lab]
-        d2 = (x * x).sum(1)[:, None] + (yy * yy).sum(1)[None, :] - 2.0 * x @ yy.T
-        dist = np.sqrt(np.maximum(d2, 0.0))
-        out.append(pd.DataFrame({"pid": left["pid"].to_numpy(), "own": left["cid"].to_numpy(),
-                                 "other": np.full(len(x), lab), "dsum": dist.sum(1),
-                                 "cnt": np.full(len(x), len(yy))}))
+    d2 = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2.0 * x @ y.T
+    dist = np.sqrt(np.maximum(d2, 0.0))
+    lpid, lcid = left["pid"].to_numpy(), left["cid"].to_numpy()
+    rpid, rcid = right["rpid"].to_numpy(), right["rcid"].to_numpy()
+    out = _sums_by_label(dist, lpid, lcid, rcid)
+    if left["_b"].iloc[0] != right["_rb"].iloc[0]:
+        out += _sums_by_label(dist.T, rpid, rcid, lcid)
     return pd.concat(out, ignore_index=True)
 
 
@@ -140,22 +153,27 @@ def silhouette_exact(points: DataFrame, id_col: str, vec_col: str = "v", cluster
                      block_size: int = 2048) -> DataFrame:
     """Mean Euclidean silhouette over all points, exact (V9).
 
-    Points are hashed into B blocks; each (row block, column block) pair is one
-    cogroup task that computes a dense distance block with BLAS and emits, per
-    row point, distance sums per cluster of the column block.  No pair is ever a
-    row; memory per task is bounded by ``block_size``.  Work is O(N^2 d), as the
-    metric requires: for very large N use ``silhouette_squared``.
+    Points are hashed into B blocks; each unordered pair of blocks (i <= j) is
+    one cogroup task that computes a dense distance block with BLAS and emits,
+    for the points of both blocks, distance sums per cluster of the other
+    block.  No pair of points is ever a row; memory per task is bounded by
+    ``block_size``; B(B+1)/2 tasks cover the N^2 distances once.  Work is
+    O(N^2 d), as the metric requires: for very large N use
+    ``silhouette_sampled`` or ``silhouette_squared``.
     """
     pts = points.select(F.col(id_col).cast("long").alias("pid"), F.col(cluster_col).cast("long").alias("cid"),
                         vectors.as_double(vec_col).alias("v"))
     n = pts.count()
     blocks = max(1, math.ceil(n / block_size))
     pts = pts.withColumn("_b", F.pmod(F.xxhash64("pid"), F.lit(blocks)))
-    seq = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = pts.withColumn("_o", seq).withColumn("_pair", F.col("_b") * blocks + F.col("_o"))
-    right = pts.withColumn("_o", seq).withColumn("_pair", F.col("_o") * blocks + F.col("_b"))
-    partial = (left.select("_pair", "pid", "cid", "v").groupBy("_pair")
-               .cogroup(right.select("_pair", F.col("cid").alias("rcid"), F.col("v").alias("rv")).groupBy("_pair"))
+    # row side i pairs with every j >= i; column side j pairs with every i <= j
+    left = pts.withColumn("_o", F.explode(F.sequence(F.col("_b"), F.lit(blocks - 1)))) \
+        .withColumn("_pair", F.col("_b") * blocks + F.col("_o"))
+    right = pts.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_b")))) \
+        .withColumn("_pair", F.col("_o") * blocks + F.col("_b"))
+    partial = (left.select("_pair", "_b", "pid", "cid", "v").groupBy("_pair")
+               .cogroup(right.select("_pair", F.col("_b").alias("_rb"), F.col("pid").alias("rpid"),
+                                     F.col("cid").alias("rcid"), F.col("v").alias("rv")).groupBy("_pair"))
                .applyInPandas(_block_distances, _PARTIAL))
     per = partial.groupBy("pid", "own", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     own = F.col("other") == F.col("own")

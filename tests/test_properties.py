@@ -162,3 +162,39 @@ def test_in_catalogue_flags_unknown_themes(spark):
                                (3, None, None)], "cluster_id int, primary_theme string, primary_category string")
     got = {r["cluster_id"]: r["in_catalogue"] for r in mapping.in_catalogue(m, themes).collect()}
     assert got == {1: True, 2: False, 3: False}
+
+
+def test_normalize_rededup_merges_collisions(spark):
+    rows = [(1, "The Login", "negative", 0.6), (2, "login", "positive", 0.9), (3, "breathe", "neutral", 0.5)]
+    df = spark.createDataFrame(rows, "seq long, aspect string, sentiment string, confidence double")
+    best = aspects.dedup_keep_best(df)
+    plain = sorted(r["aspect"] for r in aspects.normalize_names(best).collect())
+    assert plain == ["breathe", "login", "login"]          # reference behaviour: no second dedup
+    merged = {r["aspect"]: r["seq"] for r in aspects.normalize_names(best, rededup=True).collect()}
+    assert merged == {"login": 2, "breathe": 3}
+    wb = sorted(r["aspect"] for r in aspects.normalize_names(best, word_boundary=True).collect())
+    assert "breathe" in wb
+
+
+@pytest.mark.parametrize("block", [7, 40, 1000])
+def test_density_edges_and_components_match_brute_force(spark, block):
+    from feedlens.operators import density
+    df, x, _ = _points(spark, n=90, seed=7)
+    eps = 2.0
+    got = sorted((r["src"], r["dst"]) for r in density.epsilon_edges(df, "vec_id", eps, block_size=block).collect())
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    exp = sorted((i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if d[i, j] <= eps)
+    assert got == exp
+    lab = {r["vec_id"]: r["cluster_id"] for r in density.density_clusters(df, "vec_id", eps, 3, block_size=block).collect()}
+    parent = list(range(len(x)))
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i, j in exp:
+        parent[find(i)] = find(j)
+    comps = {}
+    for i in range(len(x)):
+        comps.setdefault(find(i), []).append(i)
+    exp_lab = {i: (min(m) if len(m) >= 3 else -1) for m in comps.values() for i in m}
+    assert lab == exp_lab
