@@ -48,6 +48,8 @@ def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_c
     ``max_concurrency`` caps the number of partitions (= parallel clients).
     Requests are de-duplicated by ``request_id`` first.
     """
+    from feedlens.session import ship_package
+    ship_package(requests.sparkSession)
     todo = requests.select("request_id", F.col(prompt_col).alias("prompt")).dropDuplicates(["request_id"])
     if max_concurrency:
         todo = todo.repartition(max_concurrency, "request_id")

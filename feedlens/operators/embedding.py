@@ -42,6 +42,9 @@ def model_vectors(df: DataFrame, text_col: str, load_model: Callable[[], object]
                   out: str = "v") -> DataFrame:
     """``load_model()`` returns an object with ``encode(list[str]) -> array (n, dim)``."""
 
+    from feedlens.session import ship_package
+    ship_package(df.sparkSession)
+
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()

@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedlens.session import ensure_checkpoint_dir
+from feedlens.session import ensure_checkpoint_dir, ship_package
 
 
 def _range_sorted(df: DataFrame, order: Sequence[str], partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id()))

@@ -161,6 +161,8 @@ def silhouette_exact(points: DataFrame, id_col: str, vec_col: str = "v", cluster
     O(N^2 d), as the metric requires: for very large N use
     ``silhouette_sampled`` or ``silhouette_squared``.
     """
+    from feedlens.session import ship_package
+    ship_package(points.sparkSession)
     pts = points.select(F.col(id_col).cast("long").alias("pid"), F.col(cluster_col).cast("long").alias("cid"),
                         vectors.as_double(vec_col).alias("v"))
     n = pts.count()
@@ -197,6 +199,8 @@ def silhouette_sampled(points: DataFrame, id_col: str, per_cluster: int = 256, v
     members the anchors are the whole clusters and the result is exact.
     """
     from feedlens.functions.hashing import seeded_key
+    from feedlens.session import ship_package
+    ship_package(points.sparkSession)
     pts = points.select(F.col(id_col).cast("long").alias("pid"), F.col(cluster_col).cast("long").alias("cid"),
                         vectors.as_double(vec_col).alias("v"))
     w = Window.partitionBy("cid").orderBy(seeded_key("pid", seed), "pid")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.plans import fixtures
+from feedlens.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,7 @@ def query(name: str, oracle: str | None = None):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             fixtures.register(spark, sf_dir)
             return finish(fn(spark, sf_dir))
 

@@ -39,3 +39,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="feedlens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedlens`` importable in Python workers (once per SparkContext).
+
+    Operators that run Python on executors (``mapInPandas``, cogrouped
+    ``applyInPandas``, pandas UDFs) pickle functions by reference to this
+    package.  When the package is installed on the cluster nothing happens;
+    when it is imported from a source tree it is zipped on the driver and
+    distributed with ``SparkContext.addPyFile`` (Spark's own file server).
+    """
+    import os
+    import sys
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    if any(part in pkg_dir for part in ("site-packages", "dist-packages")):
+        _SHIPPED.add(key)
+        return
+    out_dir = tempfile.mkdtemp(prefix="feedlens-pyfiles-")
+    zpath = os.path.join(out_dir, "feedlens.zip")
+    root = os.path.dirname(pkg_dir)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    if zpath not in sys.path:
+        sys.path.append(zpath)
+    _SHIPPED.add(key)
