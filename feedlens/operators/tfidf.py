@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import TOKEN_PATTERN, tokens
-from feedlens.session import ensure_checkpoint_dir
+from feedlens.session import ensure_checkpoint_dir, materialize
 
 
 @functools.lru_cache(maxsize=None)
@@ -45,13 +45,13 @@ def top_terms(df: DataFrame, id_col: str, text_col: str, max_features: int = 50,
     """Mean L2-normalised TF-IDF weight of the ``max_features`` most frequent terms; the ``top_n`` best.
 
     Tokenising whole texts is the expensive step, so the (doc, term, tf) table
-    is computed once and checkpointed into the shared checkpoint dir; the
+    is computed once and written as Parquet under the shared checkpoint dir; the
     vocabulary (bounded by ``max_features``) is read from it and broadcast.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_docs = df.select(id_col).count()
-    tf = term_frequencies(df, id_col, text_col, stop_words).checkpoint(eager=True)
+    tf = materialize(term_frequencies(df, id_col, text_col, stop_words), "tfidf-tf")
     vocab_rows = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
                   .orderBy(F.desc("total"), "term").limit(max_features).collect())
     vocab = spark.createDataFrame([(r["term"], int(r["total"]), int(r["df"])) for r in vocab_rows],
