@@ -319,7 +319,23 @@ def q_k_select(spark, sf_dir):
                          (F.col("k") == F.first("k").over(w)).alias("selected"))
 
 
-@query("silhouette_sampled")
+SAMPLED_ANCHORS = 16
+
+
+@query("silhouette_sampled", VEC_SQL + f"""
+, an AS (SELECT vec_id AS aid, cluster_id AS acid, v AS av FROM p
+         QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY {seeded_key_sql('vec_id', 42)}, vec_id)
+                 <= {SAMPLED_ANCHORS}),
+sz AS (SELECT cluster_id, count(*) AS n FROM p GROUP BY cluster_id),
+d AS (SELECT p.vec_id, p.cluster_id AS own, an.acid AS other, avg(sqrt({SQDIST.format(a='p.v', b='an.av')})) AS m
+      FROM p JOIN an ON an.aid <> p.vec_id GROUP BY p.vec_id, p.cluster_id, an.acid),
+pp AS (SELECT p.vec_id, p.cluster_id AS own, sz.n,
+              (SELECT m FROM d WHERE d.vec_id = p.vec_id AND d.other = p.cluster_id) AS a,
+              (SELECT min(m) FROM d WHERE d.vec_id = p.vec_id AND d.other <> p.cluster_id) AS b
+       FROM p JOIN sz ON sz.cluster_id = p.cluster_id),
+ss AS (SELECT CASE WHEN n <= 1 OR a IS NULL OR greatest(a, b) = 0 THEN 0.0
+                   ELSE (b - a) / greatest(a, b) END AS s FROM pp)
+SELECT {r6('avg(s)')} AS silhouette, count(*) AS n FROM ss""")
 def q_silhouette_sampled(spark, sf_dir):
-    """Large-N silhouette mode: every point against up to 64 seeded anchors per cluster."""
-    return quality.silhouette_sampled(vecs(spark), "vec_id", per_cluster=64)
+    """Large-N silhouette mode: every point against up to 16 seeded anchors per cluster."""
+    return quality.silhouette_sampled(vecs(spark), "vec_id", per_cluster=SAMPLED_ANCHORS)
