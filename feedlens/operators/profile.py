@@ -92,23 +92,33 @@ def _min_max(df: DataFrame, col: str) -> tuple[float, float]:
 
 
 def equal_width_histogram(df: DataFrame, col: str, n_bins: int) -> DataFrame:
-    """``n_bins`` equal-width bins over [min, max], last bin closed; every bin reported (0 counts too).
+    """``n_bins`` equal-width bins over [min, max] with numpy's rules (as matplotlib's ``hist``).
 
-    The two bounds are a one-row aggregate read on the driver; the counting is a
-    partial aggregation over the data.
+    Index = floor((x - min) / (max - min) * n), the max value falls in the last
+    bin, then one correction step against the ``linspace`` edges so a value on
+    an edge lands where numpy puts it.  Every bin is reported (0 counts too).
+    The two bounds are a one-row aggregate read on the driver; the counting is
+    a partial aggregation over the data.
     """
     lo, hi = _min_max(df, col)
     spark = df.sparkSession
     if lo is None:
         return spark.createDataFrame([], "bin int, lo double, hi double, n long")
-    width = (hi - lo) / n_bins if hi > lo else 1.0
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    step = (hi - lo) / n_bins
+    edge = lambda i: F.when(i >= n_bins, F.lit(hi)).otherwise(i * F.lit(step) + F.lit(lo))
     x = F.col(col).cast("double")
-    idx = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(n_bins - 1)).cast("int")
-    counts = df.where(x.isNotNull()).groupBy(idx.alias("bin")).agg(F.count("*").alias("n"))
-    bins = spark.range(n_bins).select(
-        F.col("id").cast("int").alias("bin"),
-        (F.lit(lo) + F.col("id") * F.lit(width)).alias("lo"),
-        (F.lit(lo) + (F.col("id") + 1) * F.lit(width)).alias("hi"))
+    first = F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(n_bins)))
+    first = F.when(first >= n_bins, n_bins - 1).otherwise(first)
+    keyed = df.where(x.isNotNull()).select(x.alias("_x"), first.alias("_i"))
+    xi, i = F.col("_x"), F.col("_i")
+    fixed = (F.when(xi < edge(i), i - 1)
+             .when((xi >= edge(i + 1)) & (i != n_bins - 1), i + 1)
+             .otherwise(i)).cast("int")
+    counts = keyed.groupBy(fixed.alias("bin")).agg(F.count("*").alias("n"))
+    bins = spark.range(n_bins).select(F.col("id").cast("int").alias("bin"))
+    bins = bins.select("bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"))
     return (bins.join(F.broadcast(counts), "bin", "left")
             .select("bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 

@@ -312,3 +312,66 @@ def q_extraction_report(spark, sf_dir):
     p = parsed(spark)
     ex = responses.explode_aspects(p, ["comment_id"])
     return reports.extraction_report(p, ex, ledger.cost_summary(spark.table("v_usage")))
+
+
+def _apc_values_sql() -> str:
+    return (cte("v_aspects") + f", ids AS (SELECT comment_id, count(*) AS n FROM v_aspects GROUP BY comment_id) "
+            f"SELECT CASE WHEN {EMPTY_OBJECT} THEN 0 ELSE n END AS x FROM ids WHERE NOT {ERR_A}")
+
+
+def _conf_values_sql() -> str:
+    return cte("v_aspects") + "SELECT coalesce(confidence, 0.5) AS x FROM v_aspects"
+
+
+def _box_sql(values_sql: str) -> str:
+    return f"""
+WITH p AS (SELECT CAST(x AS DOUBLE) AS x FROM ({values_sql})),
+q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM p)
+SELECT {r6('q1')} AS q1, {r6('median')} AS median, {r6('q3')} AS q3, {r6('q3 - q1')} AS iqr,
+       {r6('min(CASE WHEN x >= q1 - 1.5 * (q3 - q1) THEN x END)')} AS whisker_lo,
+       {r6('max(CASE WHEN x <= q3 + 1.5 * (q3 - q1) THEN x END)')} AS whisker_hi,
+       count(CASE WHEN x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1) THEN 1 END) AS n_outliers,
+       count(x) AS n
+FROM p, q GROUP BY q1, median, q3"""
+
+
+def _hist(values_sql: str, n: int) -> str:
+    from feedlens.plans.corpus import hist_sql
+    return hist_sql(values_sql, n)
+
+
+def apc_values(spark):
+    return parsed(spark).where(F.col("status") == "success").select("num_aspects")
+
+
+@query("confidence_histogram", _hist(_conf_values_sql(), 30))
+def q_confidence_histogram(spark, sf_dir):
+    """Aspect confidence, 30 equal-width bins."""
+    from feedlens.operators import profile
+    return profile.equal_width_histogram(aspect_rows(spark), "confidence", 30)
+
+
+@query("confidence_boxplot", _box_sql(_conf_values_sql()))
+def q_confidence_boxplot(spark, sf_dir):
+    from feedlens.operators import profile
+    return profile.boxplot_summary(aspect_rows(spark), "confidence")
+
+
+@query("apc_histogram", _hist(_apc_values_sql(), 20))
+def q_apc_histogram(spark, sf_dir):
+    """Aspects per successful comment, 20 equal-width bins."""
+    from feedlens.operators import profile
+    return profile.equal_width_histogram(apc_values(spark), "num_aspects", 20)
+
+
+@query("apc_boxplot", _box_sql(_apc_values_sql()))
+def q_apc_boxplot(spark, sf_dir):
+    from feedlens.operators import profile
+    return profile.boxplot_summary(apc_values(spark), "num_aspects")
+
+
+@query("cluster_size_histogram", _hist(cte("v_aspects") + "SELECT count(*) AS x FROM v_aspects GROUP BY cluster_id", 15))
+def q_cluster_size_histogram(spark, sf_dir):
+    """Cluster sizes, 15 equal-width bins."""
+    from feedlens.operators import profile, quality
+    return profile.equal_width_histogram(quality.cluster_sizes(aspect_rows(spark)), "size", 15)

@@ -102,20 +102,39 @@ def q_dup_counts(spark, sf_dir):
     return profile.dup_counts(comments(spark), "comment")
 
 
-@query("histogram", f"""
-WITH b AS (SELECT CAST(min(length(text)) AS DOUBLE) AS lo, CAST(max(length(text)) AS DOUBLE) AS hi FROM documents),
-w AS (SELECT lo, hi, CASE WHEN hi > lo THEN (hi - lo) / 50 ELSE 1.0 END AS width FROM b),
-c AS (SELECT CAST(least(floor((length(text) - w.lo) / w.width), 49) AS INT) AS bin, count(*) AS n
-      FROM documents, w GROUP BY 1),
-r AS (SELECT CAST(range AS INT) AS bin, w.lo + range * w.width AS lo, w.lo + (range + 1) * w.width AS hi
-      FROM range(50), w)
+def hist_sql(values_sql: str, n: int) -> str:
+    """DuckDB text of numpy's equal-width histogram over the ``x`` column of ``values_sql``."""
+    edge = "(CASE WHEN {i} >= {n} THEN w.hi ELSE {i} * w.step + w.lo END)"
+    e = lambda i: edge.format(i=i, n=n)
+    return f"""
+WITH v AS ({values_sql}),
+b AS (SELECT CAST(min(x) AS DOUBLE) AS lo0, CAST(max(x) AS DOUBLE) AS hi0 FROM v WHERE x IS NOT NULL),
+w AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi,
+             (CASE WHEN lo0 = hi0 THEN 1.0 ELSE hi0 - lo0 END) / {n} AS step FROM b),
+f AS (SELECT CAST(v.x AS DOUBLE) AS x, least(CAST(floor((v.x - w.lo) / (w.hi - w.lo) * {float(n)}) AS BIGINT), {n - 1}) AS i
+      FROM v, w WHERE v.x IS NOT NULL),
+c AS (SELECT CAST(CASE WHEN f.x < {e('f.i')} THEN f.i - 1
+                       WHEN f.x >= {e('(f.i + 1)')} AND f.i <> {n - 1} THEN f.i + 1 ELSE f.i END AS INT) AS bin,
+             count(*) AS n FROM f, w GROUP BY 1),
+r AS (SELECT CAST(range AS INT) AS bin, {e('range')} AS lo, {e('(range + 1)')} AS hi FROM range({n}), w)
 SELECT r.bin, {r6('r.lo')} AS lo, {r6('r.hi')} AS hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
-FROM r LEFT JOIN c ON r.bin = c.bin""")
+FROM r LEFT JOIN c ON r.bin = c.bin"""
+
+
+@query("histogram", hist_sql("SELECT length(text) AS x FROM documents", 50))
 def q_histogram(spark, sf_dir):
+    """Comment lengths, 50 equal-width bins (numpy rules)."""
     df = comments(spark).select(text.char_length("comment").alias("length"))
     return profile.equal_width_histogram(df, "length", 50)
 
 
+@query("word_histogram", hist_sql(f"SELECT {WS_SPLIT.format(t='text')} AS x FROM documents", 50))
+def q_word_histogram(spark, sf_dir):
+    """Words per comment, 50 equal-width bins."""
+    df = comments(spark).select(text.word_count("comment").alias("words"))
+    return profile.equal_width_histogram(df, "words", 50)
+
+
 @query("boxplot", f"""
 WITH p AS (SELECT CAST(length(text) AS DOUBLE) AS x FROM documents),
 q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM p)

@@ -198,3 +198,17 @@ def test_density_edges_and_components_match_brute_force(spark, block):
         comps.setdefault(find(i), []).append(i)
     exp_lab = {i: (min(m) if len(m) >= 3 else -1) for m in comps.values() for i in m}
     assert lab == exp_lab
+
+
+@pytest.mark.parametrize("n_bins", [3, 15, 30, 50])
+def test_histogram_matches_numpy(spark, n_bins):
+    from feedlens.operators import profile
+    rng = np.random.default_rng(n_bins)
+    vals = np.concatenate([rng.normal(size=400), np.linspace(-1, 1, n_bins + 1), [0.1, 0.2, 0.3]])
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = [r["n"] for r in profile.equal_width_histogram(df, "x", n_bins).orderBy("bin").collect()]
+    exp, _ = np.histogram(vals, bins=n_bins)
+    assert got == exp.tolist()
+    const = spark.createDataFrame([(2.0,)] * 5, "x double")
+    assert [r["n"] for r in profile.equal_width_histogram(const, "x", 4).orderBy("bin").collect()] == \
+        np.histogram(np.full(5, 2.0), bins=4)[0].tolist()
