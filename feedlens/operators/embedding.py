@@ -53,3 +53,22 @@ def model_vectors(df: DataFrame, text_col: str, load_model: Callable[[], object]
             yield pd.Series(list(arr))
 
     return df.withColumn(out, encode(F.col(text_col)))
+
+
+class HashingEncoder:
+    """Offline, deterministic encoder for tests and dry runs: token counts hashed into ``dim``
+    buckets (stable ``zlib.crc32``), L2-normalised.  Same contract as a sentence model:
+    ``encode(list[str]) -> ndarray (n, dim)``."""
+
+    def __init__(self, dim: int = 64):
+        self.dim = dim
+
+    def encode(self, texts):
+        import re
+        import zlib
+        out = np.zeros((len(texts), self.dim), dtype=np.float64)
+        for r, t in enumerate(texts):
+            for tok in re.findall(r"\w\w+", (t or "").lower()):
+                out[r, zlib.crc32(tok.encode("utf-8")) % self.dim] += 1.0
+        norms = np.linalg.norm(out, axis=1, keepdims=True)
+        return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)

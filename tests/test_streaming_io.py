@@ -1,6 +1,8 @@
 """Sources, sinks, the streaming extraction job and the clustering API."""
 
 import json
+
+import numpy as np
 import os
 import tempfile
 
@@ -159,3 +161,23 @@ def test_budgeted_run_stops_after_crossing_batch(spark):
     assert stored.count() == 30
     again = completion.run_budgeted(req, completion.EchoClient, out, ["comment_id"], 10, 1.0)
     assert not again["stopped_by_budget"] and spark.read.parquet(out).count() == 100
+
+
+def test_model_vectors_provider(spark):
+    from feedlens.operators import embedding
+    df = spark.createDataFrame([(1, "app login is slow"), (2, "App login is SLOW!"), (3, "")], "id long, t string")
+    out = {r["id"]: r["v"] for r in embedding.model_vectors(df, "t", lambda: embedding.HashingEncoder(16), 16).collect()}
+    assert len(out[1]) == 16 and out[1] == out[2]                     # same tokens -> same vector
+    assert all(x == 0 for x in out[3])
+    exp = embedding.HashingEncoder(16).encode(["app login is slow"])[0]
+    assert np.allclose(out[1], exp, atol=1e-6)
+
+
+def test_join_and_hashing_providers(spark):
+    from feedlens.operators import embedding
+    df = spark.createDataFrame([(1, "a b"), (2, "c d")], "id long, t string")
+    table = spark.createDataFrame([(1, [0.1, 0.2])], "key long, embedding array<float>")
+    assert embedding.join_embeddings(df, "id", table, "key").count() == 1
+    hv = embedding.hashing_vectors(spark.createDataFrame([(1, "alpha beta"), (2, "beta gamma")], "id long, t string"), "t",
+                                   num_features=32)
+    assert hv.count() == 2
