@@ -34,7 +34,7 @@ HEADLINE = [
     "davies_bouldin",
     "silhouette_exact",       # blocked O(N^2) pass
     "kmeans_sizes",           # Spark ML k-means, best of 10 runs
-    "semantic_pipeline",      # centroid -> cosine top-3 -> mapping
+    "semantic_mapping",      # centroid -> cosine top-3 -> mapping
     "validate_stub",          # validation prompts -> model -> parse -> overlay
 ]
 

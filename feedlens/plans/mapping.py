@@ -126,9 +126,9 @@ def semantic(spark):
     return mapping.primary_mapping(ranked, "cluster_id", "cluster_name")
 
 
-@query("semantic_pipeline", SEM_SQL + f"""
+@query("semantic_mapping", SEM_SQL + f"""
 SELECT cluster_id, primary_theme, primary_category, {r6('primary_confidence')} AS primary_confidence FROM sem""")
-def q_semantic_pipeline(spark, sf_dir):
+def q_semantic_mapping(spark, sf_dir):
     return semantic(spark).select("cluster_id", "primary_theme", "primary_category", "primary_confidence")
 
 
