@@ -41,8 +41,9 @@ def char_length(col) -> Column:
 
 def word_count(col) -> Column:
     """Number of whitespace-separated words, Unicode-aware like ``str.split()``."""
-    parts = F.split(_c(col), WS_RUN)
-    return F.size(F.filter(parts, lambda x: x != F.lit("")))
+    c = _c(col)
+    parts = F.split(c, WS_RUN)
+    return F.when(c.isNotNull(), F.size(F.filter(parts, lambda x: x != F.lit(""))))
 
 
 def strip_ws(col) -> Column:

@@ -28,8 +28,9 @@ def parse_responses(df: DataFrame, text_col: str = "response_text", schema: T.St
 def with_aspect_count(df: DataFrame, parsed: str = "parsed") -> DataFrame:
     """``num_aspects``: number of aspects, 0 for ``{}`` or a missing list (successes only)."""
     arr = F.col(f"{parsed}.aspects")
-    return df.withColumn("num_aspects", F.when(F.col("status") == "success",
-                                               F.coalesce(F.size(arr), F.lit(0))))
+    # size(NULL) is -1 when ANSI mode is off: test for null explicitly
+    n = F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
+    return df.withColumn("num_aspects", F.when(F.col("status") == "success", n))
 
 
 def explode_aspects(df: DataFrame, keys: list[str], parsed: str = "parsed",

@@ -27,6 +27,8 @@ def main():
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")] or sorted(QUERIES)
     spark = local_session()
+    if os.environ.get("CHECK_ANSI") in ("0", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", "false")
     con = duckdb.connect()
     for t in BASE_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
