@@ -42,37 +42,47 @@ def pending(requests: DataFrame, completed: DataFrame) -> DataFrame:
 
 
 def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_col: str = "prompt",
-             max_concurrency: int | None = None, error_chars: int = 100) -> DataFrame:
+             max_concurrency: int | None = None, error_chars: int = 100, dedup: bool = True) -> DataFrame:
     """Call the model once per distinct request; return the completion table.
 
-    ``max_concurrency`` caps the number of partitions (= parallel clients).
-    Requests are de-duplicated by ``request_id`` first.
+    With ``dedup`` the requests are hash-partitioned on ``request_id`` (one
+    shuffle), so every copy of a prompt lands in the same task and is called
+    once there; the partition count (``max_concurrency``, default the shuffle
+    partitions) is also the number of parallel clients.  ``dedup=False`` is for
+    callers whose prompts are already unique: no shuffle at all, unless
+    ``max_concurrency`` asks for a round-robin repartition.
     """
     from feedlens.session import ship_package
     ship_package(requests.sparkSession)
-    todo = requests.select("request_id", F.col(prompt_col).alias("prompt")).dropDuplicates(["request_id"])
-    if max_concurrency:
-        todo = todo.repartition(max_concurrency, "request_id")
+    todo = requests.select("request_id", F.col(prompt_col).alias("prompt"))
+    if dedup:
+        n = max_concurrency or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        todo = todo.repartition(n, "request_id")
+    elif max_concurrency:
+        todo = todo.repartition(max_concurrency)
 
     def run(batches):
         client = client_factory()
+        seen: set[str] = set()
         for pdf in batches:
-            texts, ins, outs, status, errors = [], [], [], [], []
-            for prompt in pdf["prompt"]:
+            ids, texts, ins, outs, status, errors = [], [], [], [], [], []
+            for rid, prompt in zip(pdf["request_id"], pdf["prompt"]):
+                if dedup:
+                    if rid in seen:
+                        continue
+                    seen.add(rid)
                 try:
                     text, tin, tout = client.complete(prompt)
-                    texts.append(text)
-                    ins.append(int(tin))
-                    outs.append(int(tout))
-                    status.append("success")
-                    errors.append(None)
+                    row = (text, int(tin), int(tout), "success", None)
                 except Exception as e:  # noqa: BLE001 - a failed call is data, not a crash
-                    texts.append(None)
-                    ins.append(0)
-                    outs.append(0)
-                    status.append("error")
-                    errors.append(str(e)[:error_chars])
-            yield pd.DataFrame({"request_id": pdf["request_id"], "text": texts,
+                    row = (None, 0, 0, "error", str(e)[:error_chars])
+                ids.append(rid)
+                texts.append(row[0])
+                ins.append(row[1])
+                outs.append(row[2])
+                status.append(row[3])
+                errors.append(row[4])
+            yield pd.DataFrame({"request_id": ids, "text": texts,
                                 "input_tokens": pd.Series(ins, dtype="int64"),
                                 "output_tokens": pd.Series(outs, dtype="int64"),
                                 "status": status, "error": errors})
