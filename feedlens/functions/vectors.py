@@ -38,9 +38,3 @@ def cosine(a, b) -> Column:
     """Cosine similarity; 0 when either vector has zero norm (as sklearn)."""
     den = norm(a) * norm(b)
     return F.when(den == 0, F.lit(0.0)).otherwise(dot(a, b) / den)
-
-
-def dot_sql(a: str, b: str) -> str:
-    """DuckDB text of the same left-to-right dot product."""
-    return (f"list_reduce(list_transform(list_zip(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])), "
-            f"lambda p: p[1] * p[2]), lambda acc, v: acc + v)")

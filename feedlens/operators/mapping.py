@@ -31,14 +31,6 @@ def nest_themes(flat: DataFrame) -> DataFrame:
                                             F.transform(x["t"], lambda y: y["theme"]).alias("themes"))).alias("themes"))
 
 
-def catalogue_order(flat: DataFrame) -> DataFrame:
-    """Global catalogue position: categories by first appearance, themes in order within each."""
-    first = flat.groupBy("category").agg(F.min("theme_pos").alias("_first"))
-    w = Window.orderBy("_first", "theme_pos")  # catalogue-sized frame
-    return (flat.join(first, "category")
-            .withColumn("catalogue_pos", (F.row_number().over(w) - 1).cast("int")).drop("_first"))
-
-
 def theme_block(flat: DataFrame) -> DataFrame:
     """The catalogue rendered for prompts: header, then per category a title and ``  - theme`` lines."""
     cats = flat.groupBy("category").agg(

@@ -166,11 +166,6 @@ def register(spark: SparkSession, sf_dir: str) -> None:
     _REGISTERED[key] = sf_dir
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    register(spark, sf_dir)
-    return spark.table(name)
-
-
 def cte(*names: str) -> str:
     """WITH-clause prefix that inlines fixture views for DuckDB (which has only base tables)."""
     order = ["v_aspects", "v_themes", "v_mappings", "v_vectors", "v_theme_vectors", "v_usage",
