@@ -15,12 +15,24 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     problems = compare(df.columns, srows, dcols, cur.fetchall())
     assert not problems, problems
+    assert_scalable_plan(df)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+def assert_scalable_plan(df):
+    """No pair-producing join and no row-at-a-time Python UDF in the executed plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    bad = [f for f in FORBIDDEN if f in plan]
+    assert not bad, bad
 
 
 @pytest.mark.parametrize("name", sorted(n for n, c in CHECK.items() if c == "R"))
 def test_rows_only_queries_run(spark, name):
     df = QUERIES[name](spark, SMOKE)
     assert df.count() >= 0
+    assert_scalable_plan(df)
 
 
 def test_every_query_has_a_check():
