@@ -42,7 +42,8 @@ def pending(requests: DataFrame, completed: DataFrame) -> DataFrame:
 
 
 def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_col: str = "prompt",
-             max_concurrency: int | None = None, error_chars: int = 100, dedup: bool = True) -> DataFrame:
+             max_concurrency: int | None = None, error_chars: int = 100, dedup: bool = True,
+             journal_dir: str | None = None) -> DataFrame:
     """Call the model once per distinct request; return the completion table.
 
     With ``dedup`` the requests are hash-partitioned on ``request_id`` (one
@@ -51,7 +52,15 @@ def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_c
     partitions) is also the number of parallel clients.  ``dedup=False`` is for
     callers whose prompts are already unique: no shuffle at all, unless
     ``max_concurrency`` asks for a round-robin repartition.
+
+    ``journal_dir`` (a directory on storage every executor mounts, e.g. under
+    the shared checkpoint dir) makes calls survive task retries and repeated
+    actions: each task appends every completion to its own journal file as it
+    is made and, when run again, replays the journal instead of calling the
+    model.  Requires ``dedup`` (the hash partitioning makes a retried task see
+    the same prompts).
     """
+    import uuid
     from feedlens.session import ship_package
     ship_package(requests.sparkSession)
     todo = requests.select("request_id", F.col(prompt_col).alias("prompt"))
@@ -61,9 +70,29 @@ def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_c
     elif max_concurrency:
         todo = todo.repartition(max_concurrency)
 
+    journal = f"{journal_dir.rstrip('/')}/{uuid.uuid4().hex}" if journal_dir and dedup else None
+
     def run(batches):
-        client = client_factory()
+        import json
+        import os
+
+        from pyspark import TaskContext
+        client = None
         seen: set[str] = set()
+        replay: dict[str, tuple] = {}
+        log = None
+        if journal:
+            os.makedirs(journal, exist_ok=True)
+            path = os.path.join(journal, f"part-{TaskContext.get().partitionId():05d}.jsonl")
+            if os.path.exists(path):
+                with open(path, encoding="utf-8") as fh:
+                    for line in fh:
+                        try:
+                            rec = json.loads(line)
+                        except ValueError:
+                            continue  # a line cut short by the failure that caused the retry
+                        replay[rec[0]] = tuple(rec[1:])
+            log = open(path, "a", encoding="utf-8")
         for pdf in batches:
             ids, texts, ins, outs, status, errors = [], [], [], [], [], []
             for rid, prompt in zip(pdf["request_id"], pdf["prompt"]):
@@ -71,11 +100,18 @@ def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_c
                     if rid in seen:
                         continue
                     seen.add(rid)
-                try:
-                    text, tin, tout = client.complete(prompt)
-                    row = (text, int(tin), int(tout), "success", None)
-                except Exception as e:  # noqa: BLE001 - a failed call is data, not a crash
-                    row = (None, 0, 0, "error", str(e)[:error_chars])
+                if rid in replay:
+                    row = replay[rid]
+                else:
+                    client = client or client_factory()
+                    try:
+                        text, tin, tout = client.complete(prompt)
+                        row = (text, int(tin), int(tout), "success", None)
+                    except Exception as e:  # noqa: BLE001 - a failed call is data, not a crash
+                        row = (None, 0, 0, "error", str(e)[:error_chars])
+                    if log:
+                        log.write(json.dumps([rid, *row]) + "\n")
+                        log.flush()
                 ids.append(rid)
                 texts.append(row[0])
                 ins.append(row[1])
@@ -86,6 +122,8 @@ def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_c
                                 "input_tokens": pd.Series(ins, dtype="int64"),
                                 "output_tokens": pd.Series(outs, dtype="int64"),
                                 "status": status, "error": errors})
+        if log:
+            log.close()
 
     return todo.mapInPandas(run, COMPLETION_SCHEMA)
 
