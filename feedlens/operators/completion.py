@@ -155,7 +155,8 @@ class ReplayClient:
 
 
 def run_budgeted(requests: DataFrame, client_factory: Callable[[], object], completions_path: str,
-                 order: list[str], batch_size: int, limit_usd: float, prompt_col: str = "prompt") -> dict:
+                 order: list[str], batch_size: int, limit_usd: float, prompt_col: str = "prompt",
+                 journal_dir: str | None = None) -> dict:
     """Live budget enforcement: call the model batch by batch (in ``order``), appending each batch's
     completions to ``completions_path``; stop after the batch whose cumulative cost exceeds the limit
     (that batch is kept, as in the reference loop).  Re-runs skip stored request ids.
@@ -183,7 +184,7 @@ def run_budgeted(requests: DataFrame, client_factory: Callable[[], object], comp
         todo = batched.where(F.col("batch_no") == b)
         if fs.exists(path):
             todo = pending(todo, spark.read.parquet(completions_path))
-        complete(todo, client_factory, prompt_col).write.mode("append").parquet(completions_path)
+        complete(todo, client_factory, prompt_col, journal_dir=journal_dir).write.mode("append").parquet(completions_path)
         run += 1
         tok = spark.read.parquet(completions_path).agg(F.sum("input_tokens"), F.sum("output_tokens")).first()
         spent = round((tok[0] or 0) * cost.INPUT_USD_PER_TOKEN + (tok[1] or 0) * cost.OUTPUT_USD_PER_TOKEN, 4)

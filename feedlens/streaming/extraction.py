@@ -30,14 +30,25 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def process_batch(batch: DataFrame, epoch_id: int, client_factory, completions_path: str, results_path: str,
-                  model: str, template: str) -> None:
+                  model: str, template: str, journal_dir: str | None = None) -> None:
     spark = batch.sparkSession
+    batch = batch.persist()  # read by the anti join, the model call and the result join
+    try:
+        _process(spark, batch, epoch_id, client_factory, completions_path, results_path, model, template,
+                 journal_dir)
+    finally:
+        batch.unpersist()
+
+
+def _process(spark, batch, epoch_id, client_factory, completions_path, results_path, model, template,
+             journal_dir) -> None:
     req = completion.with_request_id(
         batch.withColumn("prompt", prompts.render(template, comment=F.col("comment"))), "prompt", model)
     todo = req
     if _table_exists(spark, completions_path):
         todo = completion.pending(req, spark.read.parquet(completions_path))
-    completion.complete(todo, client_factory, "prompt").write.mode("append").parquet(completions_path)
+    completion.complete(todo, client_factory, "prompt", journal_dir=journal_dir) \
+        .write.mode("append").parquet(completions_path)
     done = spark.read.parquet(completions_path).dropDuplicates(["request_id"])
     joined = req.select("comment_id", "request_id").join(done, "request_id")
     parsed = responses.with_aspect_count(
@@ -50,7 +61,8 @@ def process_batch(batch: DataFrame, epoch_id: int, client_factory, completions_p
 
 def start_extraction_stream(spark: SparkSession, source_dir: str, out_dir: str, client_factory,
                             model: str = "stub-model", template: str = prompts.EXTRACTION_TEMPLATE,
-                            checkpoint_location: str | None = None, available_now: bool = True):
+                            checkpoint_location: str | None = None, available_now: bool = True,
+                            journal_dir: str | None = None):
     """Start the stream; returns the ``StreamingQuery``.  Outputs under ``out_dir``:
     ``completions/`` (append-only, keyed by request id) and ``results/`` (partitioned by epoch)."""
     completions_path = os.path.join(out_dir, "completions")
@@ -59,7 +71,7 @@ def start_extraction_stream(spark: SparkSession, source_dir: str, out_dir: str,
     stream = spark.readStream.schema(COMMENTS).parquet(source_dir)
     writer = (stream.writeStream
               .foreachBatch(lambda df, eid: process_batch(df, eid, client_factory, completions_path, results_path,
-                                                          model, template))
+                                                          model, template, journal_dir))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
