@@ -50,3 +50,10 @@ def test_text_profile_prunes_columns(spark):
 def test_cluster_prompts_are_chunked(spark):
     df = QUERIES["render_cluster_prompt"](spark, SMOKE)
     assert df.agg({"n_lines": "max"}).first()[0] <= 1000
+
+
+def test_filters_reach_the_parquet_scan(spark):
+    from feedlens.plans import fixtures
+    fixtures.register(spark, SMOKE)
+    p = spark.table("v_theme_vectors")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(vec_id), LessThan(vec_id,15)]" in p
