@@ -238,8 +238,12 @@ DENSITY_MIN = 3
 
 
 @query("density_clusters", VEC_SQL + f"""
-, e AS (SELECT a.vec_id AS s, b.vec_id AS d FROM p a, p b
-        WHERE a.vec_id <> b.vec_id AND sqrt({SQDIST.format(a='a.v', b='b.v')}) <= {DENSITY_EPS}),
+, dd AS (SELECT a.vec_id AS s, b.vec_id AS t, sqrt({SQDIST.format(a='a.v', b='b.v')}) AS dist
+         FROM p a, p b WHERE a.vec_id <> b.vec_id),
+core AS (SELECT s AS vec_id, dist AS core FROM dd
+         QUALIFY row_number() OVER (PARTITION BY s ORDER BY dist) = {DENSITY_MIN - 1}),
+e AS (SELECT dd.s, dd.t AS d FROM dd JOIN core c1 ON c1.vec_id = dd.s JOIN core c2 ON c2.vec_id = dd.t
+      WHERE greatest(dd.dist, c1.core, c2.core) <= {DENSITY_EPS}),
 r AS (SELECT * FROM (
   WITH RECURSIVE reach(v, lab) AS (
     SELECT vec_id, vec_id FROM p
@@ -250,7 +254,7 @@ sz AS (SELECT comp, count(*) AS n FROM r GROUP BY comp)
 SELECT r.v AS vec_id, CAST(CASE WHEN sz.n >= {DENSITY_MIN} THEN r.comp ELSE -1 END AS BIGINT) AS cluster_id
 FROM r JOIN sz ON r.comp = sz.comp""")
 def q_density_clusters(spark, sf_dir):
-    """Exact eps-neighbour graph (eps = 1.15) -> connected components; components < 3 points are noise (-1)."""
+    """Mutual-reachability graph at eps = 1.15 (min_samples = 3) -> connected components; components < 3 are noise."""
     from feedlens.operators import density
     return density.density_clusters(vecs(spark), "vec_id", DENSITY_EPS, DENSITY_MIN, block_size=256)
 

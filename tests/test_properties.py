@@ -183,8 +183,14 @@ def test_density_edges_and_components_match_brute_force(spark, block):
     eps = 2.0
     got = sorted((r["src"], r["dst"]) for r in density.epsilon_edges(df, "vec_id", eps, block_size=block).collect())
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
-    exp = sorted((i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if d[i, j] <= eps)
-    assert got == exp
+    exp_plain = sorted((i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if d[i, j] <= eps)
+    assert got == exp_plain
+    # mutual reachability with min_samples = 3: core = 2nd nearest other point
+    core = np.sort(np.where(np.eye(len(x), dtype=bool), np.inf, d), axis=1)[:, 1]
+    exp = sorted((i, j) for i, j in exp_plain if max(d[i, j], core[i], core[j]) <= eps)
+    got_mr = sorted((r["src"], r["dst"]) for r in
+                    density.epsilon_edges(df, "vec_id", eps, block_size=block, min_samples=3).collect())
+    assert got_mr == exp
     lab = {r["vec_id"]: r["cluster_id"] for r in density.density_clusters(df, "vec_id", eps, 3, block_size=block).collect()}
     parent = list(range(len(x)))
     def find(i):
