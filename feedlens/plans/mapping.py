@@ -156,8 +156,8 @@ vp AS (SELECT sem.cluster_id,
 """
 
 
-def validation_requests(spark):
-    sem = semantic(spark)
+def validation_requests(spark, sem=None):
+    sem = semantic(spark) if sem is None else sem
     low = mapping.low_confidence(sem, LOW).select("cluster_id", "top_matches")
     return mapping.validation_prompts(low, insights_df(spark), mapping.theme_block(themes(spark)))
 
@@ -181,10 +181,11 @@ SELECT cluster_id,
 FROM sem""")
 def q_validate_stub(spark, sf_dir):
     """Low-confidence mappings re-decided by an (offline) model; answers overlay the semantic mapping."""
-    req = validation_requests(spark)
+    sem = semantic(spark)  # one semantic mapping feeds both the prompts and the overlay
+    req = validation_requests(spark, sem)
     done = completion.complete(req, mapping.ValidationStubClient, "prompt")
     val = mapping.parse_validations(req, done)
-    out = mapping.overlay(semantic(spark), val)
+    out = mapping.overlay(sem, val)
     return out.select("cluster_id", "primary_theme", "primary_category", "primary_confidence", "validated")
 
 
