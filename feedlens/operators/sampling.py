@@ -18,13 +18,17 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFram
 
 
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (or all) with the smallest seeded hash key, ties by id.
+    """Exactly ``n`` rows (or all) with the smallest seeded hash key, ties by id (any orderable id type).
 
     The cut-off key is found by at most three bucket-count passes (4096 buckets
     each, partial aggregation); no global sort, no row reaches the driver beyond
     the bucket counts and the handful of ids that share the cut-off key.
     """
-    keyed = df.withColumn("_key", seeded_key(id_col, seed))
+    from pyspark.sql import types as T
+    integral = isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    # integer ids use the portable key (reproducible in SQL); other ids are hashed to a non-negative long first
+    base = F.col(id_col) if integral else F.pmod(F.xxhash64(F.col(id_col)), F.lit(2 ** 62))
+    keyed = df.withColumn("_key", seeded_key(base, seed))
     total = keyed.count()
     if n >= total:
         return keyed.drop("_key")

@@ -234,3 +234,10 @@ def test_completion_journal_replays_instead_of_calling_again(spark):
     assert first == second and len(first) == 60
     lines = [l for f in glob.glob(os.path.join(jdir, "*", "part-*.jsonl")) for l in open(f)]
     assert len(lines) == 60                              # every prompt was called exactly once
+
+
+def test_hash_sample_string_ids_exact_size(spark):
+    df = spark.range(500).select(F.concat(F.lit("c-"), F.col("id").cast("string")).alias("cid"))
+    a = sorted(r[0] for r in sampling.hash_sample(df, "cid", 123, seed=5).collect())
+    b = sorted(r[0] for r in sampling.hash_sample(df, "cid", 123, seed=5).collect())
+    assert len(a) == 123 and a == b and len(set(a)) == 123
