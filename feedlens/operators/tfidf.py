@@ -8,32 +8,17 @@ mean normalised weight over all N documents.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
-import pyspark
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import TOKEN_PATTERN, tokens
+from feedlens.functions.text import STOP_WORDS, TOKEN_PATTERN, tokens
 from feedlens.session import ensure_checkpoint_dir, materialize
 
 
-@functools.lru_cache(maxsize=None)
-def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's built-in stop-word list, read from the mllib jar (no JVM call needed)."""
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w for w in raw.split() if w)
-
-
 def term_frequencies(df: DataFrame, id_col: str, text_col: str, stop_words=None,
                      pattern: str = TOKEN_PATTERN) -> DataFrame:
     """(doc id, term, tf) with stop words removed; partial aggregation before the shuffle."""
-    stop = list(default_stop_words() if stop_words is None else stop_words)
+    stop = list(STOP_WORDS if stop_words is None else stop_words)
     toks = df.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text_col, pattern)).alias("term"))
     if stop:
         toks = toks.where(~F.col("term").isin(stop))

@@ -190,13 +190,8 @@ def q_first_n(spark, sf_dir):
                          .select(F.lit("by_string_id").alias("ordering"), "comment_id")))
 
 
-@query("tfidf_top_terms", None)
-def q_tfidf_top_terms(spark, sf_dir):
-    return tfidf.top_terms(comments(spark), "comment_id", "comment", max_features=50, top_n=20)
-
-
 def _tfidf_sql() -> str:
-    stop = sql_list(tfidf.default_stop_words())
+    stop = sql_list(text.STOP_WORDS)
     return f"""
 WITH d AS (SELECT doc_id, text FROM documents),
 n AS (SELECT count(*) AS n_docs FROM d),
@@ -210,6 +205,11 @@ SELECT term, {r6('sum(wn) / max(n.n_docs)')} AS score
 FROM nw, n GROUP BY term ORDER BY sum(wn) / max(n.n_docs) DESC, term LIMIT 20"""
 
 
+@query("tfidf_top_terms", _tfidf_sql())
+def q_tfidf_top_terms(spark, sf_dir):
+    return tfidf.top_terms(comments(spark), "comment_id", "comment", max_features=50, top_n=20)
+
+
 @query("data_summary", PROFILE_CTE + f"""
 SELECT count(*) AS total_comments, count(DISTINCT comment) AS unique_comments,
        CAST(min(length) AS INT) AS min_length, CAST(max(length) AS INT) AS max_length, {r6('avg(length)')} AS mean_length,
@@ -221,15 +221,6 @@ def q_data_summary(spark, sf_dir):
     return profile.data_summary(profiled(spark), "comment")
 
 
-def register_tfidf_oracle():
-    from feedlens.plans.registry import CHECK, ORACLE
-    ORACLE["tfidf_top_terms"] = _tfidf_sql()
-    CHECK["tfidf_top_terms"] = "O"
-
-
-register_tfidf_oracle()
-
-
 @query("length_bins_nb", f"""
 SELECT {binning.bin_ordinal_sql('length(text)', binning.LENGTH_BINS_NB[0])} AS bin_ord,
        {binning.bin_sql('length(text)', *binning.LENGTH_BINS_NB)} AS bin,
