@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import fingerprints, line_dedup, sharding
+from feedlens.llm import decontamination, fingerprints, line_dedup, sharding, token_counts
 from feedlens.llm.columns import text_of
 from feedlens.session import ensure_checkpoint_dir, ship_package
 
@@ -87,3 +88,50 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("key").alias("law"))
     placed = sharding.shard(docs, "doc_id", 16, order=["size", "text_crc32"])
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n,
+    unnest(list_transform(range(1, len(ws) - least(len(ws), 10) + 2),
+      lambda i: array_to_string(ws[i:i + least(len(ws), 10) - 1], ' '))) AS w
+  FROM b WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i,
+    unnest(list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i + n - 1], ' '))) AS w
+  FROM d, sizes WHERE len(ws) >= n),
+hits AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.w = bw.w AND dw.n = bw.n),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id
+"""
+
+
+@query("op2_suffix_automaton", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    ids = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op7_bpe_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
