@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import decontamination, fingerprints, line_dedup, sharding, similarity_join, token_counts
+from feedlens.llm import (decontamination, fingerprints, html_text, line_dedup, packing, sharding, similarity_join,
+                          token_counts)
 from feedlens.llm.columns import text_of
 from feedlens.session import ensure_checkpoint_dir, ship_package
 
@@ -159,3 +160,21 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN reach r ON r.a = d.doc_id GROUP B
 @query("op3_ngram_jaccard_join", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+BIN_BYTES = 8192
+
+
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in bins of 8192 UTF-8 bytes; equal texts are a duplicate cluster."""
+    docs = table(spark, sf_dir, "documents")
+    text = text_of(docs, "text")
+    docs = docs.select("doc_id", "source", F.octet_length(text).alias("n_bytes"), F.xxhash64(text).alias("cluster"))
+    return packing.pack(docs, "doc_id", "n_bytes", "source", "cluster", BIN_BYTES)
+
+
+@query("op10_html_block_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
