@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import (decontamination, fingerprints, html_text, line_dedup, packing, sharding, similarity_join,
-                          token_counts)
+from feedlens.llm import (decontamination, fingerprints, html_text, line_dedup, packing, quality, sharding,
+                          similarity_join, token_counts, url_filter)
 from feedlens.llm.columns import text_of
 from feedlens.session import ensure_checkpoint_dir, ship_package
 
@@ -178,3 +178,32 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_text.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+             ("allow", "org", "/fr/")]
+
+
+def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of the pages whose document is labelled (the last number of the path is its doc_id); bad: poor or toxic."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.min((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("b0"),
+        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("b1"))
+    pages = table(spark, sf_dir, "pages").select("url", F.regexp_extract(
+        url_filter.path(F.col("url")), r"(\d{1,18})\D*$", 1).alias("number"))
+    pages = pages.where("number <> ''").select("url", F.col("number").cast("long").alias("doc_id"))
+    return pages.join(labels.where("b0 = b1"), "doc_id").select("url", F.col("b0").alias("bad"))
+
+
+@query("op8_url_association_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.judge(pages, labelled_urls(spark, sf_dir), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_cotraining_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document, and whether it is kept (a score of at least 0.5)."""
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return scored.withColumn("kept", F.col("quality_score") >= 0.5)
