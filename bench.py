@@ -31,7 +31,7 @@ HEADLINE = [
     "explode_aspects",        # strict JSON parse of model responses + explode
     "extraction_summary",     # totals, sentiment distribution, top-20
     "dedup_keep_best",        # max_by dedup
-    "complete_stub",          # model calls through mapInPandas (offline client)
+    "complete_stored",        # model calls answered from a stored table
     "budget_cutoff",          # distributed running sum over batches
     "render_cluster_prompt",  # chunked per-cluster prompt rendering
     "sentiment_coherence",    # cluster statistics
@@ -40,7 +40,7 @@ HEADLINE = [
     "silhouette_exact",       # blocked O(N^2) pass
     "kmeans_sizes",           # Spark ML k-means, best of 10 runs
     "semantic_mapping",      # centroid -> cosine top-3 -> mapping
-    "validate_stub",          # validation prompts -> model -> parse -> overlay
+    "validate_stored",        # validation prompts -> stored answers -> parse -> overlay
 ]
 
 

@@ -20,6 +20,11 @@ INSIGHT_TEMPLATE = (
     'Answer with JSON only: {"cluster_name": "...", "summary": "...", "primary_sentiment": '
     '"positive|negative|mixed", "key_themes": ["..."], "business_impact": "..."}\n'
 )
+MERGE_TEMPLATE = (
+    "Summarise these partial summaries of one cluster of customer-feedback aspects.\n\nPARTS:\n{aspects}\n\n"
+    'Answer with JSON only: {"cluster_name": "...", "summary": "...", "primary_sentiment": '
+    '"positive|negative|mixed", "key_themes": ["..."], "business_impact": "..."}\n'
+)
 VALIDATION_TEMPLATE = (
     "Cluster {cluster_id}: {cluster_name}\nSummary: {summary}\nSentiment: {primary_sentiment}\n"
     "Key themes: {key_themes}\n\nSuggested themes:\n{suggestions}\n\n{theme_block}\n"
@@ -27,9 +32,9 @@ VALIDATION_TEMPLATE = (
     '"rationale": "..."}\n'
 )
 FULL_MAPPING_TEMPLATE = (
-    "Cluster {cluster_id}: {cluster_name}\nSummary: {summary}\nSentiment: {primary_sentiment}\n\n"
-    "{theme_block}\n"
-    'Answer with JSON only: {"primary_theme": "...", "category": "...", "confidence": 0.0, '
+    "Cluster {cluster_id}: {cluster_name}\nSummary: {summary}\nSentiment: {primary_sentiment}\n"
+    "Key Themes: {key_themes}\n\n{theme_block}\n"
+    'Answer with JSON only: {"theme": "...", "category": "...", "confidence": 0.0, '
     '"reasoning": "..."}\n'
 )
 
@@ -37,8 +42,10 @@ FULL_MAPPING_TEMPLATE = (
 ASPECT_LINE = "- %s (%s, confidence: %.2f)"
 SUGGESTION_LINE = "  %d. %s (%s): %.3f"
 THEME_BLOCK_HEADER = "AVAILABLE THEMES AND CATEGORIES:\n"
+FULL_MAPPING_BLOCK_HEADER = "AVAILABLE THEMES:\n"
 SEMANTIC_REASONING = "Semantic similarity between cluster '%s' and theme '%s'"
 PARSE_ERROR = "JSON parsing failed"
+MISSING_KEY = "answer without theme, category, confidence or reasoning"
 
 
 def render(template: str, **fields) -> Column:

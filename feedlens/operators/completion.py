@@ -128,19 +128,20 @@ def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_c
     return todo.mapInPandas(run, COMPLETION_SCHEMA)
 
 
-class EchoClient:
-    """Deterministic offline client: answers ``{"echo_chars": <len(prompt)>}``.
+def stored(requests: DataFrame, answers: DataFrame, keys: list[str], prompt_col: str = "prompt") -> DataFrame:
+    """Completions of the requests whose answer is stored in ``answers`` (``keys`` and ``text``).
 
-    Tokens: input = ceil(chars / 4), output = chars of the answer // 4.  Fails
-    (as a remote error would) when the prompt length is a multiple of 97.
+    Tokens are estimated from the lengths (4 characters each).  Requests without an answer are not in the
+    result: ``pending`` finds them.  An answer that is null is a failed call.
     """
-
-    def complete(self, prompt: str):
-        n = len(prompt)
-        if n % 97 == 0:
-            raise RuntimeError("stub: upstream error")
-        text = '{"echo_chars": %d}' % n
-        return text, (n + 3) // 4, len(text) // 4
+    met = requests.select("request_id", F.length(prompt_col).alias("n"), *keys).join(
+        answers.select(*keys, "text"), keys)
+    failed = F.col("text").isNull()
+    return met.select(
+        "request_id", "text", F.when(failed, 0).otherwise(F.floor((F.col("n") + 3) / 4)).cast("long").alias("input_tokens"),
+        F.when(failed, 0).otherwise(F.floor(F.length("text") / 4)).cast("long").alias("output_tokens"),
+        F.when(failed, "error").otherwise("success").alias("status"),
+        F.when(failed, "no answer stored").alias("error"))
 
 
 class ReplayClient:

@@ -24,9 +24,9 @@ from feedlens.functions.text import tokens
 
 def join_embeddings(df: DataFrame, key: str, table: DataFrame, table_key: str, vec_col: str = "embedding",
                     out: str = "v") -> DataFrame:
-    """Attach precomputed vectors by key (inner join; rows without a vector are dropped)."""
+    """Attach precomputed vectors by key; rows without a vector are kept with a null vector."""
     vecs = table.select(F.col(table_key).alias(key), F.col(vec_col).alias(out))
-    return df.join(vecs, key)
+    return df.join(vecs, key, "left")
 
 
 def hashing_vectors(df: DataFrame, text_col: str, num_features: int = 1 << 16, out: str = "features") -> DataFrame:

@@ -20,9 +20,11 @@ def assign_batches(df: DataFrame, order: Sequence[str], batch_size: int = 500) -
 
 
 def cost_summary(df: DataFrame, input_col: str = "input_tokens", output_col: str = "output_tokens",
-                 keys: Sequence[str] = ()) -> DataFrame:
-    """Token totals and USD cost, rounded like the reference (4 places, 8 per token)."""
+                 keys: Sequence[str] = (), counts: str | None = None) -> DataFrame:
+    """Token totals and USD cost, rounded to 4 places (8 per token); ``counts`` names a column with the number of rows."""
     cols = [F.sum(input_col).cast("long").alias("input_tokens"), F.sum(output_col).cast("long").alias("output_tokens")]
+    if counts:
+        cols.append(F.count("*").alias(counts))
     agg = df.groupBy(*keys).agg(*cols) if keys else df.agg(*cols)
     return priced(agg)
 

@@ -1,14 +1,13 @@
 """Insight -> theme mapping and its evaluation.
 
-The theme catalogue is a small dimension (15 themes in the reference).  It is
-size-checked and attached to every insight row as a literal array, so cosine
+The theme catalogue is a dimension that every prompt shows whole (15 themes in the
+published data).  It is attached to every insight row as one constant array, so cosine
 scoring and top-k are per-row array work: no join, no shuffle, no pair rows.
 """
 
 from __future__ import annotations
 
 import json
-import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 from feedlens.functions import jsonparse, prompts, vectors
 from feedlens.operators import completion, responses
 
-MAX_CATALOGUE = 10_000  # themes attached to each row as a literal; guard the bound
 SEMANTIC = "semantic_similarity"
 
 
@@ -31,26 +29,24 @@ def nest_themes(flat: DataFrame) -> DataFrame:
                                             F.transform(x["t"], lambda y: y["theme"]).alias("themes"))).alias("themes"))
 
 
-def theme_block(flat: DataFrame) -> DataFrame:
+def theme_block(flat: DataFrame, header: str = prompts.THEME_BLOCK_HEADER) -> DataFrame:
     """The catalogue rendered for prompts: header, then per category a title and ``  - theme`` lines."""
     cats = flat.groupBy("category").agg(
         F.min("theme_pos").alias("first"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("theme_pos", "theme"))),
                                  lambda x: F.concat(F.lit("  - "), x["theme"], F.lit("\n"))), "").alias("lines"))
     parts = cats.select("first", F.concat(F.lit("\n"), F.col("category"), F.lit(":\n"), F.col("lines")).alias("part"))
-    return parts.agg(F.concat(F.lit(prompts.THEME_BLOCK_HEADER),
+    return parts.agg(F.concat(F.lit(header),
                               F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("first", "part"))),
                                                        lambda x: x["part"]), "")).alias("theme_block"))
 
 
 def _catalogue_literal(themes: DataFrame, vec_col: str = "v") -> Column:
-    n = themes.count()
-    if n > MAX_CATALOGUE:
-        raise ValueError(f"theme catalogue of {n} rows exceeds {MAX_CATALOGUE}")
+    """The catalogue as one constant (a single literal once folded, whatever its length)."""
     rows = themes.select("theme_pos", "theme", "category", vectors.as_double(vec_col).alias("v")).collect()
-    return F.array(*[F.struct(F.lit(int(r["theme_pos"])).alias("theme_pos"), F.lit(r["theme"]).alias("theme"),
-                              F.lit(r["category"]).alias("category"),
-                              F.array(*[F.lit(float(x)) for x in r["v"]]).alias("v")) for r in rows])
+    doc = json.dumps([{"theme_pos": int(r["theme_pos"]), "theme": r["theme"], "category": r["category"],
+                       "v": list(r["v"])} for r in rows])
+    return F.from_json(F.lit(doc), "array<struct<theme_pos:int,theme:string,category:string,v:array<double>>>")
 
 
 # ---------------------------------------------------------------- scoring
@@ -209,9 +205,7 @@ def in_catalogue(m: DataFrame, themes: DataFrame, theme_col: str = "primary_them
                  category_col: str = "primary_category") -> DataFrame:
     """Add ``in_catalogue``: whether the (theme, category) a model recommended exists in the catalogue (Q13)."""
     cat = themes.select(F.col("theme").alias("_t"), F.col("category").alias("_c"), F.lit(True).alias("_hit")).distinct()
-    if cat.count() > MAX_CATALOGUE:
-        raise ValueError(f"theme catalogue exceeds {MAX_CATALOGUE} rows")
-    j = m.join(F.broadcast(cat), (F.col(theme_col) == F.col("_t")) & (F.col(category_col) == F.col("_c")), "left")
+    j = m.join(cat, (F.col(theme_col) == F.col("_t")) & (F.col(category_col) == F.col("_c")), "left")
     return j.withColumn("in_catalogue", F.coalesce("_hit", F.lit(False))).drop("_t", "_c", "_hit")
 
 
@@ -230,16 +224,21 @@ def suggestion_lines(top_matches: str = "top_matches") -> Column:
         prompts.SUGGESTION_LINE, i + 1, m["theme"], m["category"], m["confidence"])), "\n")
 
 
+def _key_themes(insights: DataFrame) -> Column:
+    """The insight's key themes, comma-separated (given as an array or as text; none: empty)."""
+    if "key_themes" not in insights.columns:
+        return F.lit("")
+    c = F.col("key_themes")
+    return F.array_join(c, ", ") if insights.schema["key_themes"].dataType.typeName() == "array" else c
+
+
 def validation_prompts(low: DataFrame, insights: DataFrame, block: DataFrame, model: str = "stub-model",
                        template: str = prompts.VALIDATION_TEMPLATE, id_col: str = "cluster_id") -> DataFrame:
     """Prompt per low-confidence mapping: insight fields, ranked suggestions, catalogue block."""
     j = low.join(insights, id_col, "left").withColumn("theme_block", F.lit(block_text(block)))
-    themes_arr = (F.coalesce(F.col("key_themes"), F.array(F.col("primary_sentiment"))) if "key_themes" in j.columns
-                  else F.array(F.col("primary_sentiment")))
-    key_themes = F.array_join(themes_arr, ", ")
     prompt = prompts.render(template, cluster_id=F.col(id_col), cluster_name=F.col("cluster_name"),
                             summary=F.col("summary"), primary_sentiment=F.col("primary_sentiment"),
-                            key_themes=key_themes, suggestions=suggestion_lines(), theme_block=F.col("theme_block"))
+                            key_themes=_key_themes(j), suggestions=suggestion_lines(), theme_block=F.col("theme_block"))
     return completion.with_request_id(j.select(id_col, prompt.alias("prompt")), "prompt", model)
 
 
@@ -248,7 +247,7 @@ def full_mapping_prompts(insights: DataFrame, block: DataFrame, model: str = "st
     j = insights.withColumn("theme_block", F.lit(block_text(block)))
     prompt = prompts.render(template, cluster_id=F.col(id_col), cluster_name=F.col("cluster_name"),
                             summary=F.col("summary"), primary_sentiment=F.col("primary_sentiment"),
-                            theme_block=F.col("theme_block"))
+                            key_themes=_key_themes(j), theme_block=F.col("theme_block"))
     return completion.with_request_id(j.select(id_col, prompt.alias("prompt")), "prompt", model)
 
 
@@ -264,61 +263,16 @@ def parse_validations(prompts_df: DataFrame, done: DataFrame, id_col: str = "clu
 
 
 def parse_full_mappings(prompts_df: DataFrame, done: DataFrame, id_col: str = "cluster_id") -> DataFrame:
-    """Completions -> mapping rows; failures stay as error rows with the id (L4)."""
-    j = prompts_df.select(id_col, "request_id").join(done, "request_id")
+    """Completions -> mapping rows; failures and answers without all four keys stay as error rows with the id (L4)."""
+    j = prompts_df.select(id_col, "request_id").join(done.drop("status", "error"), "request_id")
     p = responses.parse_responses(j.withColumn("text", F.coalesce("text", F.lit(""))), "text",
                                   schema=jsonparse.FULL_MAPPING_SCHEMA, fence="b", out="m")
-    return p.select(id_col, F.col("m.primary_theme").alias("primary_theme"),
-                    F.col("m.category").alias("primary_category"),
-                    jsonparse.to_double("m.confidence").alias("primary_confidence"),
-                    F.col("m.reasoning").alias("reasoning"), "status", "error")
-
-
-class ValidationStubClient:
-    """Offline validator: recommends the last suggested theme with confidence 0.8.
-
-    Clusters whose id is 1 mod 4 get a non-JSON answer (validation fails and the
-    mapping stays as it was).
-    """
-
-    SUGGESTION = re.compile(r"^  (\d+)\. (.*) \((.*)\): (-?[0-9.]+)$", re.M)
-    CLUSTER = re.compile(r"^Cluster (\d+):", re.M)
-
-    def complete(self, prompt: str):
-        cid = int(self.CLUSTER.search(prompt).group(1))
-        sugg = self.SUGGESTION.findall(prompt)
-        if cid % 4 == 1 or not sugg:
-            text = "I am not able to decide on a theme."
-        else:
-            _, theme, cat, _ = sugg[-1]
-            text = "```json\n" + json.dumps({"recommended_theme": theme, "category": cat, "confidence": 0.8,
-                                             "rationale": "closest of the suggestions"}) + "\n```"
-        return text, (len(prompt) + 3) // 4, len(text) // 4
-
-
-class FullMappingStubClient:
-    """Offline full mapper: picks catalogue theme number (cluster id mod catalogue size).
-
-    Clusters whose id is 4 mod 5 get an apology instead of JSON (an error row).
-    """
-
-    CLUSTER = re.compile(r"^Cluster (\d+):", re.M)
-    LINE = re.compile(r"^(?:  - (.*)|(\S.*):)$", re.M)
-
-    def complete(self, prompt: str):
-        cid = int(self.CLUSTER.search(prompt).group(1))
-        block = prompt.split(prompts.THEME_BLOCK_HEADER, 1)[1]
-        themes, cat = [], None
-        for theme, category in self.LINE.findall(block):
-            if category and not theme:
-                cat = category
-            elif theme:
-                themes.append((theme, cat))
-        if cid % 5 == 4 or not themes:
-            text = "Sorry, I cannot map this cluster."
-        else:
-            theme, cat = themes[cid % len(themes)]
-            text = "```json\n" + json.dumps({"primary_theme": theme, "category": cat,
-                                             "confidence": 0.7 + (cid % 3) / 10,
-                                             "reasoning": "stub mapping"}) + "\n```"
-        return text, (len(prompt) + 3) // 4, len(text) // 4
+    confidence = jsonparse.to_double("m.confidence")
+    whole = (F.col("m.theme").isNotNull() & F.col("m.category").isNotNull() & confidence.isNotNull()
+             & F.col("m.reasoning").isNotNull())
+    ok = (F.col("status") == "success") & F.coalesce(whole, F.lit(False))
+    return p.select(id_col, F.when(ok, F.col("m.theme")).alias("primary_theme"),
+                    F.when(ok, F.col("m.category")).alias("primary_category"),
+                    F.when(ok, confidence).alias("primary_confidence"), F.when(ok, F.col("m.reasoning")).alias("reasoning"),
+                    F.when(ok, "success").otherwise("error").alias("status"),
+                    F.when(~ok, F.coalesce("error", F.lit(prompts.MISSING_KEY))).alias("error"))

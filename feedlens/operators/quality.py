@@ -8,7 +8,6 @@ join against the k centroids, or a blocked pairwise pass.
 from __future__ import annotations
 
 import math
-import warnings
 
 import numpy as np
 import pandas as pd
@@ -19,8 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.functions import vectors
-
-MAX_CENTROIDS = 100_000  # k x d centroids are broadcast / read on the driver; guard the bound
+from feedlens.session import materialize
 
 
 def cluster_sizes(members: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
@@ -80,36 +78,60 @@ def centroids(points: DataFrame, vec_col: str = "v", cluster_col: str = "cluster
     return agg.select(cluster_col, "size", vector_to_array("_m").alias("centroid"))
 
 
-def _checked_centroids(c: DataFrame) -> DataFrame:
-    k = c.count()
-    if k > MAX_CENTROIDS:
-        raise ValueError(f"{k} clusters exceed the broadcast bound {MAX_CENTROIDS}")
-    return F.broadcast(c)
+_DB_ROW = "cid long, worst double, far double"
+
+
+def _worst_ratios(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """For the centroids of both blocks: the largest (s_i + s_j) / d and the largest d over the other block."""
+    if left.empty or right.empty:
+        return pd.DataFrame({"cid": pd.Series(dtype="int64"), "worst": pd.Series(dtype="float64"),
+                             "far": pd.Series(dtype="float64")})
+    x, y = (np.stack(f[c].to_numpy()).astype(np.float64) for f, c in ((left, "centroid"), (right, "rcentroid")))
+    d = np.vstack([np.sqrt(((x[i:i + _DB_TILE, None, :] - y[None, :, :]) ** 2).sum(-1)) for i in range(0, len(x), _DB_TILE)])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = (left["s"].to_numpy()[:, None] + right["rs"].to_numpy()[None, :]) / d
+    ratio[d == 0] = 0.0  # a centroid against itself or its double
+    return pd.DataFrame({"cid": np.concatenate([left["cid"], right["rcid"]]),
+                         "worst": np.concatenate([ratio.max(1), ratio.max(0)]),
+                         "far": np.concatenate([d.max(1), d.max(0)])})
 
 
-def davies_bouldin(points: DataFrame, vec_col: str = "v", cluster_col: str = "cluster_id") -> DataFrame:
+_DB_TILE = 32
+
+
+def davies_bouldin(points: DataFrame, vec_col: str = "v", cluster_col: str = "cluster_id",
+                   block_size: int = 1024) -> DataFrame:
     """Davies-Bouldin index: mean over clusters of max_j (s_i + s_j) / d(c_i, c_j).
 
-    Linear in N: one pass for centroids, one broadcast join for the mean
-    distance to the own centroid; only the k x d centroids reach the driver.
+    Linear in N: one pass for the centroids, one join for the mean distance to the own centroid.  The k
+    centroids are compared in blocks of ``block_size``, one task per pair of blocks, which keeps the
+    largest ratio per cluster; nothing but the score reaches the driver.  0 if all spreads or all
+    distances between centroids are (nearly) 0, null for fewer than two clusters.
     """
+    from feedlens.session import ship_package
+    ship_package(points.sparkSession)
     cents = centroids(points, vec_col, cluster_col)
-    joined = points.join(_checked_centroids(cents.select(cluster_col, "centroid")), cluster_col)
+    joined = points.join(cents.select(cluster_col, "centroid"), cluster_col)
     spread = joined.groupBy(cluster_col).agg(F.avg(vectors.euclid(vec_col, "centroid")).alias("s"))
-    rows = cents.join(spread, cluster_col).select(cluster_col, "centroid", "s").collect()
-    rows.sort(key=lambda r: r[cluster_col])
-    c = np.array([r["centroid"] for r in rows], dtype=np.float64)
-    s = np.array([r["s"] for r in rows], dtype=np.float64)
-    spark = points.sparkSession
-    if len(rows) < 2:
-        return spark.createDataFrame([(None, len(rows))], "davies_bouldin double, num_clusters int")
-    d = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(-1))
-    if np.allclose(s, 0) or np.allclose(d, 0):
-        score = 0.0
-    else:
-        d[d == 0] = np.inf
-        score = float(np.max((s[:, None] + s[None, :]) / d, axis=1).mean())
-    return spark.createDataFrame([(score, len(rows))], "davies_bouldin double, num_clusters int")
+    rows = cents.join(spread, cluster_col).select(F.col(cluster_col).cast("long").alias("cid"), "centroid", "s")
+    rows = materialize(rows, "centroids")
+    n = rows.count()
+    blocks = max(1, math.ceil(n / block_size))
+    rows = rows.withColumn("_b", F.pmod(F.xxhash64("cid"), F.lit(blocks)))
+    left = rows.withColumn("_o", F.explode(F.sequence(F.col("_b"), F.lit(blocks - 1)))) \
+        .withColumn("_pair", F.col("_b") * blocks + F.col("_o"))
+    right = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_b")))) \
+        .withColumn("_pair", F.col("_o") * blocks + F.col("_b"))
+    worst = (left.select("_pair", "cid", "centroid", "s").groupBy("_pair")
+             .cogroup(right.select("_pair", F.col("cid").alias("rcid"), F.col("centroid").alias("rcentroid"),
+                                   F.col("s").alias("rs")).groupBy("_pair"))
+             .applyInPandas(_worst_ratios, _DB_ROW))
+    per = worst.groupBy("cid").agg(F.max("worst").alias("worst"), F.max("far").alias("far"))
+    score = per.agg(F.avg("worst").alias("mean"), F.max("far").alias("far"), F.count("*").cast("int").alias("num_clusters"),
+                    F.max("worst").alias("any"))
+    flat = (F.col("far") <= 1e-8) | (F.col("any") * F.col("far") <= 1e-8)
+    return score.select(F.when(F.col("num_clusters") < 2, F.lit(None).cast("double")).when(flat, F.lit(0.0))
+                        .otherwise(F.col("mean")).alias("davies_bouldin"), "num_clusters")
 
 
 _PARTIAL = T.StructType([
@@ -173,30 +195,54 @@ def silhouette_exact(points: DataFrame, id_col: str, vec_col: str = "v", cluster
         .withColumn("_pair", F.col("_b") * blocks + F.col("_o"))
     right = pts.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_b")))) \
         .withColumn("_pair", F.col("_o") * blocks + F.col("_b"))
+    return _mean_silhouette(_pair_sums(left, right, _block_distances), "silhouette", F.col("own_n") - 1)
+
+
+def _pair_sums(left: DataFrame, right: DataFrame, block) -> DataFrame:
     partial = (left.select("_pair", "_b", "pid", "cid", "v").groupBy("_pair")
                .cogroup(right.select("_pair", F.col("_b").alias("_rb"), F.col("pid").alias("rpid"),
                                      F.col("cid").alias("rcid"), F.col("v").alias("rv")).groupBy("_pair"))
-               .applyInPandas(_block_distances, _PARTIAL))
-    per = partial.groupBy("pid", "own", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+               .applyInPandas(block, _PARTIAL))
+    return partial.groupBy("pid", "own", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+
+
+def _mean_silhouette(per: DataFrame, name: str, others) -> DataFrame:
+    """Mean of (b - a) / max(a, b); ``others`` is the number of reference points of the own cluster."""
     own = F.col("other") == F.col("own")
     point = per.groupBy("pid", "own").agg(
         F.sum(F.when(own, F.col("dsum"))).alias("a_sum"), F.sum(F.when(own, F.col("cnt"))).alias("own_n"),
-        F.min(F.when(~own, F.col("dsum") / F.col("cnt"))).alias("b"))
-    a = F.col("a_sum") / (F.col("own_n") - 1)
-    s = (F.when(F.col("own_n") <= 1, F.lit(0.0))
+        F.min(F.when(~own & (F.col("cnt") > 0), F.col("dsum") / F.col("cnt"))).alias("b"))
+    a = F.try_divide(F.col("a_sum"), others)
+    s = (F.when(a.isNull() | (others <= 0), F.lit(0.0))
          .when(F.greatest(a, F.col("b")) == 0, F.lit(0.0))
          .otherwise((F.col("b") - a) / F.greatest(a, F.col("b"))))
-    return point.agg(F.avg(s).alias("silhouette"), F.count("*").alias("n"))
+    return point.agg(F.avg(s).alias(name), F.count("*").alias("n"))
+
+
+def _anchor_distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Distance sums per cluster of a block of points over a block of anchors; a point is not its own anchor."""
+    if left.empty or right.empty:
+        return pd.DataFrame({f.name: pd.Series(dtype="int64" if f.name != "dsum" else "float64") for f in _PARTIAL})
+    x = np.stack(left["v"].to_numpy()).astype(np.float64)
+    y = np.stack(right["rv"].to_numpy()).astype(np.float64)
+    d2 = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2.0 * x @ y.T
+    other = left["pid"].to_numpy()[:, None] != right["rpid"].to_numpy()[None, :]
+    dist = np.where(other, np.sqrt(np.maximum(d2, 0.0)), 0.0)
+    out, labels = [], right["rcid"].to_numpy()
+    for lab in np.unique(labels):
+        sel = labels == lab
+        out.append(pd.DataFrame({"pid": left["pid"], "own": left["cid"], "other": np.full(len(x), lab),
+                                 "dsum": dist[:, sel].sum(1), "cnt": other[:, sel].sum(1)}))
+    return pd.concat(out, ignore_index=True)
 
 
 def silhouette_sampled(points: DataFrame, id_col: str, per_cluster: int = 256, vec_col: str = "v",
-                       cluster_col: str = "cluster_id", seed: int = 42) -> DataFrame:
-    """Euclidean silhouette of every point against a seeded anchor sample of each cluster (large-N mode).
+                       cluster_col: str = "cluster_id", seed: int = 42, block_size: int = 2048) -> DataFrame:
+    """An estimate of the Euclidean silhouette: every point against a seeded sample of each cluster.
 
-    All N points are scored; only the reference sets are sampled (up to
-    ``per_cluster`` anchors per cluster, picked with a group-limited window), so
-    the pass is linear in N.  When every cluster has at most ``per_cluster``
-    members the anchors are the whole clusters and the result is exact.
+    All N points are scored; only the reference sets are sampled (up to ``per_cluster`` anchors per cluster,
+    picked with a group-limited window), so the work is N x anchors.  Points and anchors meet in blocks, one
+    task per pair of blocks.  When every cluster has at most ``per_cluster`` members the result is exact.
     """
     from feedlens.functions.hashing import seeded_key
     from feedlens.session import ship_package
@@ -204,40 +250,16 @@ def silhouette_sampled(points: DataFrame, id_col: str, per_cluster: int = 256, v
     pts = points.select(F.col(id_col).cast("long").alias("pid"), F.col(cluster_col).cast("long").alias("cid"),
                         vectors.as_double(vec_col).alias("v"))
     w = Window.partitionBy("cid").orderBy(seeded_key("pid", seed), "pid")
-    picked = pts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_cluster).drop("_r")
-    if picked.count() > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} anchors: lower per_cluster")
-    anchors = picked.collect()
-    sizes = {r["cid"]: r["size"] for r in pts.groupBy("cid").agg(F.count("*").alias("size")).collect()}
-    a_ids = np.array([r["pid"] for r in anchors], dtype=np.int64)
-    a_cid = np.array([r["cid"] for r in anchors], dtype=np.int64)
-    a_vec = np.array([r["v"] for r in anchors], dtype=np.float64)
-    bc = points.sparkSession.sparkContext.broadcast((a_ids, a_cid, a_vec, sizes))
-
-    def score(batches):
-        ids, cids, vecs_, sz = bc.value
-        labels = np.unique(cids)
-        for pdf in batches:
-            x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            d2 = (x * x).sum(1)[:, None] + (vecs_ * vecs_).sum(1)[None, :] - 2.0 * x @ vecs_.T
-            d = np.sqrt(np.maximum(d2, 0.0))
-            d[pdf["pid"].to_numpy()[:, None] == ids[None, :]] = np.nan  # a point is not its own anchor
-            own = pdf["cid"].to_numpy()
-            with warnings.catch_warnings():  # a cluster whose only anchor is the point itself -> all-NaN row
-                warnings.simplefilter("ignore", RuntimeWarning)
-                means = np.stack([np.nanmean(np.where(cids[None, :] == lab, d, np.nan), axis=1) for lab in labels], 1)
-            own_idx = np.searchsorted(labels, own)
-            a = means[np.arange(len(x)), own_idx]
-            other = means.copy()
-            other[np.arange(len(x)), own_idx] = np.inf
-            b = other.min(1)
-            single = np.array([sz.get(int(c), 0) <= 1 for c in own])
-            den = np.maximum(a, b)
-            s = np.where(single | ~np.isfinite(a) | (den == 0), 0.0, (b - a) / np.where(den == 0, 1, den))
-            yield pd.DataFrame({"s": s})
-
-    per = pts.mapInPandas(score, "s double")
-    return per.agg(F.avg("s").alias("silhouette"), F.count("*").alias("n"))
+    anchors = pts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_cluster).drop("_r")
+    anchors = materialize(anchors, "anchors")
+    nl, nr = (max(1, math.ceil(df.count() / block_size)) for df in (pts, anchors))
+    left = pts.withColumn("_b", F.pmod(F.xxhash64("pid"), F.lit(nl))).withColumn(
+        "_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nr - 1).cast("long")))).withColumn(
+            "_pair", F.col("_b") * nr + F.col("_o"))
+    right = anchors.withColumn("_b", F.pmod(F.xxhash64("pid"), F.lit(nr))).withColumn(
+        "_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nl - 1).cast("long")))).withColumn(
+            "_pair", F.col("_o") * nr + F.col("_b"))
+    return _mean_silhouette(_pair_sums(left, right, _anchor_distances), "silhouette_estimate", F.col("own_n"))
 
 
 def silhouette_squared(points: DataFrame, vec_col: str = "v", cluster_col: str = "cluster_id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from feedlens.functions import ratings
@@ -146,6 +147,28 @@ def q_cluster_top_aspects(spark, sf_dir):
     return aspects.top_k_by_count(one, "aspect", 30).select("aspect", "n", "rank")
 
 
+@query("cluster_sentiment_pct", ASPECTS_SQL + LARGEST_SQL + f"""
+SELECT sentiment, count(*) AS n, {r6("100.0 * count(*) / sum(count(*)) OVER ()")} AS pct FROM m GROUP BY sentiment""")
+def q_cluster_sentiment_pct(spark, sf_dir):
+    """Sentiment counts and shares of the largest cluster."""
+    df = aspect_rows(spark)
+    one = df.where(F.col("cluster_id") == largest_cluster(df)).groupBy("sentiment").agg(F.count("*").alias("n"))
+    # a window over one row per sentiment
+    return one.withColumn("pct", F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()))
+
+
+@query("cluster_aspect_sentiment", ASPECTS_SQL + LARGEST_SQL + f"""
+, c AS (SELECT aspect, count(*) AS n, min(seq) AS first_seq FROM m GROUP BY aspect),
+t AS (SELECT aspect, CAST(row_number() OVER (ORDER BY n DESC, first_seq) AS INT) AS rank FROM c QUALIFY rank <= 10),
+x AS (SELECT m.aspect, m.sentiment, count(*) AS n FROM m JOIN t ON m.aspect = t.aspect GROUP BY m.aspect, m.sentiment)
+SELECT x.aspect, x.sentiment, x.n, {r6('100.0 * x.n / sum(x.n) OVER (PARTITION BY x.aspect)')} AS row_pct, t.rank
+FROM x JOIN t ON x.aspect = t.aspect""")
+def q_cluster_aspect_sentiment(spark, sf_dir):
+    """Sentiment of the ten most frequent aspects of the largest cluster."""
+    df = aspect_rows(spark)
+    return aspects.top_aspect_sentiment(df.where(F.col("cluster_id") == largest_cluster(df)), 10)
+
+
 @query("cluster_sentiment", ASPECTS_SQL + """
 SELECT cluster_id, sentiment, count(*) AS n FROM a GROUP BY cluster_id, sentiment""")
 def q_cluster_sentiment(spark, sf_dir):

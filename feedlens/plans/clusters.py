@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions import prompts, ratings
 from feedlens.functions.hashing import seeded_key_sql
-from feedlens.operators import clustering, insights, quality
+from feedlens.operators import clustering, completion, insights, quality
 from feedlens.plans.aspects import ASPECTS_SQL, aspect_rows
 from feedlens.plans.fixtures import cte
 from feedlens.plans.registry import query, r6
@@ -167,12 +167,12 @@ def q_hierarchical_sizes(spark, sf_dir):
 
 
 @query("cluster_assign_join", cte("v_vectors", "v_aspects") + """
-SELECT p.vec_id, p.cluster_id, a.aspect, a.sentiment FROM v_vectors p JOIN v_aspects a ON a.seq = p.vec_id""")
+SELECT a.seq AS vec_id, p.cluster_id, a.aspect, a.sentiment FROM v_aspects a LEFT JOIN v_vectors p ON a.seq = p.vec_id""")
 def q_cluster_assign_join(spark, sf_dir):
-    """Labels joined back to aspects by id (replaces the positional zip)."""
+    """Labels joined back to aspects by id (replaces the positional zip); aspects without a vector have no label."""
     labels = vecs(spark).select("vec_id", "cluster_id")
     asp = spark.table("v_aspects").select(F.col("seq").alias("vec_id"), "aspect", "sentiment")
-    return labels.join(asp, "vec_id")
+    return asp.join(labels, "vec_id", "left").select("vec_id", "cluster_id", "aspect", "sentiment")
 
 
 def _prompt_sql():
@@ -196,25 +196,27 @@ def q_render_cluster_prompt(spark, sf_dir):
     return p.select("cluster_id", "chunk", "n_lines", "request_id")
 
 
-INSIGHT_SQL = _prompt_sql() + """
-, sc AS (SELECT cluster_id, chunk, sentiment, count(*) AS k FROM l GROUP BY cluster_id, chunk, sentiment),
-top AS (SELECT cluster_id, chunk, sentiment FROM sc
-        QUALIFY row_number() OVER (PARTITION BY cluster_id, chunk ORDER BY k DESC, sentiment) = 1),
-ins AS (SELECT pr.cluster_id, pr.chunk, pr.n_lines, top.sentiment,
-               CASE WHEN pr.n_lines % 7 = 3 THEN 'error' ELSE 'success' END AS status
-        FROM pr JOIN top ON pr.cluster_id = top.cluster_id AND pr.chunk = top.chunk)
+INSIGHT_SQL = cte("v_aspects", "v_insight_answers") + """
+, ins AS (SELECT c.cluster_id, CASE WHEN starts_with(a.text, '```json') AND ends_with(a.text, '```')
+                                    THEN 'success' ELSE 'error' END AS status, v.cluster_name, v.summary, v.primary_sentiment
+          FROM (SELECT DISTINCT cluster_id FROM v_aspects) c JOIN v_insight_answers a ON a.cluster_id = c.cluster_id
+          JOIN v_insights v ON v.cluster_id = c.cluster_id)
 """
 
 
-@query("insight_stub", INSIGHT_SQL + """
-SELECT cluster_id, chunk, status,
-       CASE WHEN status = 'success' THEN concat('group of ', CAST(n_lines AS VARCHAR), ' aspects') END AS cluster_name,
-       CASE WHEN status = 'success' THEN sentiment END AS primary_sentiment FROM ins""")
-def q_insight_stub(spark, sf_dir):
-    """Insight per cluster chunk from an offline model; truncated answers become error rows."""
-    p = insights.cluster_prompts(aspect_rows(spark))
-    out = insights.generate_insights(p, insights.InsightStubClient)
-    return out.select("cluster_id", "chunk", "status", "cluster_name", "primary_sentiment")
+def stored_insights(spark):
+    """One insight per cluster from the stored answers; large clusters are answered in parts and merged."""
+    answers = spark.table("v_insight_answers")
+    return insights.cluster_insights(aspect_rows(spark), lambda req: completion.stored(req, answers, ["cluster_id"]))
+
+
+@query("cluster_insights", INSIGHT_SQL + """
+SELECT cluster_id, status, CASE WHEN status = 'success' THEN cluster_name END AS cluster_name,
+       CASE WHEN status = 'success' THEN summary END AS summary,
+       CASE WHEN status = 'success' THEN primary_sentiment END AS primary_sentiment FROM ins""")
+def q_cluster_insights(spark, sf_dir):
+    """Insight per cluster; answers that were cut short become error rows."""
+    return stored_insights(spark).select("cluster_id", "status", "cluster_name", "summary", "primary_sentiment")
 
 
 @query("insight_success", INSIGHT_SQL + f"""
@@ -225,8 +227,7 @@ SELECT count(*) AS total_clusters, count(*) FILTER (WHERE status = 'success') AS
 FROM ins""")
 def q_insight_success(spark, sf_dir):
     """Interpretability: share of clusters with a parsed insight, rated."""
-    p = insights.cluster_prompts(aspect_rows(spark))
-    s = insights.insight_success(insights.generate_insights(p, insights.InsightStubClient))
+    s = insights.insight_success(stored_insights(spark))
     return (s.withColumn("success_rate", F.round("success_rate", 6))
             .withColumn("rating", ratings.rate("interpretability_rate", "success_rate")))
 
@@ -260,26 +261,26 @@ def q_density_clusters(spark, sf_dir):
 
 
 @query("embed_join", cte("v_aspects", "v_vectors") + f"""
-SELECT a.seq, a.aspect, CAST(len(x.v) AS INT) AS dim, {r6(f"sqrt({SQDIST.format(a='CAST(x.v AS DOUBLE[])', b='[0.0 for _ in range(len(x.v))]')})")} AS norm
-FROM v_aspects a JOIN v_vectors x ON x.vec_id = a.seq""")
+SELECT a.seq, a.aspect, coalesce(CAST(len(x.v) AS INT), 0) AS dim, {r6(f"sqrt({SQDIST.format(a='CAST(x.v AS DOUBLE[])', b='[0.0 for _ in range(len(x.v))]')})")} AS norm
+FROM v_aspects a LEFT JOIN v_vectors x ON x.vec_id = a.seq""")
 def q_embed_join(spark, sf_dir):
     """Aspects get their vectors from a precomputed embeddings table, joined on the key."""
     from feedlens.functions import vectors as vf
     from feedlens.operators import embedding
     asp = spark.table("v_aspects").select("seq", "aspect")
     j = embedding.join_embeddings(asp, "seq", spark.table("embeddings"), "vec_id")
-    return j.select("seq", "aspect", F.size("v").alias("dim"), vf.norm("v").alias("norm"))
+    return j.select("seq", "aspect", F.coalesce(F.array_size("v"), F.lit(0)).alias("dim"), vf.norm("v").alias("norm"))
 
 
 @query("embed_hashing")
 def q_embed_hashing(spark, sf_dir):
     """Spark-native text vectors (hashing TF-IDF, L2) for every comment: non-zeros and norm."""
-    from pyspark.ml.functions import vector_to_array
     from feedlens.operators import embedding
     v = embedding.hashing_vectors(spark.table("v_comments"), "comment", num_features=1 << 12)
-    arr = vector_to_array("features")
-    return v.select("comment_id", F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
-                    F.sqrt(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)).alias("norm"))
+    values = F.col("sparse.values")  # the stored values of a sparse vector
+    return v.select("comment_id", F.unwrap_udt("features").alias("sparse")).select(
+        "comment_id", F.size(F.filter(values, lambda x: x != 0)).alias("nnz"),
+        F.sqrt(F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x * x)).alias("norm"))
 
 
 @query("clustering_report")
@@ -339,7 +340,7 @@ pp AS (SELECT p.vec_id, p.cluster_id AS own, sz.n,
        FROM p JOIN sz ON sz.cluster_id = p.cluster_id),
 ss AS (SELECT CASE WHEN n <= 1 OR a IS NULL OR greatest(a, b) = 0 THEN 0.0
                    ELSE (b - a) / greatest(a, b) END AS s FROM pp)
-SELECT {r6('avg(s)')} AS silhouette, count(*) AS n FROM ss""")
+SELECT {r6('avg(s)')} AS silhouette_estimate, count(*) AS n FROM ss""")
 def q_silhouette_sampled(spark, sf_dir):
-    """Large-N silhouette mode: every point against up to 16 seeded anchors per cluster."""
+    """Estimated silhouette: every point against up to 16 seeded anchors per cluster."""
     return quality.silhouette_sampled(vecs(spark), "vec_id", per_cluster=SAMPLED_ANCHORS)

@@ -7,7 +7,9 @@ fixtures (LLM response text rendered with ``to_json``) are marked as such.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from weakref import WeakKeyDictionary
+
+from pyspark.sql import SparkSession
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -45,7 +47,9 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 
 # 64-d unit vectors; label stands in for a cluster id.
 V_VECTORS = "SELECT vec_id, embedding AS v, label AS cluster_id FROM embeddings"
-V_THEME_VECTORS = "SELECT vec_id AS theme_pos, embedding AS v FROM embeddings WHERE vec_id < 15"
+# Every theme has the vector of the embedding with its position as id.
+V_THEME_VECTORS = ("SELECT n_nationkey AS theme_pos, embedding AS v FROM nation JOIN embeddings "
+                   "ON vec_id = n_nationkey")
 
 # Token usage per request, 50 requests per batch.
 V_USAGE = """
@@ -65,10 +69,36 @@ SELECT cluster_id,
               CAST(count(DISTINCT comment_id) AS STRING), ' comments') AS summary,
        CASE WHEN 2 * sum(CASE WHEN sentiment = 'positive' THEN 1 ELSE 0 END) > count(*) THEN 'positive'
             WHEN 2 * sum(CASE WHEN sentiment = 'negative' THEN 1 ELSE 0 END) > count(*) THEN 'negative'
-            ELSE 'mixed' END AS primary_sentiment
+            ELSE 'mixed' END AS primary_sentiment,
+       concat(trim(min(aspect)), ', ', trim(max(aspect))) AS key_themes
 FROM v_aspects GROUP BY cluster_id
 """
 
+# Stored model answers.  Insight per cluster: the insight rendered as fenced JSON, cut short for some clusters.
+V_INSIGHT_ANSWERS = """
+SELECT cluster_id, CASE WHEN cluster_id % 7 = 3 THEN substring(t, 1, 60) ELSE t END AS text
+FROM (SELECT cluster_id, concat('```json', chr(10), '{"cluster_name": "', cluster_name, '", "summary": "', summary,
+             '", "primary_sentiment": "', primary_sentiment, '", "key_themes": ["', key_themes,
+             '"], "business_impact": null}', chr(10), '```') AS t FROM v_insights) x
+"""
+# Theme per cluster: the mapping rendered as JSON; clusters without a theme got an answer without that key.
+V_THEME_ANSWERS = """
+SELECT cluster_id,
+       CASE WHEN primary_theme IS NULL THEN '{"category": "none", "confidence": 0.1, "reasoning": "no theme fits"}'
+            ELSE concat('{"theme": "', primary_theme, '", "category": "', primary_category, '", "confidence": ',
+                        printf('%.2f', primary_confidence), ', "reasoning": "stored answer"}') END AS text
+FROM v_mappings
+"""
+# Review of low-confidence mappings: the same themes as recommendations; no decision where there is no theme.
+V_REVIEW_ANSWERS = """
+SELECT cluster_id,
+       CASE WHEN primary_theme IS NULL THEN 'I am not able to decide on a theme.'
+            ELSE concat('```json', chr(10), '{"recommended_theme": "', primary_theme, '", "category": "',
+                        primary_category, '", "confidence": ', printf('%.2f', primary_confidence),
+                        ', "rationale": "stored review"}', chr(10), '```') END AS text
+FROM v_mappings
+"""
+
 # Which rendered responses are deliberately broken (fixed values of the fixture):
 #   comment_id % 23 = 7  -> chatter after the closing fence (variant A rejects, B accepts)
 #   comment_id % 29 = 11 -> body cut in half (both reject)
@@ -122,31 +152,13 @@ VIEWS = {
     "v_usage": V_USAGE,
     "v_comments": V_COMMENTS,
     "v_insights": V_INSIGHTS,
+    "v_insight_answers": V_INSIGHT_ANSWERS,
+    "v_theme_answers": V_THEME_ANSWERS,
+    "v_review_answers": V_REVIEW_ANSWERS,
 }
 
 
-_REGISTERED: dict[int, str] = {}
-_SPREAD_MIN_BYTES = 8 << 20
-
-
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan; a large test file stored as a single row group is spread over the cores.
-
-    Parquet splits at row-group boundaries, so a one-row-group file is read by
-    a single task however many cores there are.  Production tables have many
-    row groups and are never touched by this (the check is on the file footer).
-    """
-    df = spark.read.parquet(path)
-    try:
-        import os
-
-        import pyarrow.parquet as pq
-        cores = spark.sparkContext.defaultParallelism
-        if os.path.getsize(path) >= _SPREAD_MIN_BYTES and pq.ParquetFile(path).num_row_groups < cores:
-            return df.repartition(cores)
-    except (OSError, ValueError, ImportError):
-        pass
-    return df
+_REGISTERED: WeakKeyDictionary[SparkSession, str] = WeakKeyDictionary()
 
 
 def register(spark: SparkSession, sf_dir: str) -> None:
@@ -155,22 +167,25 @@ def register(spark: SparkSession, sf_dir: str) -> None:
     Registration is remembered per session and directory; switching the
     directory re-registers everything.
     """
-    key = id(spark)
-    if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists("v_responses"):
+    if _REGISTERED.get(spark) == sf_dir and spark.catalog.tableExists("v_responses"):
         return
     for name in BASE_TABLES:
-        _scan(spark, f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
     for name, sql in VIEWS.items():
         spark.sql(sql).createOrReplaceTempView(name)
     spark.sql(V_RESPONSES.replace("{agg}", SPARK_ITEMS_AGG)).createOrReplaceTempView("v_responses")
-    _REGISTERED[key] = sf_dir
+    _REGISTERED[spark] = sf_dir
 
 
 def cte(*names: str) -> str:
     """WITH-clause prefix that inlines fixture views for DuckDB (which has only base tables)."""
     order = ["v_aspects", "v_themes", "v_mappings", "v_vectors", "v_theme_vectors", "v_usage",
-             "v_comments", "v_insights"]
+             "v_comments", "v_insights", "v_insight_answers", "v_theme_answers", "v_review_answers"]
     need = set(names)
+    if "v_insight_answers" in need:
+        need.add("v_insights")
+    if need & {"v_theme_answers", "v_review_answers"}:
+        need.add("v_mappings")
     if "v_insights" in need:
         need.add("v_aspects")
     if "v_responses" in need:

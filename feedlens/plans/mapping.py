@@ -8,6 +8,7 @@ from feedlens.functions import prompts, ratings
 from feedlens.operators import completion, mapping, quality
 from feedlens.plans.fixtures import cte
 from feedlens.plans.registry import query, r6
+from feedlens.session import materialize
 from feedlens.sources.files import flatten_themes
 
 DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda t: t[1] * t[2]))"
@@ -149,7 +150,7 @@ vp AS (SELECT sem.cluster_id,
               replace(replace(replace(replace(replace(replace(replace({tpl},
                  '{{cluster_id}}', CAST(sem.cluster_id AS VARCHAR)), '{{cluster_name}}', coalesce(i.cluster_name, '')),
                  '{{summary}}', coalesce(i.summary, '')), '{{primary_sentiment}}', coalesce(i.primary_sentiment, '')),
-                 '{{key_themes}}', coalesce(i.primary_sentiment, '')), '{{suggestions}}', sg.suggestions),
+                 '{{key_themes}}', coalesce(i.key_themes, '')), '{{suggestions}}', sg.suggestions),
                  '{{theme_block}}', blk.b) AS prompt
        FROM sem JOIN sg ON sem.cluster_id = sg.cluster_id LEFT JOIN v_insights i ON i.cluster_id = sem.cluster_id, blk
        WHERE sem.primary_confidence < {LOW})
@@ -170,40 +171,38 @@ def q_render_validation_prompt(spark, sf_dir):
                                              F.length("prompt").cast("long").alias("prompt_chars"))
 
 
-@query("validate_stub", SEM_SQL + f"""
-SELECT cluster_id,
-       CASE WHEN primary_confidence < {LOW} AND cluster_id % 4 <> 1 THEN third_theme ELSE primary_theme END AS primary_theme,
-       CASE WHEN primary_confidence < {LOW} AND cluster_id % 4 <> 1 THEN third_category ELSE primary_category END
-         AS primary_category,
-       {r6(f'CASE WHEN primary_confidence < {LOW} AND cluster_id % 4 <> 1 THEN 0.8 ELSE primary_confidence END')}
-         AS primary_confidence,
-       primary_confidence < {LOW} AND cluster_id % 4 <> 1 AS validated
-FROM sem""")
-def q_validate_stub(spark, sf_dir):
-    """Low-confidence mappings re-decided by an (offline) model; answers overlay the semantic mapping."""
-    sem = semantic(spark)  # one semantic mapping feeds both the prompts and the overlay
+REVIEW_SQL = SEM_SQL.replace("WITH ", cte("v_mappings").rstrip() + ",\n", 1) + f"""
+, rv AS (SELECT sem.cluster_id, m.primary_theme AS theme, m.primary_category AS category, m.primary_confidence AS confidence
+         FROM sem JOIN v_mappings m ON m.cluster_id = sem.cluster_id
+         WHERE sem.primary_confidence < {LOW} AND m.primary_theme IS NOT NULL)
+"""
+
+
+@query("validate_stored", REVIEW_SQL + f"""
+SELECT sem.cluster_id, coalesce(rv.theme, sem.primary_theme) AS primary_theme,
+       coalesce(rv.category, sem.primary_category) AS primary_category,
+       {r6("CASE WHEN rv.theme IS NOT NULL THEN rv.confidence ELSE sem.primary_confidence END")} AS primary_confidence,
+       rv.theme IS NOT NULL AS validated
+FROM sem LEFT JOIN rv ON rv.cluster_id = sem.cluster_id""")
+def q_validate_stored(spark, sf_dir):
+    """Low-confidence mappings reviewed by stored answers, which overlay the semantic mapping."""
+    sem = materialize(semantic(spark), "semantic")  # computed once; feeds the prompts and the overlay
     req = validation_requests(spark, sem)
-    done = completion.complete(req, mapping.ValidationStubClient, "prompt")
+    done = completion.stored(req, spark.table("v_review_answers"), ["cluster_id"])
     val = mapping.parse_validations(req, done)
     out = mapping.overlay(sem, val)
     return out.select("cluster_id", "primary_theme", "primary_category", "primary_confidence", "validated")
 
 
-@query("full_map_stub", cte("v_themes", "v_insights") + """
-, f AS (SELECT category, min(theme_pos) AS first FROM v_themes GROUP BY category),
-cat AS (SELECT t.theme, t.category, row_number() OVER (ORDER BY f.first, t.theme_pos) - 1 AS k
-        FROM v_themes t JOIN f ON f.category = t.category),
-n AS (SELECT count(*) AS n FROM cat)
-SELECT i.cluster_id,
-       CASE WHEN i.cluster_id % 5 = 4 THEN NULL ELSE cat.theme END AS primary_theme,
-       CASE WHEN i.cluster_id % 5 = 4 THEN NULL ELSE cat.category END AS primary_category,
-       CASE WHEN i.cluster_id % 5 = 4 THEN NULL ELSE round(0.7 + (i.cluster_id % 3) / 10, 6) END AS primary_confidence,
-       CASE WHEN i.cluster_id % 5 = 4 THEN 'error' ELSE 'success' END AS status
-FROM v_insights i, n JOIN cat ON cat.k = i.cluster_id % n.n""")
-def q_full_map_stub(spark, sf_dir):
-    """Every cluster mapped by an (offline) model from the catalogue; failures stay as error rows (L4)."""
-    req = mapping.full_mapping_prompts(insights_df(spark), mapping.theme_block(themes(spark)))
-    done = completion.complete(req, mapping.FullMappingStubClient, "prompt")
+@query("full_map_stored", cte("v_mappings", "v_insights") + f"""
+SELECT i.cluster_id, m.primary_theme, m.primary_category, {r6("CAST(round(m.primary_confidence, 2) AS DOUBLE)")} AS primary_confidence,
+       CASE WHEN m.primary_theme IS NULL THEN 'error' ELSE 'success' END AS status
+FROM v_insights i JOIN v_mappings m ON m.cluster_id = i.cluster_id""")
+def q_full_map_stored(spark, sf_dir):
+    """Every cluster with a stored answer mapped from the catalogue; answers without a theme are error rows (L4)."""
+    block = mapping.theme_block(themes(spark), prompts.FULL_MAPPING_BLOCK_HEADER)
+    req = mapping.full_mapping_prompts(insights_df(spark), block)
+    done = completion.stored(req, spark.table("v_theme_answers"), ["cluster_id"])
     out = mapping.parse_full_mappings(req, done)
     return out.select("cluster_id", "primary_theme", "primary_category", "primary_confidence", "status")
 

@@ -158,21 +158,15 @@ def q_render_prompt(spark, sf_dir):
     return requests(spark).select("comment_id", "request_id", F.length("prompt").cast("long").alias("prompt_chars"))
 
 
-@query("complete_stub", f"""
-WITH r AS ({REQ_SQL.format(tpl=_tpl_sql(), model=MODEL)}),
-d AS (SELECT DISTINCT request_id, length(prompt) AS n FROM r),
-c AS (SELECT request_id, n % 97 = 0 AS failed,
-             CASE WHEN n % 97 = 0 THEN NULL ELSE concat('{{"echo_chars": ', CAST(n AS VARCHAR), '}}') END AS text, n
-      FROM d)
-SELECT request_id, text,
-       CAST(CASE WHEN failed THEN 0 ELSE (n + 3) // 4 END AS BIGINT) AS input_tokens,
-       CAST(CASE WHEN failed THEN 0 ELSE length(text) // 4 END AS BIGINT) AS output_tokens,
-       CASE WHEN failed THEN 'error' ELSE 'success' END AS status,
-       CASE WHEN failed THEN 'stub: upstream error' END AS error
-FROM c""")
-def q_complete_stub(spark, sf_dir):
-    """Model call per distinct prompt through mapInPandas with a deterministic offline client."""
-    return completion.complete(requests(spark), completion.EchoClient, "prompt")
+@query("complete_stored", cte("v_responses").rstrip() + f"""
+, r AS ({REQ_SQL.format(tpl=_tpl_sql(), model=MODEL)})
+SELECT r.request_id, v.response_text AS text, CAST((length(r.prompt) + 3) // 4 AS BIGINT) AS input_tokens,
+       CAST(length(v.response_text) // 4 AS BIGINT) AS output_tokens, 'success' AS status, CAST(NULL AS VARCHAR) AS error
+FROM r JOIN v_responses v ON v.comment_id = r.comment_id""")
+def q_complete_stored(spark, sf_dir):
+    """Completions of the extraction requests from the stored answers of a previous run (L1)."""
+    answers = spark.table("v_responses").select("comment_id", F.col("response_text").alias("text"))
+    return completion.stored(requests(spark), answers, ["comment_id"])
 
 
 @query("pending_requests", f"""
@@ -251,11 +245,8 @@ SELECT batch_no, n_items, {r6('cost')} AS cost,
 FROM runs""")
 def q_cost_ledger(spark, sf_dir):
     """Ledger of runs (one per batch): cost rounded per run, running spend and remaining budget."""
-    runs = (ledger.cost_summary(spark.table("v_usage"), keys=["batch_no"])
-            .select("batch_no", F.col("total_cost_usd").alias("cost"),
-                    (F.col("input_tokens") * 0).alias("_z")))
-    counts = spark.table("v_usage").groupBy("batch_no").agg(F.count("*").alias("n_items"))
-    runs = runs.join(counts, "batch_no").drop("_z")
+    runs = ledger.cost_summary(spark.table("v_usage"), keys=["batch_no"], counts="n_items").select(
+        "batch_no", "n_items", F.col("total_cost_usd").alias("cost"))
     return ledger.cost_ledger(runs, ["batch_no"]).select("batch_no", "n_items", "cost", "total_spent",
                                                          "budget_remaining", "over_budget")
 

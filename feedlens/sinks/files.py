@@ -51,6 +51,19 @@ def write_clusters(members: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("cluster_id").parquet(path))
 
 
+def write_json_map(df: DataFrame, key_col: str, value, path: str, field: str | None = None) -> None:
+    """One JSON object per line, ``{key: value}`` (or ``{field: {key: value}}``): the keyed files, splittable (K5, K6)."""
+    entry = F.map_from_arrays(F.array(F.col(key_col).cast("string")), F.array(value))
+    line = F.struct(entry.alias(field)) if field else entry
+    df.select(F.to_json(line).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_comments_csv(comments: DataFrame, path: str) -> None:
+    """Comment CSV, every field quoted, quotes doubled, white space kept."""
+    (comments.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def write_sample_csv(sample: DataFrame, path: str) -> None:
     """CSV sample with header, every field quoted, quotes doubled (K8)."""
     (sample.coalesce(1).write.mode("overwrite").option("header", True).option("quoteAll", True)

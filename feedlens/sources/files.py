@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens import schemas
 from feedlens.functions import jsonparse
+from feedlens.session import materialize
 
 
 def read_comments_csv(spark: SparkSession, path: str, with_id: bool = True) -> DataFrame:
@@ -15,12 +16,33 @@ def read_comments_csv(spark: SparkSession, path: str, with_id: bool = True) -> D
 
     Cells are kept as literal text ("NA" stays "NA"); empty cells become null
     and null comments are dropped by callers that need text.  ``comment_id`` is
-    a stable id (file order within partitions, not dense).
+    the hash of the text and the number of its occurrence, so it does not depend
+    on how the file is split or ordered.
     """
     df = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
           .option("escape", '"').option("nullValue", None).option("emptyValue", None)
           .schema(schemas.COMMENT_CSV).csv(path))
-    return df.withColumn("comment_id", F.monotonically_increasing_id()) if with_id else df
+    return with_stable_id(df, "comment") if with_id else df
+
+
+def with_stable_id(df: DataFrame, text_col: str, out: str = "comment_id") -> DataFrame:
+    """``out`` = hex SHA-256 of the text, with ``-n`` for its n-th copy after the first (null: ``null``).
+
+    Copies of one text may be any share of the rows: they are numbered in buckets of a few rows' hash, and
+    the buckets' offsets come from a count, so no task holds all of them.
+    """
+    buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.coalesce(F.sha2(F.col(text_col), 256), F.lit("null"))
+    rows = materialize(df.withColumn("_key", key).withColumn(
+        "_bucket", F.pmod(F.monotonically_increasing_id(), F.lit(buckets))), "stable-id")
+    counts = rows.groupBy("_key", "_bucket").agg(F.count("*").alias("_n"))
+    ahead = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_key", "_bucket", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    inside = Window.partitionBy("_key", "_bucket").orderBy(F.lit(0))
+    n = F.col("_ahead") + F.row_number().over(inside) - 1
+    return rows.join(offsets, ["_key", "_bucket"]).withColumn(
+        out, F.when(n == 0, F.col("_key")).otherwise(F.concat("_key", F.lit("-"), n.cast("string")))).drop(
+            "_key", "_bucket", "_ahead")
 
 
 def read_sample_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -68,28 +90,29 @@ def explode_results(rows: DataFrame) -> DataFrame:
                      "source_comment")
 
 
-def _read_json_map(spark: SparkSession, path: str, value_type: T.DataType) -> DataFrame:
-    text = spark.read.option("wholetext", True).text(path)
+def _read_json_map(spark: SparkSession, path: str, value_type: T.DataType, lines: bool) -> DataFrame:
+    """A JSON object keyed by id: one document per file, or with ``lines`` an object per line (splittable)."""
+    text = spark.read.option("wholetext", not lines).text(path)
     return text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), value_type))).alias("key", "v"))
 
 
-def read_insights(spark: SparkSession, path: str) -> DataFrame:
+def read_insights(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Insights file (map id -> insight) -> one row per cluster."""
-    m = _read_json_map(spark, path, jsonparse.INSIGHT_SCHEMA)
+    m = _read_json_map(spark, path, jsonparse.INSIGHT_SCHEMA, lines)
     return m.select(F.col("key").cast("int").alias("cluster_id"), "v.*")
 
 
-def read_clusters(spark: SparkSession, path: str) -> DataFrame:
+def read_clusters(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Clusters file (map id -> aspects) -> long form ``(cluster_id, pos, aspect, sentiment, confidence)``."""
-    m = _read_json_map(spark, path, T.ArrayType(schemas.CLUSTER_MEMBER))
+    m = _read_json_map(spark, path, T.ArrayType(schemas.CLUSTER_MEMBER), lines)
     ex = m.select(F.col("key").cast("int").alias("cluster_id"), F.posexplode("v").alias("pos", "a"))
     return ex.select("cluster_id", "pos", "a.*")
 
 
-def read_mappings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_mappings(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """Mapping results file -> (metadata one-row DF, one row per cluster mapping)."""
-    doc = spark.read.option("multiLine", True).schema(schemas.MAPPING_FILE).json(path)
-    meta = doc.select("metadata.*")
+    doc = spark.read.option("multiLine", not lines).schema(schemas.MAPPING_FILE).json(path)
+    meta = doc.where("metadata is not null").select("metadata.*")
     rows = doc.select(F.explode("mappings").alias("key", "m")).select("m.*")
     return meta, rows
 

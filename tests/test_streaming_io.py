@@ -9,6 +9,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from tests.clients import EchoClient
 from feedlens.operators import clustering, completion, ledger, mapping, quality
 from feedlens.sinks import files as sinks
 from feedlens.sources import files as sources
@@ -22,9 +23,13 @@ def tmpdir():
 def test_comment_csv_multiline_and_literal_na(spark):
     d = tmpdir()
     with open(os.path.join(d, "c.csv"), "w") as f:
-        f.write('comment\n"line one\nline two, with comma"\nNA\n""\n"He said ""hi"""\n')
-    rows = [r["comment"] for r in sources.read_comments_csv(spark, d).orderBy("comment_id").collect()]
-    assert rows == ["line one\nline two, with comma", "NA", None, 'He said "hi"']
+        f.write('comment\n"line one\nline two, with comma"\nNA\n""\n"He said ""hi"""\nNA\n')
+    rows = sources.read_comments_csv(spark, d).collect()
+    assert sorted((r["comment"] or "" for r in rows)) == ["", 'He said "hi"', "NA", "NA", "line one\nline two, with comma"]
+    # ids follow from the content: the same after a reversal, and copies are told apart
+    ids = {(r["comment"], r["comment_id"]) for r in rows}
+    back = spark.createDataFrame([(r["comment"],) for r in reversed(rows)], "comment string").repartition(3)
+    assert {(r["comment"], r["comment_id"]) for r in sources.with_stable_id(back, "comment").collect()} == ids and len(ids) == 5
 
 
 def test_sample_csv_round_trip(spark):
@@ -115,7 +120,7 @@ def test_streaming_extraction_is_idempotent(spark):
     spark.createDataFrame([(i, f"comment number {i}") for i in range(40)], "comment_id long, comment string") \
         .write.parquet(os.path.join(src, "part1"))
     from feedlens.streaming.extraction import start_extraction_stream
-    q = start_extraction_stream(spark, os.path.join(src, "*"), out, completion.EchoClient)
+    q = start_extraction_stream(spark, os.path.join(src, "*"), out, EchoClient)
     q.awaitTermination(120)
     comp = spark.read.parquet(os.path.join(out, "completions"))
     res = spark.read.parquet(os.path.join(out, "results"))
@@ -124,7 +129,7 @@ def test_streaming_extraction_is_idempotent(spark):
     # a second file with overlapping comments: only new prompts are sent to the model
     spark.createDataFrame([(i, f"comment number {i}") for i in range(30, 50)], "comment_id long, comment string") \
         .write.parquet(os.path.join(src, "part2"))
-    q = start_extraction_stream(spark, os.path.join(src, "*"), out, completion.EchoClient)
+    q = start_extraction_stream(spark, os.path.join(src, "*"), out, EchoClient)
     q.awaitTermination(120)
     comp = spark.read.parquet(os.path.join(out, "completions"))
     assert comp.count() == 50 and comp.select("request_id").distinct().count() == 50
@@ -155,11 +160,11 @@ def test_budgeted_run_stops_after_crossing_batch(spark):
                                   .alias("prompt"))
     req = completion.with_request_id(req, "prompt", "m")
     # each request costs ~1000 input tokens -> ~$0.0008; 10 requests per batch -> ~$0.008 per batch
-    res = completion.run_budgeted(req, completion.EchoClient, out, ["comment_id"], 10, 0.02)
+    res = completion.run_budgeted(req, EchoClient, out, ["comment_id"], 10, 0.02)
     assert res["stopped_by_budget"] and res["batches_run"] == 3
     stored = spark.read.parquet(out)
     assert stored.count() == 30
-    again = completion.run_budgeted(req, completion.EchoClient, out, ["comment_id"], 10, 1.0)
+    again = completion.run_budgeted(req, EchoClient, out, ["comment_id"], 10, 1.0)
     assert not again["stopped_by_budget"] and spark.read.parquet(out).count() == 100
 
 
@@ -177,7 +182,8 @@ def test_join_and_hashing_providers(spark):
     from feedlens.operators import embedding
     df = spark.createDataFrame([(1, "a b"), (2, "c d")], "id long, t string")
     table = spark.createDataFrame([(1, [0.1, 0.2])], "key long, embedding array<float>")
-    assert embedding.join_embeddings(df, "id", table, "key").count() == 1
+    joined = {r["id"]: r["v"] for r in embedding.join_embeddings(df, "id", table, "key").collect()}
+    assert len(joined[1]) == 2 and joined[2] is None  # a row without a vector is kept
     hv = embedding.hashing_vectors(spark.createDataFrame([(1, "alpha beta"), (2, "beta gamma")], "id long, t string"), "t",
                                    num_features=32)
     assert hv.count() == 2
