@@ -14,7 +14,8 @@ start.  The plan:
 4. *Verification.*  Group pairs are expanded to members and the shared shingles intersected.  First every
    node is held against one leader per group and per index entry (the one with the most shared
    shingles); pairs that are thereby connected need no look for the components, and only pairs from
-   different components are then verified.  So a large group of near copies costs links in proportion to
+   different components are then looked at; bitmaps of the shared shingles bound their overlap within
+   the join, and what passes is verified.  So a large group of near copies costs links in proportion to
    its members, and none is lost: every pair that could link is verified or already connected.
 
 Defined results: a null or blank text has no shingles and links with nothing; a text of fewer words than
@@ -31,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.llm.columns import let
 from feedlens.llm.components import connected_components
 from feedlens.llm.words import NOT_BLANK, chained, mix, word_groups
 from feedlens.session import materialize
 
 K = 5
+WORDS = 16                        # 64-bit words of the bitmap that bounds the overlap of a pair
 NUMERATOR, DENOMINATOR = 4, 5     # likeness of at least 4 / 5
-FLUSH = 2_000_000                 # shingles that a task packs at a time
+FLUSH = 500_000                   # shingles that a task packs at a time
 
 
 def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -142,13 +145,37 @@ def _possible(n1: Column, s1: Column, n2: Column, s2: Column) -> Column:
     return top * (NUMERATOR + DENOMINATOR) >= (n1 + n2) * NUMERATOR
 
 
+def _bits(shared: Column) -> Column:
+    """The shared shingles as a bitmap of 64 * ``WORDS`` bits."""
+    mixed = F.transform(shared, lambda x: F.xxhash64(x))
+    word = lambda m, w: F.aggregate(F.filter(m, lambda x: x.bitwiseAND(WORDS - 1) == w), F.lit(0).cast("long"),
+                                    lambda bits, x: bits.bitwiseOR(_bit(x)))
+    return let(mixed, lambda m: F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: word(m, w)))
+
+
+def _bit(x: Column) -> Column:
+    """One of 64 bits, chosen by bits 8 to 13."""
+    powers = F.lit([1 << b if b < 63 else -1 << 63 for b in range(64)])
+    return F.get(powers.cast("array<bigint>"), F.shiftrightunsigned(x, 8).bitwiseAND(63).cast("int"))
+
+
+def _missing(bits1: Column, bits2: Column) -> Column:
+    """At least so many shingles of the first set are not in the second: bits that only the first has."""
+    only = F.zip_with(bits1, bits2, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+    return F.aggregate(only, F.lit(0), lambda n, c: n + c).cast("long")
+
+
+def _links(shared1: Column, n1: Column, shared2: Column, n2: Column) -> Column:
+    """Likeness reached: overlap / (n1 + n2 - overlap) >= t, in integers."""
+    return F.size(F.array_intersect(shared1, shared2)) * (NUMERATOR + DENOMINATOR) >= (n1 + n2) * NUMERATOR
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that link.  Each shared list travels once per pair on one side, once on the other."""
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(right, "b").join(left, "a")
-            .where(common * (NUMERATOR + DENOMINATOR) >= (F.col("na") + F.col("nb")) * NUMERATOR).select("a", "b"))
+    return pairs.join(right, "b").join(left, "a").where(
+        _links(F.col("sa"), F.col("na"), F.col("sb"), F.col("nb"))).select("a", "b")
 
 
 def similar_links(docs: DataFrame, text_col: str = "text", k: int = K) -> tuple[DataFrame, DataFrame]:
@@ -175,11 +202,12 @@ def similar_links(docs: DataFrame, text_col: str = "text", k: int = K) -> tuple[
     group = materialize(group, "join-groups")
     members = materialize(member.select("node", "key").join(group.select("key", "gid"), "key").select("node", "gid"),
                           "join-members")
-    entries = group.select("gid", "n", "s", F.explode("prefix").alias("shingle"))
+    held = members.groupBy("gid").agg(F.count("*").alias("held"))
+    entries = group.join(held, "gid").select("gid", "n", "s", "held", F.explode("prefix").alias("shingle"))
 
     # one leader per index entry: the group with the most shared shingles
     leader = entries.groupBy("shingle").agg(F.min(F.struct((-F.col("s")).alias("o"), "gid", "n", "s")).alias("top"),
-                                            F.count("*").alias("size")).where(F.col("size") > 1)
+                                            F.sum("held").alias("size")).where(F.col("size") > 1)
     index = materialize(entries.join(leader.select("shingle", "top"), "shingle"), "join-index")
     led = index.where((F.col("gid") != F.col("top.gid")) & _possible(
         F.col("n"), F.col("s"), F.col("top.n"), F.col("top.s"))).select("gid", F.col("top.gid").alias("lead")).distinct()
@@ -193,20 +221,17 @@ def similar_links(docs: DataFrame, text_col: str = "text", k: int = K) -> tuple[
         known.withColumnRenamed("node", "known"), F.col("node") == F.col("known"), "left").select(
             "node", "gid", F.coalesce("root", "node").alias("root"))
     placed = materialize(placed, "join-placed")
-    entry = index.select("shingle", "gid", "n", "s").join(placed, "gid").select("shingle", "node", "n", "s", "root")
-    sizes = nodes.select("node", "n", "s")
-    alone = placed.join(sizes, "node").select(F.col("gid").alias("shingle"), "node", "n", "s", "root")
-    open_ = lambda rows: rows.join(rows.groupBy("shingle").agg(
-        F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("shingle"), "shingle")
-
-    def meets(rows: DataFrame) -> DataFrame:
-        rows = open_(rows)
-        x = rows.select("shingle", *[F.col(c).alias(f"{c}1") for c in ("node", "n", "s", "root")])
-        y = rows.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "s", "root")])
-        fits = (F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2")) & _possible(
-            F.col("n1"), F.col("s1"), F.col("n2"), F.col("s2"))
-        return x.join(y, "shingle").where(fits).select(F.col("node1").alias("a"), F.col("node2").alias("b"))
-    more = _verified(meets(entry).unionByName(meets(alone)).distinct(), nodes)
+    entry = index.select("shingle", "gid").join(placed, "gid").select("shingle", "node", "root")
+    several = entry.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2")
+    rows = materialize(entry.join(several.select("shingle"), "shingle").join(
+        nodes.select("node", "n", "s", _bits(F.col("shared")).alias("bits")), "node"), "join-open")
+    x, y = (rows.select("shingle", *[F.col(c).alias(f"{c}{i}") for c in ("node", "n", "s", "root", "bits")]) for i in (1, 2))
+    met = x.join(y, "shingle").where(
+        (F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2"))
+        & _possible(F.col("n1"), F.col("s1"), F.col("n2"), F.col("s2"))
+        & _possible(F.col("n1"), F.col("s1") - _missing(F.col("bits1"), F.col("bits2")),
+                    F.col("n2"), F.col("s2") - _missing(F.col("bits2"), F.col("bits1"))))
+    more = _verified(met.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct(), nodes)
     links = materialize(first.unionByName(more), "join-links")
     return links, connected_components(links, "a", "b")
 
