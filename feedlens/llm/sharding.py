@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedlens.llm.columns import ROW, packed, unpacked
+from feedlens.llm.columns import packed, unpacked
 
 MULTIPLIER = 2862933555777941757  # of the published generator
 STEPS = 64
