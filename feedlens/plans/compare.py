@@ -39,3 +39,14 @@ def compare(scols, srows, dcols, drows) -> list[str]:
             diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
             problems.append(f"values differ, e.g. {diff}")
     return problems
+
+
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+              "TIMESTAMP": "timestamp", "DATE": "date"}
+
+
+def type_problems(schema, described: list[tuple]) -> list[str]:
+    """Columns whose types differ between a Spark schema and the rows of DuckDB's DESCRIBE (name, type, ...)."""
+    theirs = {d[0]: DUCK_TYPES.get(d[1], d[1]) for d in described}
+    return [f"{f.name}: spark {f.dataType.simpleString()}, oracle {theirs.get(f.name)}" for f in schema.fields
+            if f.dataType.simpleString() != theirs.get(f.name)]
