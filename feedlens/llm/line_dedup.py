@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.columns import ROW, ascii_lower, let, packed, text_of, unpacked
+from feedlens.llm.columns import ascii_lower, let, packed, text_of, unpacked
+from feedlens.session import materialize
 
 BLANKS = "\t\n\x0b\x0c\r "
 
@@ -43,6 +44,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     frequent = (lines.select("__h1", "__h2", "__id").distinct()
                 .groupBy("__h1", "__h2").agg(F.count("*").alias("__n"), F.max("__id").alias("__keeper"))
                 .where(F.col("__n") >= min_docs).select("__h1", "__h2", "__keeper"))
+    frequent = materialize(frequent, "frequent-lines")  # a plain table: Spark can split a hot line in the join
     dropped = (lines.join(frequent, ["__h1", "__h2"]).where(~F.col("__id").eqNullSafe(F.col("__keeper")))
                .groupBy("__id", "__same").agg(F.collect_set("__pos").alias("__dropped"))
                .select(F.col("__id").alias("__did"), F.col("__same").alias("__dsame"), "__dropped"))
