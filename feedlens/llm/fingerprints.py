@@ -1,7 +1,9 @@
 """Order MinHash fingerprints (Marcais et al., 2019), in DataFrame expressions.
 
-A text is cut into units (runs of non-blank characters, longer runs in pieces of 8), and its k-mers of
-``K`` units are numbered by occurrence.  Signature ``c`` permutes the numbered k-mers by
+A text is cut into units, and its k-mers of ``K`` units are numbered by occurrence.  Units are runs of
+up to 8 non-blank characters; a longer run gives its pieces of 8 one after the other (``UNIT``), or, if
+``sliding``, the piece of 8 at each of its characters, so that an edit in a text without blanks changes only
+the pieces around it and not all later ones.  Signature ``c`` permutes the numbered k-mers by
 ``hash xor (c in the top bits)``, selects the ``L`` smallest, puts them back into text order and hashes
 that tuple.  Two texts agree in a signature only if the selected k-mers and their order agree, so the
 likeness falls with edit distance, also where k-mers are merely rearranged.
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 
 from feedlens.llm.columns import ROW, count_below, let, packed, text_of, unpacked
 
-UNIT = r"\S{1,8}"
+UNIT = r"(\S{1,8})"
+SLIDING = r"(?=(\S{1,8}))(?:\S(?=\S{8})|\S++)"   # steps by one character while nine or more are left of the run
 K = 3
 L = 2
 SIGNATURE_BITS = 5          # 32 signatures
@@ -31,13 +34,13 @@ POSITION_BITS = 26          # later positions wrap; only ties among their k-mers
 HEX = 8                     # digits of a signature
 
 
-def _kmers(text: Column) -> Column:
+def _kmers(text: Column, sliding: bool) -> Column:
     """array<long>: the hash of the k-mer at each position."""
     def grams(u: Column) -> Column:
         gram = lambda i: F.xxhash64(*[F.get(u, i + o) for o in range(K)])
         all_of = F.transform(F.sequence(F.lit(0), F.greatest(F.size(u) - K, F.lit(0))), gram)
         return F.when(F.size(u) > 0, all_of).otherwise(F.array().cast("array<bigint>"))
-    return let(F.regexp_extract_all(text, F.lit(UNIT), F.lit(0)), grams)
+    return let(F.regexp_extract_all(text, F.lit(SLIDING if sliding else UNIT), F.lit(1)), grams)
 
 
 def _pack(h: Column, position: Column) -> Column:
@@ -63,7 +66,7 @@ def _numbered(kmers: Column) -> Column:
     return let(by_kmer, number)
 
 
-def fingerprint(text: Column) -> Column:
+def fingerprint(text: Column, sliding: bool = False) -> Column:
     """The fingerprint string: ``SIGNATURES`` groups of ``HEX`` hexadecimal digits."""
     block = lambda x: F.shiftrightunsigned(x, 63 - SIGNATURE_BITS)
 
@@ -81,7 +84,7 @@ def fingerprint(text: Column) -> Column:
                 return F.right(F.lpad(F.lower(F.hex(F.xxhash64(tuple_))), 16, "0"), F.lit(HEX))
             return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SIGNATURES - 1)), one), "")
         return let(let(_numbered(kmers), heads), signatures)
-    return let(_kmers(text), of)
+    return let(_kmers(text, sliding), of)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -91,9 +94,10 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(same) / F.lit(float(SIGNATURES))
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "fingerprint") -> DataFrame:
+def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "fingerprint",
+                 sliding: bool = False) -> DataFrame:
     """``docs`` with the fingerprint of each text in ``out_col`` (replaced if present)."""
-    return docs.withColumn(out_col, fingerprint(text_of(docs, text_col)))
+    return docs.withColumn(out_col, fingerprint(text_of(docs, text_col), sliding))
 
 
 def with_next(docs: DataFrame, id_col: str, next_cols: dict[str, str], tie_cols: list[str]) -> DataFrame:

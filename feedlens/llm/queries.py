@@ -37,16 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_order_minhash")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every text, of its edited text and their likeness; the next text is likened too."""
+    """Fingerprints (sliding units) of every text, of its edited text and their likeness; the next text is likened too."""
     docs = table(spark, sf_dir, "documents")
     docs = docs.select("doc_id", text_of(docs, "text").alias("text"))
-    docs = fingerprints.with_next(fingerprints.fingerprints(docs), "doc_id",
+    docs = fingerprints.with_next(fingerprints.fingerprints(docs, sliding=True), "doc_id",
                                   {"next_text": "text", "next_fingerprint": "fingerprint"}, ["text"])
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     docs = docs.select("doc_id", n.cast("long").alias("n_chars"), "fingerprint", "next_fingerprint",
                        F.concat(F.left("text", n - cut), F.left("next_text", cut)).alias("edited"))
-    docs = docs.withColumn("edited_fingerprint", fingerprints.fingerprint(F.col("edited")))
+    docs = docs.withColumn("edited_fingerprint", fingerprints.fingerprint(F.col("edited"), sliding=True))
     return docs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        "fingerprint", "edited_fingerprint",
                        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),

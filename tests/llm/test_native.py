@@ -74,6 +74,35 @@ def test_likeness_falls_with_edits_and_order(spark):
     assert like[2] > 0.9 > like[3] > 0.2  # the same words in another order are less alike
 
 
+def test_sliding_units_follow_an_edit_in_a_text_without_blanks(spark):
+    rng = random.Random(11)
+    base = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(4000))
+    lines = [base[i:i + 200] for i in range(0, 4000, 200)]
+    # runs of up to 8 characters are one unit in both ways, so short words have equal fingerprints
+    texts = [base, "\u4e00" + base, "\n".join(lines), "\n".join("\u4e00" * (i % 5 == 0) + x for i, x in enumerate(lines)),
+             "", "a bb 12345678 \U0001f600x"]
+    df = frame(spark, texts)
+    fp = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(df, sliding=True).collect()}
+    old = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(df).collect()}
+    same = lambda a, b: sum(a[i:i + 8] == b[i:i + 8] for i in range(0, len(a), 8)) / fingerprints.SIGNATURES
+    assert same(fp[0], fp[1]) >= 0.9 and same(fp[2], fp[3]) >= 0.7
+    assert same(old[0], old[1]) == 0
+    assert fp[4] == old[4] and fp[5] == old[5]
+    units = df.select(F.regexp_extract_all("text", F.lit(fingerprints.SLIDING), F.lit(1)).alias("u")).where("doc_id = 1").first()["u"]
+    assert units == [texts[1][i:i + 8] for i in range(4001 - 7)]
+
+
+def test_op1_has_sliding_units(spark, tmp_path):
+    from feedlens.llm.queries import QUERIES
+    rng = random.Random(12)
+    texts = ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(300))]
+    texts.append("\u4e00" + texts[0])
+    df = frame(spark, texts)
+    df.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op1_order_minhash"](spark, str(tmp_path)).collect()}
+    assert got[0]["near_next"] == got[1]["near_next"] >= 0.7
+
+
 @pytest.mark.parametrize("ids", [list(range(50)), [7 * i % 50 for i in range(50)], [3] * 5, [None, None, 2, 1, None],
                                  [5], [None], []])
 def test_next_in_descending_order(spark, ids):
