@@ -2,7 +2,9 @@
 
 A URL is a set of tokens: its scheme, the parts of its host, the words of its path, the keys of its query.
 Spark's FP-growth mines combinations of tokens that occur with the label ``bad``; a rule is kept if its
-support and confidence reach their limits and it needs each of its tokens for that.  Rules match by an
+support, its count of bad URLs and the lower Wilson bound of its confidence reach their limits, that bound
+is above the share of bad URLs among all, and it needs each of its tokens for that.  Count and bound are
+the same for tables of any size, so one or two URLs never make a rule.  Rules match by an
 inverted index: a rule is filed under its rarest token, so a URL meets only rules whose rarest token it
 has, and then all tokens of the rule are looked up among the URL's.
 
@@ -26,7 +28,9 @@ from feedlens.session import materialize
 BAD = "label=bad"
 MINED_TOKENS = 12        # tokens of a URL that take part in mining (its rarest), which bounds the item sets
 MIN_SUPPORT = 0.002
-MIN_CONFIDENCE = 0.7
+MIN_CONFIDENCE = 0.7     # of the lower Wilson bound
+MIN_COUNT = 5            # bad labelled URLs that a rule must fit, whatever the size of the table
+Z = 1.96                 # of the Wilson bound: 95 %
 
 
 def host(url: Column) -> Column:
@@ -63,16 +67,22 @@ def fixed_rule(h: Column, p: Column, rules: list[tuple[str, str, str]]) -> tuple
     return name, verdict
 
 
+def wilson(hits: Column, n: Column, z: float = Z) -> Column:
+    """Lower Wilson bound of the share ``hits / n``."""
+    p = hits / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def mine_rules(labelled: DataFrame, url_col: str, bad_col: str, min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+               min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
     """(antecedent, rarest, confidence, support): rules that make a URL bad.  ``bad_col`` is boolean."""
     spark = labelled.sparkSession
     rows = labelled.select(F.monotonically_increasing_id().alias("row"), tokens(F.col(f"`{url_col}`")).alias("tokens"),
                            F.col(f"`{bad_col}`").alias("bad")).where("bad is not null and size(tokens) > 0")
     rows = materialize(rows, "url-labelled")
     counts = rows.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    n = rows.count()
-    floor = max(2, -(-int(min_support * n * 1_000_000) // 1_000_000))
+    n, n_bad = rows.agg(F.count("*"), F.count_if("bad")).first()
+    floor = max(min_count, -(-int(min_support * n * 1_000_000) // 1_000_000))
     frequent = counts.where(F.col("n") >= floor)
     met = rows.select("row", "bad", F.explode("tokens").alias("token")).join(frequent, "token")
     ranked = met.groupBy("row", "bad").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "token"))), 1, MINED_TOKENS)
@@ -84,10 +94,14 @@ def mine_rules(labelled: DataFrame, url_col: str, bad_col: str, min_support: flo
         F.array().cast("array<string>")).alias("items"))
     baskets = materialize(baskets.unionByName(bare), "url-baskets")
     schema = "antecedent array<string>, rarest string, confidence double, support double"
-    if not n or baskets.where(F.array_contains("items", BAD)).isEmpty():
+    if not n_bad:
         return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(
+    least = min(1.0, max(min_support, (min_count - 0.5) / n))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
+    hits = F.round(F.col("support") * n)
+    bound = wilson(hits, F.round(hits / F.col("confidence")))
+    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).where(
+        (hits >= min_count) & (bound >= min_confidence) & (bound > n_bad / n)).select(
         F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     rules = materialize(rules, "url-rules-all")
     # a rule goes if it holds without one of its tokens: the shorter one matches wherever it does

@@ -239,6 +239,29 @@ def test_mined_rules_against_counting(spark):
     assert got == {i: "block" if u and "casino" in u and "/win/" in u else "allow" for i, (u, _) in enumerate(urls)}
 
 
+@pytest.mark.parametrize("copies", [1, 20])
+def test_coincidences_make_no_rule_at_any_size(spark, copies):
+    urls = [(f"http://w{i}.example/{'abcdefghijklmnopqrst'[i % 20]}/{c}", i % 3 == 0) for c in range(copies) for i in range(60)]
+    urls += [("http://once.example/x/1", True), ("http://twice.example/y/1", True), ("http://twice.example/y/2", True),
+             ("http://four.example/z/1", True), ("http://four.example/z/2", True), ("http://four.example/z/3", True),
+             ("http://four.example/z/4", True)]
+    urls += [(f"http://casino.example/v/{i}", True) for i in range(40)]
+    labelled = spark.createDataFrame(urls, "url string, bad boolean")
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, labelled, []).collect()}
+    for i, (u, _) in enumerate(urls):
+        if any(x in u for x in ("once", "twice", "four")):
+            assert got[i] == "allow", u
+        elif "casino" in u:
+            assert got[i] == "block"
+
+
+def test_wilson_bound(spark):
+    rows = spark.createDataFrame([(1, 1), (2, 2), (8, 8), (9, 9), (67, 70)], "k int, n int")
+    got = [round(r["w"], 3) for r in rows.select(url_filter.wilson(F.col("k"), F.col("n")).alias("w")).collect()]
+    assert got == [0.207, 0.342, 0.676, 0.701, 0.881]
+
+
 # ---------------------------------------------------------------- packing
 
 @pytest.mark.parametrize("seed", range(30))
