@@ -1,7 +1,8 @@
 """URL filtering by fixed host and path rules and by association rules mined from labels.
 
 A URL is a set of tokens: its scheme, the parts of its host, the words of its path, the keys of its query.
-Spark's FP-growth mines combinations of tokens that occur with the label ``bad``; a rule is kept if its
+Combinations of tokens that occur with the label ``bad`` are mined from all tokens of all labelled URLs (by
+levels, Apriori with free sets: FP-growth would list every subset of a long URL); a rule is kept if its
 support, its count of bad URLs and the lower Wilson bound of its confidence reach their limits, that bound
 is above the share of bad URLs among all, and it needs each of its tokens for that.  Count and bound are
 the same for tables of any size, so one or two URLs never make a rule.  Rules match by an
@@ -18,15 +19,12 @@ table; columns of the caller are kept, and those named like a result column are
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.columns import ascii_lower
 from feedlens.session import materialize
 
-BAD = "label=bad"
-MINED_TOKENS = 12        # tokens of a URL that take part in mining (its rarest), which bounds the item sets
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.7     # of the lower Wilson bound
 MIN_COUNT = 5            # bad labelled URLs that a rule must fit, whatever the size of the table
@@ -75,43 +73,52 @@ def wilson(hits: Column, n: Column, z: float = Z) -> Column:
 
 def mine_rules(labelled: DataFrame, url_col: str, bad_col: str, min_support: float = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
-    """(antecedent, rarest, confidence, support): rules that make a URL bad.  ``bad_col`` is boolean."""
+    """(antecedent, rarest, confidence, support): rules that make a URL bad.  ``bad_col`` is boolean.
+
+    Level by level: token sets that are frequent among the bad URLs, are no rule yet and are rarer than each
+    of their parts are extended by one token.  A set as frequent as one of its parts has the counts of
+    that part, and so has each extension, so what is not extended cannot be the shortest form of a rule.
+    Only sets travel to the tasks, and the least support bounds their number, not the size of the table.
+    """
     spark = labelled.sparkSession
-    rows = labelled.select(F.monotonically_increasing_id().alias("row"), tokens(F.col(f"`{url_col}`")).alias("tokens"),
+    rows = labelled.select(F.array_sort(tokens(F.col(f"`{url_col}`"))).alias("tokens"),
                            F.col(f"`{bad_col}`").alias("bad")).where("bad is not null and size(tokens) > 0")
     rows = materialize(rows, "url-labelled")
-    counts = rows.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     n, n_bad = rows.agg(F.count("*"), F.count_if("bad")).first()
+    found = spark.createDataFrame([], "antecedent array<string>, confidence double, support double, n long")
+    frequent = spark.createDataFrame([], "token string, n long")
     floor = max(min_count, -(-int(min_support * n * 1_000_000) // 1_000_000))
-    frequent = counts.where(F.col("n") >= floor)
-    met = rows.select("row", "bad", F.explode("tokens").alias("token")).join(frequent, "token")
-    ranked = met.groupBy("row", "bad").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "token"))), 1, MINED_TOKENS)
-                                           .alias("kept"))
-    baskets = ranked.select(F.concat(F.col("kept.token"), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(
-        F.array().cast("array<string>"))).alias("items"))
-    # supports are counted over all labelled rows, those without a frequent token included
-    bare = rows.join(ranked.select("row"), "row", "left_anti").select(F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(
-        F.array().cast("array<string>")).alias("items"))
-    baskets = materialize(baskets.unionByName(bare), "url-baskets")
-    schema = "antecedent array<string>, rarest string, confidence double, support double"
-    if not n_bad:
-        return spark.createDataFrame([], schema)
-    least = min(1.0, max(min_support, (min_count - 0.5) / n))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
-    hits = F.round(F.col("support") * n)
-    bound = wilson(hits, F.round(hits / F.col("confidence")))
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).where(
-        (hits >= min_count) & (bound >= min_confidence) & (bound > n_bad / n)).select(
-        F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
-    rules = materialize(rules, "url-rules-all")
-    # a rule goes if it holds without one of its tokens: the shorter one matches wherever it does
-    shorter = rules.select(F.col("antecedent").alias("whole"), F.explode("antecedent").alias("without")).select(
-        "whole", F.array_remove("whole", F.col("without")).alias("antecedent"))
-    implied = shorter.join(rules.select("antecedent"), "antecedent").select(F.col("whole").alias("antecedent"))
-    kept = rules.join(implied, "antecedent", "left_anti")
-    rarest = kept.select("antecedent", F.explode("antecedent").alias("token")).join(frequent, "token").groupBy(
+    bound = wilson(F.col("bad"), F.col("n"))
+    is_rule = (bound >= min_confidence) & (bound > F.lit((n_bad or 0) / max(n, 1)))
+    held = rows.select("bad", "tokens", F.explode(F.transform("tokens", lambda t: F.array(t))).alias("set"))
+    parts = open_tokens = None
+    while n_bad:
+        counted = held.groupBy("set").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).where(F.col("bad") >= floor)
+        if parts is None:
+            free = counted.where(F.col("n") < n)
+        else:
+            smaller = counted.select("set", "n", "bad", F.explode("set").alias("without")).select(
+                "set", "n", "bad", F.array_remove("set", F.col("without")).alias("part"))
+            known = smaller.join(parts.select(F.col("set").alias("part"), F.col("n").alias("part_n")), "part")
+            free = known.groupBy("set", "n", "bad").agg(F.count("*").alias("known"), F.min("part_n").alias("least")).where(
+                (F.col("known") == F.size("set")) & (F.col("least") > F.col("n"))).select("set", "n", "bad")
+        sets = materialize(free.withColumn("is_rule", is_rule), "url-sets")
+        found = found.unionByName(sets.where("is_rule").select(
+            F.col("set").alias("antecedent"), (F.col("bad") / F.col("n")).alias("confidence"),
+            (F.col("bad") / n).alias("support"), "n"))
+        if parts is None:
+            frequent = sets.select(F.col("set")[0].alias("token"), "n")
+        parts = sets.where("not is_rule")
+        if parts.isEmpty():
+            break
+        if open_tokens is None:
+            open_tokens = F.broadcast(parts.select(F.col("set")[0].alias("next")))
+        longer = held.join(F.broadcast(parts.select("set")), "set").select("bad", "tokens", "set", F.explode(
+            F.filter("tokens", lambda t: t > F.element_at("set", -1))).alias("next")).join(open_tokens, "next")
+        held = longer.select("bad", "tokens", F.concat("set", F.array("next")).alias("set"))
+    rarest = found.select("antecedent", F.explode("antecedent").alias("token")).join(frequent, "token").groupBy(
         "antecedent").agg(F.min_by("token", F.struct("n", "token")).alias("rarest"))
-    return materialize(kept.join(rarest, "antecedent").select("antecedent", "rarest", "confidence", "support"), "url-rules")
+    return materialize(found.join(rarest, "antecedent").select("antecedent", "rarest", "confidence", "support"), "url-rules")
 
 
 def matched_urls(urls: DataFrame, url_col: str, rules: DataFrame) -> DataFrame:

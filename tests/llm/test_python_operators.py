@@ -262,6 +262,38 @@ def test_wilson_bound(spark):
     assert got == [0.207, 0.342, 0.676, 0.701, 0.881]
 
 
+def test_all_tokens_of_long_urls_are_mined(spark):
+    from itertools import combinations
+    rng = random.Random(8)
+    slug = "/".join(f"{a}{b}" for a in "abcd" for b in "abcde")          # 20 tokens that all bad URLs share
+    urls = [(f"http://m.example/{slug}/win/big/{'xyz'[i % 3]}?k=1", True) for i in range(60)]
+    urls += [(f"http://m.example/{slug}/{rng.choice(['win', 'big', 'no'])}/{'xyz'[i % 3]}?k=1", False) for i in range(60)]
+    urls += [(f"http://n.example/{rng.choice(['win', 'big', 'no'])}/{rng.choice('xyz')}", False) for _ in range(400)]
+    urls += [(f"http://n.example/{rng.choice('xyz')}/win/big", rng.random() < 0.5) for _ in range(20)]
+    labelled = spark.createDataFrame(urls, "url string, bad boolean")
+    mined = {tuple(r["antecedent"]): r["confidence"] for r in url_filter.mine_rules(labelled, "url", "bad").collect()}
+    assert len(mined) == len(set(mined))
+    names = ["path:win", "path:big", "path:aa", "path:x", "host:m", "host:n", "query:k"]
+    has = [({t for t in names if t.split(":")[1] in re.split(r"[/.?=]", u)}, b) for u, b in urls]
+    bound = lambda k, m: (k / m + 1.96 ** 2 / 2 / m - 1.96 * (k / m * (1 - k / m) / m + (1.96 / 2 / m) ** 2) ** 0.5) / (
+        1 + 1.96 ** 2 / m)
+    base = sum(b for _, b in urls) / len(urls)
+    want = {}
+    for size in (1, 2, 3):
+        for s in combinations(sorted(names), size):
+            if any(set(w) < set(s) for w in want):
+                continue
+            rows = [b for t, b in has if t >= set(s)]
+            if rows and sum(rows) >= 5 and bound(sum(rows), len(rows)) >= 0.7 and bound(sum(rows), len(rows)) > base:
+                want[s] = sum(rows) / len(rows)
+    found = {a: c for a, c in mined.items() if set(a) <= set(names)}
+    assert want and set(found) == set(want) and all(abs(found[a] - want[a]) < 1e-9 for a in want)
+    pages = spark.createDataFrame([(0, f"http://m.example/{slug}/win/big/q?k=1"), (1, f"http://m.example/{slug}/no/q?k=1")],
+                                  "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, labelled, []).collect()}
+    assert got == {0: "block", 1: "allow"}
+
+
 # ---------------------------------------------------------------- packing
 
 @pytest.mark.parametrize("seed", range(30))
