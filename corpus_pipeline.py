@@ -62,11 +62,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all documents in bins; a bin holds no two pieces of a source or of equal texts."""
+    """The places of all documents in bins; a bin holds no two pieces of a source or of near copies."""
     _ready(spark)
-    text = text_of(docs, "text")
-    sized = docs.select("doc_id", "source", F.octet_length(text).alias("n_bytes"), F.xxhash64(text).alias("cluster"))
-    return packing.pack(sized, "doc_id", "n_bytes", "source", "cluster", BIN_BYTES)
+    return packing.pack_texts(docs, BIN_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

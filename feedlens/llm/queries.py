@@ -167,11 +167,8 @@ BIN_BYTES = 8192
 
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in bins of 8192 UTF-8 bytes; equal texts are a duplicate cluster."""
-    docs = table(spark, sf_dir, "documents")
-    text = text_of(docs, "text")
-    docs = docs.select("doc_id", "source", F.octet_length(text).alias("n_bytes"), F.xxhash64(text).alias("cluster"))
-    return packing.pack(docs, "doc_id", "n_bytes", "source", "cluster", BIN_BYTES)
+    """Every document in bins of 8192 UTF-8 bytes, an empty one without a bin; near copies are a duplicate cluster."""
+    return packing.pack_texts(table(spark, sf_dir, "documents"), BIN_BYTES)
 
 
 @query("op10_html_block_rules")

@@ -344,6 +344,21 @@ def test_every_byte_is_packed_once(spark, monkeypatch):
     assert packing.pack(df.where("false"), "doc_id", "size", "source", "cluster", 100).count() == 0
 
 
+def test_near_copies_share_no_bin_and_empty_texts_stay(spark):
+    ws = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*ws, f"end{i}"]), f"s{i}") for i in range(12)] + [
+        (20, None, "a"), (21, "", "b"), (22, "   ", "c"), (23, "   ", "d"), (24, "alone here", None), (24, "alone here", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack_texts(df, 8192).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(r[0] for r in rows)
+    assert len({r["bin"] for r in got if r["doc_id"] < 12}) == 12
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append(r)
+    assert all(by[i][0]["bin"] is None and by[i][0]["piece_length"] == 0 for i in (20, 21))
+    assert by[22][0]["bin"] != by[23][0]["bin"] and by[24][0]["bin"] != by[24][1]["bin"]
+
+
 # ---------------------------------------------------------------- pages
 
 PROSE = "the river is long and it runs to the sea with all of the rain that falls in the hills"
