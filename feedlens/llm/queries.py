@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import (decontamination, fingerprints, html_text, line_dedup, packing, quality, sharding,
-                          similarity_join, token_counts, url_filter)
-from feedlens.llm.columns import text_of
+from feedlens.llm import (decontamination, filter_audit, fingerprints, html_text, lattice_score, line_dedup, merkle,
+                          packing, quality, sharding, similarity_join, token_counts, url_filter)
+from feedlens.llm.columns import ascii_lower, text_of
 from feedlens.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,6 +132,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_bpe_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only this query and op11 need its files
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
@@ -204,3 +204,76 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every document, and whether it is kept (a score of at least 0.5)."""
     scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return scored.withColumn("kept", F.col("quality_score") >= 0.5)
+
+
+LATTICE_VOCABULARY = "piece_bpe_32k.model"
+
+
+@query("op11_subword_lattice")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text; the texts that are not held out teach the model."""
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lattice_score.score(docs, public_tokenizers.path(LATTICE_VOCABULARY))
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents; where 5 divides the CRC of the id, a lower-cased text is verified."""
+    docs = table(spark, sf_dir, "documents")
+    others = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select("doc_id", "source", merkle.leaf_digest(*others, F.col("text")).alias("digest"), F.when(
+        tampers, merkle.leaf_digest(*others, ascii_lower(F.col("text")))).alias("tampered"))
+    proved, root = merkle.manifest(leaves, "source", ["doc_id"])
+    folded = merkle.fold(F.coalesce("tampered", "digest"), F.col("path"))
+    return proved.select("doc_id", F.col("digest").alias("leaf"), "subroot", F.lit(root).cast("string").alias("root"),
+                         merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"),
+                         (folded == F.lit(root)).alias("verified"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    min(doc_id) OVER (PARTITION BY text) AS first FROM d),
+f AS (
+  SELECT doc_id, part, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+    100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(text),
+    regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first, false)] AS fails FROM w),
+l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, fails),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS k),
+orders AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+steps AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+applied AS (
+  SELECT part, array_to_string(list_transform(o, lambda k: substr('ABCDE', k, 1)), '') AS filter_order, step, o[step] AS k,
+    fails[o[step]] AS here, list_bool_or(list_transform(o[1:step - 1], lambda k: fails[k])) AS before,
+    len(list_filter(fails, lambda x: x)) AS failing, n, good, toxic FROM c, steps),
+counted AS (
+  SELECT part, filter_order, step, k, sum(CASE WHEN NOT here AND NOT coalesce(before, false) THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN here AND NOT coalesce(before, false) THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN here AND coalesce(before, false) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN here AND failing = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN here AND NOT coalesce(before, false) THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN here AND NOT coalesce(before, false) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM applied GROUP BY part, filter_order, step, k)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM counted
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, at each step of all 120 orders, per language."""
+    failed = filter_audit.failures(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(failed, table(spark, sf_dir, "labels"))

@@ -22,6 +22,11 @@ CONTRACTS = {
     "op5": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
     "op7": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
     "op8": "page_id bigint, host string, path string, rule string, verdict string",
+    "op11": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
+            "score double, lattice_score double",
+    "op12": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op13": "part string, filter_order string, step int, kept bigint, removed bigint, redundant bigint, unique_fails bigint, "
+            "good_lost bigint, toxic_lost bigint, shapley bigint",
     "op10": "page_id bigint, url string, text string, n_chars bigint",
 }
 
@@ -32,7 +37,7 @@ def documents(spark):
 
 def test_all_are_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
@@ -44,6 +49,8 @@ def test_one_row_per_document_with_the_agreed_columns(spark, name):
         assert [f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields] == agreed.split(", ")
     table = "pages" if name.startswith(("op8", "op10")) else "documents"
     expected = spark.read.parquet(f"{SMOKE}/{table}.parquet").count()
+    if name.startswith("op13"):  # a row per language, order and step
+        expected = 600 * documents(spark).select("lang").distinct().count()
     n = df.count()
     assert n == expected or name.startswith("op9") and n >= expected
 
