@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedlens.llm.term_matrix import document_term_matrix, row_sums, term_shards, unpack
 from feedlens.session import materialize
@@ -65,21 +67,19 @@ def failures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     shards = term_shards(rows, "text", measure=text_measures,
                          measured="n_chars bigint, n_upper bigint, n_symbols bigint, digest binary")
     kind = docs.schema[id_col].dataType.simpleString()
-
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                indptr, counts, columns = (unpack(batch.column(c)[i].as_py()) for c in ("indptr", "counts", "columns"))
-                words, distinct = row_sums(counts, indptr), row_sums(np.ones(len(columns), np.int64), indptr)
-                struct = batch.column("rows")[i].values
-                chars, upper, symbols = (struct.field(c).to_numpy() for c in ("n_chars", "n_upper", "n_symbols"))
-                failed = ((words < MIN_WORDS) + 2 * (100 * distinct < DISTINCT_PERCENT * words)
-                          + 4 * (100 * upper > UPPER_PERCENT * chars) + 8 * (symbols > 0))
-                yield pa.RecordBatch.from_arrays(
-                    [*[struct.field(c) for c in ("id", "part", "digest")], pa.array(failed.astype(np.int32)),
-                     pa.array(words), pa.array(distinct)], names=["id", "part", "digest", "failed", "n_words", "n_distinct"])
-    rows = materialize(document_term_matrix(shards).mapInArrow(
-        decide, f"id {kind}, part string, digest binary, failed int, n_words bigint, n_distinct bigint"), "audit-rows")
+    schema = T.StructType.fromDDL(f"id {kind}, part string, digest binary, failed int, n_words bigint, n_distinct bigint")
+    arrow = to_arrow_schema(schema)
+
+    def decide(shard: dict) -> Iterator[pa.RecordBatch]:
+        indptr, counts, columns = (unpack(shard[c]) for c in ("indptr", "counts", "columns"))
+        words, distinct = row_sums(counts, indptr), row_sums(np.ones(len(columns), np.uint8), indptr)
+        chars, upper, symbols = (np.array([r[c] for r in shard["rows"]], np.int64) for c in ("n_chars", "n_upper", "n_symbols"))
+        failed = ((words < MIN_WORDS) + 2 * (100 * distinct < DISTINCT_PERCENT * words)
+                  + 4 * (100 * upper > UPPER_PERCENT * chars) + 8 * (symbols > 0))
+        columns = [[r[c] for r in shard["rows"]] for c in ("id", "part", "digest")]
+        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(
+            [*columns, failed.astype(np.int32), words, distinct], arrow, strict=True)], schema=arrow)
+    rows = materialize(document_term_matrix(shards, decide, schema), "audit-rows")
     # plain tables on both sides, so that Spark can split a digest that many rows share
     copies = materialize(rows.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                          .where("first < last").select(F.col("digest").alias("of"), "first"), "audit-copies")

@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from feedlens.llm.words import LOWER, NOT_BLANK, text_buffers, word_groups
 from feedlens.session import materialize
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 ENTRIES = 400_000
 _FEED = pa.scalar("\n", pa.large_string())
 
@@ -56,7 +56,8 @@ def pack(values: np.ndarray) -> bytes:
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"u{raw[0]}", offset=1).astype(np.int64)
+    """The array in its narrow type; sums of it need a wider one."""
+    return np.frombuffer(raw, f"u{raw[0]}", offset=1)
 
 
 def csr(texts: pa.LargeStringArray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -128,6 +129,7 @@ def term_shards(rows: DataFrame, text_col: str, lower: bool = False, measure: Me
                     *[pa.array([pack(x)], pa.binary()) for x in (indptr, terms, counts)], pa.array([joined(words)]),
                     pa.array([len(words)], pa.int64()), pa.array([weight], pa.binary())], names=schema.names)
                 number += 1
+                pa.default_memory_pool().release_unused()
     return materialize(rows.mapInArrow(run, schema), "term-shards")
 
 
@@ -186,11 +188,13 @@ def given_back(shards: DataFrame, values: DataFrame, use: Callable[[dict, list[d
     return payload.groupBy("shard").cogroup(values.groupBy("shard")).applyInArrow(each, schema)
 
 
-def document_term_matrix(shards: DataFrame) -> DataFrame:
+def document_term_matrix(shards: DataFrame, use: Callable[[dict], Iterator[pa.RecordBatch]] | None = None,
+                         schema: str | T.StructType | None = None) -> DataFrame:
     """The shards with global column numbers: ``shard``, ``rows``, ``indptr``, ``columns``, ``counts`` (packed CSR).
 
     The number of a word is the same in every shard, and no other word has it: its place among the distinct
-    words of its bucket, times the number of buckets, plus the bucket.
+    words of its bucket, times the number of buckets, plus the bucket.  With ``use``, what that makes of each
+    shard (a dict) is returned instead, without a way back through the JVM; ``schema`` is its schema.
     """
     dealt, buckets = entries(shards)
 
@@ -200,20 +204,23 @@ def document_term_matrix(shards: DataFrame) -> DataFrame:
         return pa.table({"shard": table.column("shard"), "places": table.column("places"),
                          "numbers": pa.array([pack(number[a:b]) for a, b in zip(starts, starts[1:])], pa.binary())})
     numbers = dealt.groupBy("bucket").applyInArrow(encode, "shard bigint, places binary, numbers binary")
-    schema = T.StructType([shards.schema[c] for c in ("shard", "rows", "indptr")] + [
+    matrix = T.StructType([shards.schema[c] for c in ("shard", "rows", "indptr")] + [
         T.StructField("columns", T.BinaryType()), shards.schema["counts"]])
-    arrow = to_arrow_schema(schema)
+    arrow = to_arrow_schema(matrix)
 
-    def use(row: dict, found: list[dict]) -> Iterator[pa.RecordBatch]:
+    def encoded(row: dict, found: list[dict]) -> Iterator[pa.RecordBatch]:
         number = np.zeros(row["n_terms"], np.int64)
         for x in found:
             number[unpack(x["places"])] = unpack(x["numbers"])
-        columns = number[unpack(row["terms"])]
-        yield pa.RecordBatch.from_pylist([{"shard": row["shard"], "rows": row["rows"], "indptr": row["indptr"],
-                                           "columns": pack(columns), "counts": row["counts"]}], schema=arrow)
-    return given_back(shards, numbers, use, schema)
+        row = {"shard": row["shard"], "rows": row["rows"], "indptr": row["indptr"], "counts": row["counts"],
+               "columns": pack(number[unpack(row["terms"])])}
+        if use:
+            yield from use(row)
+        else:
+            yield pa.RecordBatch.from_pylist([row], schema=arrow)
+    return given_back(shards, numbers, encoded, schema or matrix)
 
 
 def row_sums(values: np.ndarray, indptr: np.ndarray) -> np.ndarray:
     """The sum of each CSR row (an empty one: 0), in whole numbers."""
-    return np.diff(np.concatenate([[0], np.cumsum(values)])[indptr])
+    return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[indptr])
