@@ -43,48 +43,67 @@ NUMERATOR, DENOMINATOR = 4, 5     # likeness of at least 4 / 5
 FLUSH = 500_000                   # shingles that a task packs at a time
 
 
-def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, sorted distinct shingles) of each text."""
-    for first, bounds, h, _, _ in word_groups(column, NOT_BLANK):
-        for i in range(len(bounds) - 1):
-            yield first + i, np.unique(chained(h[bounds[i]:bounds[i + 1]], k))
+def set_groups(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For groups of consecutive texts: the size of each one's set, its 64-bit name, and the sorted sets one after the other.
 
-
-def _name(shingles: np.ndarray) -> int:
-    """64-bit name of a set."""
-    return int((mix(shingles + np.uint64(len(shingles))).sum(dtype=np.uint64)).astype(np.int64))
+    Everything but the sort is done for a group of texts at once.
+    """
+    for _, bounds, h, _, _ in word_groups(column, NOT_BLANK):
+        words = np.diff(bounds)
+        counts = np.where(words >= k, words - k + 1, np.minimum(words, 1))
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        flat = np.zeros(cuts[-1], np.uint64)
+        if len(h) >= k:
+            at = np.arange(len(h) - k + 1)
+            inside = at + k <= np.repeat(bounds[1:], words)[:len(at)]  # a window does not go on into the next text
+            flat[np.repeat(words >= k, counts)] = chained(h, k)[inside]
+        for d in np.flatnonzero((words > 0) & (words < k)).tolist():
+            flat[cuts[d]] = chained(h[bounds[d]:bounds[d + 1]], k)[0]
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+            flat[a:b].sort()
+        new = np.ones(len(flat), bool)
+        new[1:] = flat[1:] != flat[:-1]
+        new[cuts[:-1][counts > 0]] = True
+        kept = np.concatenate([[0], np.cumsum(new)])[cuts]
+        sizes, flat = np.diff(kept), flat[new]
+        sums = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum(mix(flat + np.repeat(sizes, sizes).astype(np.uint64)), out=sums[1:])
+        yield sizes, (sums[kept[1:]] - sums[kept[:-1]]).astype(np.int64), flat
 
 
 def named_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(id, node, n): the name of each document's shingle set and its size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(_name(s) if len(s) else None, len(s)) for _, s in _sets(batch.column("text"), k)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r[0] for r in rows], pa.int64()),
-                                              pa.array([r[1] for r in rows], pa.int64())], ["id", "node", "n"])
+            groups = list(zip(*[(s, n) for s, n, _ in set_groups(batch.column("text"), k)]))
+            sizes, names = (np.concatenate(x) for x in groups) if groups else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, mask=sizes == 0), pa.array(sizes, pa.int64())],
+                                             ["id", "node", "n"])
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(
         run, f"id {kind}, node bigint, n bigint")
 
 
 def _range_of(shingles: np.ndarray, ranges: int) -> np.ndarray:
-    return ((shingles >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    where = ((shingles >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    return where.astype(np.uint16 if ranges <= 1 << 16 else np.uint32)
 
 
 def shared_shingles(docs: DataFrame, text_col: str, k: int, ranges: int) -> DataFrame:
     """(node, n, shingle, df) of each shingle that at least two distinct sets hold.
 
-    Shingles travel as 40 bits or so: their range and a 32-bit rest.  Two that agree there count as one,
-    which can only add a candidate.
+    Shingles travel as their range and a 32-bit rest, 32 + log2(ranges) bits.  Two that agree there count as one:
+    two in different sets add to the overlap of a pair, two in one set lower it.  A text of 1,000 shingles has
+    such a pair of its own with a probability of about 5e5 / (ranges x 2**32).
     """
-    def pack(nodes: list[int], sizes: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        at = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
+    def pack(nodes: list[np.ndarray], sizes: list[np.ndarray], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        node, size = np.concatenate(nodes), np.concatenate(sizes).astype(np.int32)
+        at = np.repeat(np.arange(len(node), dtype=np.uint32), size)
         every = np.concatenate(sets)
         where = _range_of(every, ranges)
         order = np.argsort(where, kind="stable")
         every, at = mix(every[order]).astype(np.uint32), at[order]
-        cuts = np.searchsorted(where[order], np.arange(ranges + 1, dtype=np.uint64))
-        node, size = np.array(nodes, np.int64), np.array(sizes, np.int32)
+        cuts = np.searchsorted(where[order], np.arange(ranges + 1))
         rows = []
         for r in np.flatnonzero(np.diff(cuts)).tolist():
             mine = at[cuts[r]:cuts[r + 1]]
@@ -99,18 +118,20 @@ def shared_shingles(docs: DataFrame, text_col: str, k: int, ranges: int) -> Data
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, sizes, sets, seen, held = [], [], [], set(), 0
         for batch in batches:
-            for _, s in _sets(batch.column("text"), k):
-                if not len(s) or (name := _name(s)) in seen:
-                    continue
-                seen.add(name)
-                nodes.append(name)
-                sizes.append(len(s))
-                sets.append(s)
-                held += len(s)
+            for size, name, flat in set_groups(batch.column("text"), k):
+                new = np.zeros(len(size), bool)
+                for d, (x, n) in enumerate(zip(name.tolist(), size.tolist())):
+                    if n and x not in seen:
+                        seen.add(x)
+                        new[d] = True
+                nodes.append(name[new])
+                sizes.append(size[new])
+                sets.append(flat if new.all() else flat[np.repeat(new, size)])
+                held += len(sets[-1])
                 if held >= FLUSH:
                     yield from pack(nodes, sizes, sets)
                     nodes, sizes, sets, seen, held = [], [], [], set(), 0
-        if sets:
+        if held:
             yield from pack(nodes, sizes, sets)
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:

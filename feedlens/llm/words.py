@@ -39,12 +39,17 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, r in enumerate((_RADIX, pow(_RADIX, -1, 1 << 64))):
-            p = np.full(n, r, np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p)
-    return _powers
+    """At least ``n`` powers; what is kept in the worker covers a group of texts, longer tables go when they have been used."""
+    if len(_powers[0]) >= n:
+        return _powers
+    tables = []
+    for r in (_RADIX, pow(_RADIX, -1, 1 << 64)):
+        p = np.full(max(n, CHUNK + 2), r, np.uint64)
+        p[0] = 1
+        tables.append(np.cumprod(p))
+    if n <= CHUNK + 2:
+        _powers[:] = tables
+    return tables
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
