@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions import text
+from feedlens.operators import ranks
 
 
 def _rank_small(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame:
@@ -48,11 +49,16 @@ def extraction_summary(ex: DataFrame, top_n: int = 20) -> DataFrame:
 
 
 def confidence_stats(df: DataFrame, col: str = "confidence", keys: Sequence[str] = ()) -> DataFrame:
-    """mean, median, population std, min, max (numpy semantics)."""
+    """mean, median, population std, min, max (numpy semantics); the median by exact ranks, per group if asked for."""
     x = F.col(col).cast("double")
-    aggs = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.percentile(x, 0.5).alias("median"),
-            F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
-    return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    aggs = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+    median = ranks.order_statistics(df, {"median": (col, 0.5)}, keys)
+    columns = [*keys, "n", "mean", "median", "std", "min", "max"]
+    if not keys:
+        return ranks.one_row([df.agg(*aggs), median]).select(*columns)
+    other = median.toDF(*[f"_m{i}" for i in range(len(keys))], "median")
+    same = [F.col(k).eqNullSafe(F.col(f"_m{i}")) for i, k in enumerate(keys)]
+    return df.groupBy(*keys).agg(*aggs).join(other, same, "left").select(*columns)
 
 
 def confidence_tiers(df: DataFrame, col: str = "confidence") -> DataFrame:
@@ -125,32 +131,24 @@ def top_aspect_sentiment(df: DataFrame, k: int = 10, col: str = "aspect", seq: s
             .join(F.broadcast(top), col))
 
 
-def upper_median(df: DataFrame, col: str) -> float | None:
-    """``sorted(x)[n // 2]`` via ``percentile_disc`` (value->count state, no collect_list)."""
-    n = df.where(F.col(col).isNotNull()).count()
-    if n == 0:
-        return None
-    p = (n // 2 + 0.5) / n
-    return df.agg(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY CAST(`{col}` AS DOUBLE))")).first()[0]
-
-
 def cluster_drilldown(df: DataFrame, cluster_id: int, cluster_col: str = "cluster_id",
                       conf: str = "confidence") -> DataFrame:
     """One cluster: size, confidence mean/min/max and upper median, sentiment counts as a map.
 
     Aggregates per sentiment first, then folds the (few) sentiment rows into one
-    row, so no row-level data is collected.
+    row; the upper median (``sorted(x)[n // 2]``) comes from exact ranks.
     """
     one = df.where(F.col(cluster_col) == cluster_id)
-    um = upper_median(one, conf)
+    median = ranks.order_statistics(one, {"upper_median_confidence": (conf, None)})
     per_sent = one.groupBy("sentiment").agg(
         F.count("*").alias("n"), F.sum(conf).alias("s"), F.count(conf).alias("c"),
         F.min(conf).alias("lo"), F.max(conf).alias("hi"))
-    return per_sent.agg(
+    folded = per_sent.agg(
         F.lit(cluster_id).alias(cluster_col), F.sum("n").cast("long").alias("size"),
         (F.sum("s") / F.sum("c")).alias("mean_confidence"), F.min("lo").alias("min_confidence"),
-        F.max("hi").alias("max_confidence"), F.lit(um).cast("double").alias("upper_median_confidence"),
-        F.map_from_entries(F.collect_list(F.struct("sentiment", "n"))).alias("sentiment_counts"))
+        F.max("hi").alias("max_confidence"), F.map_from_entries(F.collect_list(F.struct("sentiment", "n"))).alias("sentiment_counts"))
+    return ranks.one_row([folded, median]).select(cluster_col, "size", "mean_confidence", "min_confidence", "max_confidence",
+                                             "upper_median_confidence", "sentiment_counts")
 
 
 def sentiment_rollup(per_cluster_maps: DataFrame, map_col: str = "sentiments") -> DataFrame:

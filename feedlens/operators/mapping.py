@@ -1,19 +1,16 @@
 """Insight -> theme mapping and its evaluation.
 
-The theme catalogue is a dimension that every prompt shows whole (15 themes in the
-published data).  It is attached to every insight row as one constant array, so cosine
-scoring and top-k are per-row array work: no join, no shuffle, no pair rows.
+Scoring against the catalogue works on blocks of insights and blocks of themes
+(``operators/similarity.py``), so the catalogue may be of any size.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions import jsonparse, prompts, vectors
-from feedlens.operators import completion, responses
+from feedlens.functions import jsonparse, prompts
+from feedlens.operators import completion, ranks, responses, similarity
 
 SEMANTIC = "semantic_similarity"
 
@@ -41,34 +38,25 @@ def theme_block(flat: DataFrame, header: str = prompts.THEME_BLOCK_HEADER) -> Da
                                                        lambda x: x["part"]), "")).alias("theme_block"))
 
 
-def _catalogue_literal(themes: DataFrame, vec_col: str = "v") -> Column:
-    """The catalogue as one constant (a single literal once folded, whatever its length)."""
-    rows = themes.select("theme_pos", "theme", "category", vectors.as_double(vec_col).alias("v")).collect()
-    doc = json.dumps([{"theme_pos": int(r["theme_pos"]), "theme": r["theme"], "category": r["category"],
-                       "v": list(r["v"])} for r in rows])
-    return F.from_json(F.lit(doc), "array<struct<theme_pos:int,theme:string,category:string,v:array<double>>>")
+# ---------------------------------------------------------------- scoring
+
+def theme_scores(items: DataFrame, themes: DataFrame, id_col: str, vec_col: str = "v") -> DataFrame:
+    """One row per item and catalogue theme: (id, theme_pos, theme, category, sim)."""
+    found = similarity.ranked_themes(items, themes, id_col, None, vec_col)
+    return found.select(id_col, F.explode("matches").alias("m")).select(
+        id_col, *[F.col("m")[c].alias(c) for c in ("theme_pos", "theme", "category", "sim")])
 
 
-# ---------------------------------------------------------------- scoring
+def top_k(items: DataFrame, themes: DataFrame, id_col: str, k: int = 3, vec_col: str = "v", method: str = SEMANTIC) -> DataFrame:
+    """``items`` with ``top_matches``: the k best themes, similarity descending, ties by catalogue position.
 
-def theme_scores(items: DataFrame, themes: DataFrame, vec_col: str = "v") -> DataFrame:
-    """Add ``scores``: array of (theme_pos, theme, category, sim) for every catalogue theme."""
-    cat = _catalogue_literal(themes)
-    sims = F.transform(cat, lambda t: F.struct(t["theme_pos"].alias("theme_pos"), t["theme"].alias("theme"),
-                                               t["category"].alias("category"),
-                                               vectors.cosine(vec_col, t["v"]).alias("sim")))
-    return items.withColumn("scores", sims)
-
-
-def top_k(scored: DataFrame, k: int = 3, method: str = SEMANTIC) -> DataFrame:
-    """Add ``top_matches``: the k best themes, similarity descending, ties by catalogue position."""
-    ordered = F.sort_array(F.transform("scores", lambda s: F.struct(
-        (-s["sim"]).alias("neg"), s["theme_pos"].alias("theme_pos"), s["theme"].alias("theme"),
-        s["category"].alias("category"), s["sim"].alias("sim"))))
-    top = F.slice(ordered, 1, k)
-    return scored.withColumn("top_matches", F.transform(top, lambda m: F.struct(
+    Items without a vector have none and are left out.
+    """
+    found = similarity.ranked_themes(items, themes, id_col, k, vec_col)
+    found = found.select(F.col(id_col).alias("_item"), F.transform("matches", lambda m: F.struct(
         m["theme_pos"].alias("theme_pos"), m["theme"].alias("theme"), m["category"].alias("category"),
-        m["sim"].alias("confidence"), F.lit(method).alias("method"))))
+        m["sim"].alias("confidence"), F.lit(method).alias("method"))).alias("top_matches"))
+    return items.join(found, F.col(id_col).cast("long") == F.col("_item")).drop("_item")
 
 
 def primary_mapping(ranked: DataFrame, id_col: str = "cluster_id", name_col: str | None = "cluster_name") -> DataFrame:
@@ -180,11 +168,12 @@ def confidence_report(m: DataFrame) -> DataFrame:
     """mean, median, pop std, min, max and tier counts/shares of mapping confidence."""
     c = F.col("primary_confidence")
     n = F.count(c)
-    return _ok(m).agg(
-        F.avg(c).alias("mean"), F.percentile(c, 0.5).alias("median"), F.stddev_pop(c).alias("std"),
-        F.min(c).alias("min"), F.max(c).alias("max"),
+    rest = _ok(m).agg(
+        F.avg(c).alias("mean"), F.stddev_pop(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
         F.count_if(c > 0.5).alias("high"), F.count_if((c >= 0.35) & (c <= 0.5)).alias("medium"),
         F.count_if(c < 0.35).alias("low"), (F.lit(100.0) * F.count_if(c > 0.5) / n).alias("high_pct"))
+    median = ranks.order_statistics(_ok(m), {"median": ("primary_confidence", 0.5)})
+    return ranks.one_row([rest, median]).select("mean", "median", "std", "min", "max", "high", "medium", "low", "high_pct")
 
 
 def overlay(m: DataFrame, validations: DataFrame, id_col: str = "cluster_id") -> DataFrame:

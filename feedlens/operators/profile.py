@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions import binning, text
+from feedlens.operators import ranks
 
 
 def profile_text(df: DataFrame, text_col: str = "comment", edges: Sequence[float] = binning.SAMPLE_BINS[0],
@@ -126,8 +127,7 @@ def equal_width_histogram(df: DataFrame, col: str, n_bins: int) -> DataFrame:
 def boxplot_summary(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
     """Five-number summary with 1.5 IQR whiskers and the outlier count (matplotlib rules)."""
     x = F.col(col).cast("double")
-    q = df.agg(F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.5).alias("median"),
-               F.percentile(x, 0.75).alias("q3")).first()
+    q = ranks.order_statistics(df, {"q1": (col, 0.25), "median": (col, 0.5), "q3": (col, 0.75)}).first()
     if q["q1"] is None:
         return df.sparkSession.createDataFrame(
             [], "q1 double, median double, q3 double, iqr double, whisker_lo double, whisker_hi double, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedlens.functions import prompts, ratings
-from feedlens.functions.hashing import seeded_key_sql
+from feedlens.functions.hashing import MODULUS, seeded_key_sql
 from feedlens.operators import clustering, completion, insights, quality
 from feedlens.plans.aspects import ASPECTS_SQL, aspect_rows
 from feedlens.plans.fixtures import cte
@@ -162,8 +162,27 @@ def q_kmeans_sizes(spark, sf_dir):
 
 @query("hierarchical_sizes")
 def q_hierarchical_sizes(spark, sf_dir):
-    """Divisive hierarchical clustering into 20 clusters (bisecting k-means): sizes."""
-    return quality.cluster_sizes(clustering.bisecting(vecs(spark).select("vec_id", "v"), k=20))
+    """Ward's agglomerative clustering cut into 20 clusters: sizes, by the smallest vector id."""
+    from feedlens.operators import ward
+    return quality.cluster_sizes(ward.ward(vecs(spark).select("vec_id", "v"), "vec_id", 20, block=256, last=256))
+
+
+@query("ward_merges")
+def q_ward_merges(spark, sf_dir):
+    """Every merge of Ward's hierarchy: the clusters it joins (by smallest id), its cost and the size it gives."""
+    from feedlens.operators import ward
+    return ward.merges(vecs(spark).select("vec_id", "v"), "vec_id", block=256, last=256)
+
+
+@query("cluster_methods")
+def q_cluster_methods(spark, sf_dir):
+    """Each clustering method by name: clusters, noise points and, without noise, both quality scores."""
+    v = vecs(spark).select("vec_id", "v")
+    out = None
+    for method in clustering.METHODS:
+        _, meta = clustering.cluster(v, "vec_id", method)
+        out = meta if out is None else out.unionByName(meta)
+    return out
 
 
 @query("cluster_assign_join", cte("v_vectors", "v_aspects") + """
@@ -285,62 +304,73 @@ def q_embed_hashing(spark, sf_dir):
 
 @query("clustering_report")
 def q_clustering_report(spark, sf_dir):
-    """Nested one-row evaluation document (statistics, balance, coherence, silhouette, DB) as JSON."""
+    """Nested one-row evaluation document as JSON: statistics, six rated sections, cost and verdict."""
     from feedlens.operators import reports
-    return reports.clustering_report(aspect_rows(spark), vecs(spark))
+    return reports.clustering_report(aspect_rows(spark), vecs(spark), stored_insights(spark), spark.table("v_usage"))
 
 
-SWEEP_KS = (3, 4, 5, 6)
+@query("k_select")
+def q_k_select(spark, sf_dir):
+    """k-means for every k = 3..max(3, min(50, N // 3)), ten starts each, and its exact silhouette; the first best is selected."""
+    scores, _, _ = clustering.kmeans_sweep(vecs(spark).select("vec_id", "v"), "vec_id")
+    return scores
 
 
-def _k_select_sql() -> str:
-    ks = ", ".join(str(k) for k in SWEEP_KS)
-    return VEC_SQL + f"""
-, ks AS (SELECT unnest([{ks}]) AS k),
-c AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INT) AS center, v AS cv FROM p
-      QUALIFY row_number() OVER (ORDER BY vec_id) <= {max(SWEEP_KS)}),
-asg AS (SELECT ks.k, p.vec_id, p.v, c.center FROM ks, p, c WHERE c.center < ks.k
-        QUALIFY row_number() OVER (PARTITION BY ks.k, p.vec_id ORDER BY {SQDIST.format(a='p.v', b='c.cv')}, c.center) = 1),
-d AS (SELECT a.k, a.vec_id, a.center AS own, b.center AS other, sqrt({SQDIST.format(a='a.v', b='b.v')}) AS dist
-      FROM asg a JOIN asg b ON a.k = b.k),
-g AS (SELECT k, vec_id, own, other, sum(dist) AS s, count(*) AS c FROM d GROUP BY k, vec_id, own, other),
-pp AS (SELECT k, vec_id, sum(CASE WHEN other = own THEN s END) AS a_sum, sum(CASE WHEN other = own THEN c END) AS own_n,
-              min(CASE WHEN other <> own THEN s / c END) AS b FROM g GROUP BY k, vec_id, own),
-ss AS (SELECT k, CASE WHEN own_n <= 1 THEN 0.0
-                      ELSE (b - a_sum / (own_n - 1)) / greatest(a_sum / (own_n - 1), b) END AS s FROM pp),
-sc AS (SELECT k, avg(s) AS silhouette FROM ss GROUP BY k)
-SELECT CAST(k AS INT) AS k, {r6('silhouette')} AS silhouette,
-       k = (SELECT k FROM sc ORDER BY silhouette DESC, k LIMIT 1) AS selected FROM sc"""
-
-
-@query("k_select", _k_select_sql())
-def q_k_select(spark, sf_dir):
-    """k sweep (3..6) scored by exact silhouette of nearest-first-k-centre labellings; first arg-max selected."""
-    from pyspark.sql import Window
-    scores = clustering.seeded_sweep_scores(vecs(spark).select("vec_id", "v"), "vec_id", SWEEP_KS)
-    # the score table has one row per k: a window over it picks the first arg-max
-    w = Window.orderBy(F.desc("silhouette"), "k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return scores.select(F.col("k").cast("int").alias("k"), "silhouette",
-                         (F.col("k") == F.first("k").over(w)).alias("selected"))
+NEAR = 5
+
+
+@query("nearest_neighbours", VEC_SQL + f"""
+, dd AS (SELECT a.vec_id, b.vec_id AS other, sqrt({SQDIST.format(a='a.v', b='b.v')}) AS dist FROM p a, p b WHERE a.vec_id <> b.vec_id)
+SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY dist, other) AS INT) AS rank, other, {r6('dist')} AS dist FROM dd
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, other) <= {NEAR}""")
+def q_nearest_neighbours(spark, sf_dir):
+    """The five nearest other vectors of each vector, exact, by pivot cells."""
+    from feedlens.operators import neighbours
+    near, _ = neighbours.nearest(neighbours.cells(vecs(spark), "vec_id", block=256), NEAR)
+    return near.select(F.col("id").alias("vec_id"), F.posexplode(F.arrays_zip("d", "other")).alias("p", "n")).select(
+        "vec_id", (F.col("p") + 1).alias("rank"), F.col("n.other").alias("other"), F.col("n.d").alias("dist"))
+
+
+@query("density_hierarchy")
+def q_density_hierarchy(spark, sf_dir):
+    """Density clusters by stability (spanning tree, condensed tree, at least 3 points) of every vector; noise is -1."""
+    from feedlens.operators import hierarchy
+    return hierarchy.hdbscan(vecs(spark), "vec_id", min_cluster_size=DENSITY_MIN)
+
+
+@query("density_summary")
+def q_density_summary(spark, sf_dir):
+    """Number of density clusters and of noise points."""
+    from feedlens.operators import hierarchy
+    return hierarchy.summary(hierarchy.hdbscan(vecs(spark), "vec_id", min_cluster_size=DENSITY_MIN))
+
+
+EPSILON, DELTA = 0.5, 0.1
 
 
-SAMPLED_ANCHORS = 16
+def _uniform_sql(seed: int) -> str:
+    key = f"CAST({seeded_key_sql('vec_id', seed)} AS BIGINT)"
+    return f"((({key}) * ({key})) % {MODULUS} + 0.5::DOUBLE) / {MODULUS}"
 
 
 @query("silhouette_sampled", VEC_SQL + f"""
-, an AS (SELECT vec_id AS aid, cluster_id AS acid, v AS av FROM p
-         QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY {seeded_key_sql('vec_id', 42)}, vec_id)
-                 <= {SAMPLED_ANCHORS}),
-sz AS (SELECT cluster_id, count(*) AS n FROM p GROUP BY cluster_id),
-d AS (SELECT p.vec_id, p.cluster_id AS own, an.acid AS other, avg(sqrt({SQDIST.format(a='p.v', b='an.av')})) AS m
-      FROM p JOIN an ON an.aid <> p.vec_id GROUP BY p.vec_id, p.cluster_id, an.acid),
-pp AS (SELECT p.vec_id, p.cluster_id AS own, sz.n,
-              (SELECT m FROM d WHERE d.vec_id = p.vec_id AND d.other = p.cluster_id) AS a,
-              (SELECT min(m) FROM d WHERE d.vec_id = p.vec_id AND d.other <> p.cluster_id) AS b
-       FROM p JOIN sz ON sz.cluster_id = p.cluster_id),
-ss AS (SELECT CASE WHEN n <= 1 OR a IS NULL OR greatest(a, b) = 0 THEN 0.0
-                   ELSE (b - a) / greatest(a, b) END AS s FROM pp)
+, sz AS (SELECT cluster_id, count(*) AS n FROM p GROUP BY cluster_id),
+tt AS (SELECT ceil(ln(4 * sum(n) * count(*) / {DELTA}::DOUBLE) / (2 * {EPSILON}::DOUBLE * {EPSILON}::DOUBLE)) AS t, count(*) AS k FROM sz),
+f AS (SELECT p.vec_id, p.cluster_id, p.v FROM p JOIN sz ON sz.cluster_id = p.cluster_id, tt
+      WHERE {_uniform_sql(42)} < 2 * ln(2 * tt.k / {DELTA}::DOUBLE) / sz.n),
+fd AS (SELECT p.vec_id, p.cluster_id, f.vec_id AS e, sqrt({SQDIST.format(a='p.v', b='f.v')}) AS d
+       FROM p JOIN f ON f.cluster_id = p.cluster_id),
+fw AS (SELECT e, sum(d) AS w FROM fd GROUP BY e),
+imp AS (SELECT vec_id, max(CASE WHEN w > 0 THEN d / w ELSE 0.0 END) AS share FROM fd JOIN fw ON fd.e = fw.e GROUP BY vec_id),
+pr AS (SELECT p.vec_id, p.cluster_id, p.v, least(1.0, tt.t * greatest(1.0::DOUBLE / sz.n, coalesce(imp.share, 0.0))) AS pr
+       FROM p JOIN sz ON sz.cluster_id = p.cluster_id LEFT JOIN imp ON imp.vec_id = p.vec_id, tt),
+an AS (SELECT vec_id AS aid, cluster_id AS acid, v AS av, 1.0::DOUBLE / pr AS aw FROM pr WHERE {_uniform_sql(43)} < pr.pr),
+d AS (SELECT p.vec_id, p.cluster_id AS own, an.acid AS other, sum(an.aw * sqrt({SQDIST.format(a='p.v', b='an.av')})) AS s
+      FROM p, an GROUP BY p.vec_id, p.cluster_id, an.acid),
+pp AS (SELECT d.vec_id, max(CASE WHEN other = own THEN s / (sz.n - 1) END) AS a, min(CASE WHEN other <> own THEN s / sz.n END) AS b
+       FROM d JOIN sz ON sz.cluster_id = d.other GROUP BY d.vec_id),
+ss AS (SELECT CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END AS s FROM pp)
 SELECT {r6('avg(s)')} AS silhouette_estimate, count(*) AS n FROM ss""")
 def q_silhouette_sampled(spark, sf_dir):
-    """Estimated silhouette: every point against up to 16 seeded anchors per cluster."""
-    return quality.silhouette_sampled(vecs(spark), "vec_id", per_cluster=SAMPLED_ANCHORS)
+    """Estimated silhouette: every point against importance-weighted anchors of each cluster (epsilon 0.5)."""
+    return quality.silhouette_sampled(vecs(spark), "vec_id", EPSILON, DELTA)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feedlens.functions import prompts, ratings
 from feedlens.operators import completion, mapping, quality
 from feedlens.plans.fixtures import cte
-from feedlens.plans.registry import query, r6
+from feedlens.plans.registry import query, r6, shared_path
 from feedlens.session import materialize
 from feedlens.sources.files import flatten_themes
 
@@ -71,21 +71,21 @@ r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, theme_
 """
 
 
-def scored(spark):
-    return mapping.theme_scores(spark.table("v_vectors").select("vec_id", "v"), theme_vectors(spark))
+def ranked(spark):
+    return mapping.top_k(spark.table("v_vectors").select("vec_id", "v"), theme_vectors(spark), "vec_id", 3)
 
 
 @query("cosine_cross", SIM_SQL + f"SELECT vec_id, theme_pos, {r6('sim')} AS sim FROM s")
 def q_cosine_cross(spark, sf_dir):
-    """Every vector against every catalogue theme (catalogue attached as a literal array)."""
-    return scored(spark).select("vec_id", F.explode("scores").alias("x")).select(
-        "vec_id", F.col("x.theme_pos").alias("theme_pos"), F.col("x.sim").alias("sim"))
+    """Every vector against every catalogue theme, block by block."""
+    scores = mapping.theme_scores(spark.table("v_vectors").select("vec_id", "v"), theme_vectors(spark), "vec_id")
+    return scores.select("vec_id", "theme_pos", "sim")
 
 
 @query("topk_themes", SIM_SQL + f"SELECT vec_id, CAST(rk AS INT) AS rank, theme_pos, {r6('sim')} AS sim FROM r WHERE rk <= 3")
 def q_topk_themes(spark, sf_dir):
     """Top-3 themes per vector, similarity descending, ties by catalogue position."""
-    t = mapping.top_k(scored(spark), 3)
+    t = ranked(spark)
     return t.select("vec_id", F.posexplode("top_matches").alias("p", "m")).select(
         "vec_id", (F.col("p") + 1).alias("rank"), F.col("m.theme_pos").alias("theme_pos"),
         F.col("m.confidence").alias("sim"))
@@ -93,7 +93,7 @@ def q_topk_themes(spark, sf_dir):
 
 @query("primary_theme", SIM_SQL + f"SELECT vec_id, theme, category, {r6('sim')} AS confidence FROM r WHERE rk = 1")
 def q_primary_theme(spark, sf_dir):
-    m = mapping.top_k(scored(spark), 3).withColumn("best", F.element_at("top_matches", 1))
+    m = ranked(spark).withColumn("best", F.element_at("top_matches", 1))
     return m.select("vec_id", F.col("best.theme").alias("theme"), F.col("best.category").alias("category"),
                     F.col("best.confidence").alias("confidence"))
 
@@ -103,7 +103,7 @@ SELECT vec_id, {r6('max(CASE WHEN rk = 1 THEN sim END) - max(CASE WHEN rk = 2 TH
 FROM r WHERE rk <= 2 GROUP BY vec_id""")
 def q_topk_margin(spark, sf_dir):
     """Gap between the best and second-best theme (is there a clear favourite?)."""
-    t = mapping.top_k(scored(spark), 3)
+    t = ranked(spark)
     return t.select("vec_id", mapping.margin(t).alias("margin"))
 
 
@@ -123,7 +123,7 @@ def semantic(spark):
     """Insight vector = centroid of its members; top-3 catalogue themes; rank 1 is the mapping."""
     cents = quality.centroids(spark.table("v_vectors")).withColumnRenamed("centroid", "v")
     named = cents.join(insights_df(spark).select("cluster_id", "cluster_name"), "cluster_id", "left")
-    ranked = mapping.top_k(mapping.theme_scores(named, theme_vectors(spark)), 3)
+    ranked = mapping.top_k(named, theme_vectors(spark), "cluster_id", 3)
     return mapping.primary_mapping(ranked, "cluster_id", "cluster_name")
 
 
@@ -373,6 +373,31 @@ def q_insight_text(spark, sf_dir):
 
 @query("mapping_report")
 def q_mapping_report(spark, sf_dir):
-    """Mapping evaluation document (confidence, tiers, coverage, balance, consistency) as JSON."""
+    """Mapping evaluation document as JSON: confidence, tiers, coverage, balance, consistency, cost, samples and verdict."""
     from feedlens.operators import reports
-    return reports.mapping_report(mappings(spark), themes(spark))
+    return reports.mapping_report(mappings(spark), themes(spark), insights_df(spark), spark.table("v_usage"))
+
+
+@query("theme_distribution", MAP_SQL + """
+SELECT 'themes' AS kind, primary_theme AS name, count(*) AS n FROM ok GROUP BY primary_theme
+UNION ALL SELECT 'categories', primary_category, count(*) FROM ok GROUP BY primary_category""")
+def q_theme_distribution(spark, sf_dir):
+    """The distribution file written as JSON lines and read back (K6)."""
+    from feedlens.operators import reports
+    path = shared_path(spark, "distribution")
+    reports.theme_distribution(mappings(spark)).write.json(path)
+    return spark.read.schema("kind string, name string, n long").json(path)
+
+
+@query("confidence_file", MAP_SQL + f"""
+SELECT CASE WHEN primary_confidence > 0.5 THEN 'high' WHEN primary_confidence >= 0.35 THEN 'medium' ELSE 'low' END AS tier,
+       cluster_id, primary_theme AS theme, {r6('primary_confidence')} AS confidence FROM ok
+UNION ALL SELECT 'statistics', NULL, NULL, {r6('avg(primary_confidence)')} FROM ok""")
+def q_confidence_file(spark, sf_dir):
+    """The confidence file written as lines and read back: each mapping with its tier, and the mean of the statistics (K6)."""
+    from feedlens.operators import reports
+    path = shared_path(spark, "confidence")
+    reports.confidence_file(mappings(spark)).write.json(path)
+    back = spark.read.schema("tier string, json string").json(path)
+    line = F.from_json("json", "cluster_id int, theme string, confidence double, mean double")
+    return back.select("tier", line.alias("l")).select("tier", "l.cluster_id", "l.theme", F.coalesce("l.confidence", "l.mean").alias("confidence"))

@@ -7,6 +7,7 @@ oracle does the same with ``r6`` so both engines can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.plans import fixtures
-from feedlens.session import ship_package
+from feedlens.session import ensure_checkpoint_dir, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +56,11 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedlens-{name}-{uuid.uuid4().hex}"
+
+
 def r6(expr: str) -> str:
     """DuckDB: round a double to 6 places the way Spark's ``round`` does (half-up on the shortest repr)."""
     return f"CAST(round(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR)::DECIMAL(38,18), 6) AS DOUBLE)"

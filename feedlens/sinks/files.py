@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.session import ship_package
+
 
 def write_success_jsonl(parsed: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:
     """JSON Lines of successful rows ``{keys…, aspects}`` (K2); Spark's JSON writer is line-delimited."""
@@ -58,6 +64,38 @@ def write_json_map(df: DataFrame, key_col: str, value, path: str, field: str | N
     df.select(F.to_json(line).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_json_document(df: DataFrame, key_col: str, value, path: str, field: str | None = None, metadata: dict | None = None,
+                        many: str | None = None) -> None:
+    """The published form: one document, ``{key: value}`` or ``{"metadata": ..., field: {key: value}}`` (K5, K6).
+
+    One file has one writer: a single task streams the sorted entries and holds one row at a time.  ``many``: a column to order
+    by; the value of a key is then the list of its rows' values.
+    """
+    ship_package(df.sparkSession)
+    order = [F.col("key"), *([F.col("at")] if many else [])]
+    rows = df.select(F.col(key_col).cast("string").alias("key"), F.to_json(value).alias("value"),
+                     (F.col(many) if many else F.lit(0)).alias("at"))
+    rows = rows.repartition(1).sortWithinPartitions(*order).select("key", "value")
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = ["{"] if field is None else ["{", f'  "metadata": {json.dumps(metadata or {})},', f"  {json.dumps(field)}: {{"]
+        now, open_list, held = None, False, None    # the line that waits for its comma
+        for batch in batches:
+            for key, value in zip(batch.column("key").to_pylist(), batch.column("value").to_pylist()):
+                if held is not None:
+                    last = many and key != now
+                    out.append(held + ("]," if last else ","))
+                held = f"    {value}" if many and key == now else f"  {json.dumps(key, ensure_ascii=False)}: {'[' if many else ''}{value}"
+                now, open_list = key, bool(many)
+            yield pa.RecordBatch.from_pydict({"value": out}, schema=pa.schema([("value", pa.string())]))
+            out = []
+        if held is not None:
+            out.append(held + ("]" if open_list else ""))
+        out += ["}"] if field is None else ["  }", "}"]
+        yield pa.RecordBatch.from_pydict({"value": out}, schema=pa.schema([("value", pa.string())]))
+    rows.mapInArrow(lines, "value string").write.text(path)
+
+
 def write_comments_csv(comments: DataFrame, path: str) -> None:
     """Comment CSV, every field quoted, quotes doubled, white space kept."""
     (comments.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"')

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from feedlens import schemas
 from feedlens.functions import jsonparse
 from feedlens.session import materialize
+from feedlens.sources.json_map import keyed_entries
 
 
 def read_comments_csv(spark: SparkSession, path: str, with_id: bool = True) -> DataFrame:
@@ -90,9 +91,12 @@ def explode_results(rows: DataFrame) -> DataFrame:
                      "source_comment")
 
 
-def _read_json_map(spark: SparkSession, path: str, value_type: T.DataType, lines: bool) -> DataFrame:
-    """A JSON object keyed by id: one document per file, or with ``lines`` an object per line (splittable)."""
-    text = spark.read.option("wholetext", not lines).text(path)
+def _read_json_map(spark: SparkSession, path: str, value_type: T.DataType, lines: bool, field: str | None = None) -> DataFrame:
+    """A JSON object keyed by id: one document, read by byte ranges, or with ``lines`` an object per line."""
+    if lines:
+        text = spark.read.text(path)
+    else:
+        text = keyed_entries(spark, path, field).select(F.concat(F.lit("{"), F.col("text"), F.lit("}")).alias("value"))
     return text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), value_type))).alias("key", "v"))
 
 
@@ -111,10 +115,15 @@ def read_clusters(spark: SparkSession, path: str, lines: bool = False) -> DataFr
 
 def read_mappings(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """Mapping results file -> (metadata one-row DF, one row per cluster mapping)."""
-    doc = spark.read.option("multiLine", not lines).schema(schemas.MAPPING_FILE).json(path)
-    meta = doc.where("metadata is not null").select("metadata.*")
-    rows = doc.select(F.explode("mappings").alias("key", "m")).select("m.*")
-    return meta, rows
+    if lines:
+        doc = spark.read.schema(schemas.MAPPING_FILE).json(path)
+        return (doc.where("metadata is not null").select("metadata.*"),
+                doc.select(F.explode("mappings").alias("key", "m")).select("m.*"))
+    kinds = {f.name: f.dataType for f in schemas.MAPPING_FILE}
+    rows = _read_json_map(spark, path, kinds["mappings"].valueType, False, "mappings").select("v.*")
+    meta = keyed_entries(spark, path, "metadata").groupBy("file").agg(F.concat(
+        F.lit("{"), F.array_join(F.array_sort(F.collect_list("text")), ","), F.lit("}")).alias("doc"))  # a few fields of one document
+    return meta.select(F.from_json("doc", kinds["metadata"]).alias("m")).select("m.*"), rows
 
 
 def read_success_jsonl(spark: SparkSession, path: str, keys: list[tuple[str, str]]) -> DataFrame:

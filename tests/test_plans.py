@@ -15,10 +15,16 @@ def test_stratified_sample_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in plan(spark, "stratified_sample")
 
 
-@pytest.mark.parametrize("name", ["cosine_cross", "topk_themes", "primary_theme", "topk_margin"])
-def test_theme_scoring_is_per_row(spark, name):
+@pytest.mark.parametrize("name", ["cosine_cross", "topk_themes", "primary_theme", "topk_margin", "semantic_mapping"])
+def test_theme_scoring_meets_blocks_of_both_sides(spark, name):
     p = plan(spark, name)
-    assert "Join" not in p and "CartesianProduct" not in p and "Exchange" not in p
+    assert "FlatMapCoGroupsInArrow" in p and "from_json" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+@pytest.mark.parametrize("name", ["confidence_stats", "confidence_boxplot", "cluster_drilldown", "mapping_confidence"])
+def test_order_statistics_have_no_value_map(spark, name):
+    assert "percentile" not in plan(spark, name)
 
 
 def test_dedup_aggregates_map_side(spark):
