@@ -155,40 +155,49 @@ class ReplayClient:
         return text, (len(prompt) + 3) // 4, len(text) // 4
 
 
-def run_budgeted(requests: DataFrame, client_factory: Callable[[], object], completions_path: str,
+def run_budgeted(requests: DataFrame, client_factory: Callable[[], object], store_path: str,
                  order: list[str], batch_size: int, limit_usd: float, prompt_col: str = "prompt",
-                 journal_dir: str | None = None) -> dict:
-    """Live budget enforcement: call the model batch by batch (in ``order``), appending each batch's
-    completions to ``completions_path``; stop after the batch whose cumulative cost exceeds the limit
-    (that batch is kept, as in the reference loop).  Re-runs skip stored request ids.
+                 journal_dir: str | None = None, run: str = "run") -> dict:
+    """Live budget enforcement: call the model batch by batch (in ``order``), storing each batch's answers and its total
+    in the ``CompletionStore`` at ``store_path``; stop after the batch whose cumulative cost exceeds the limit
+    (that batch is kept, as in the reference loop).
+
+    The run can be killed and started again under the same name ``run``: batches that the ledger has closed are skipped, and in the
+    batch that was cut short only requests without a stored answer are called.  The spent amount is the ledger's sum, read once, plus the
+    totals of the batches of this run: no batch reads another one's answers.
 
     Returns ``{"batches_run", "total_cost_usd", "stopped_by_budget"}``.  The batched requests are
     written once as Parquet (in the shared checkpoint dir) in batch order, so each batch's filter
     skips other batches' row groups by their statistics; each batch is one Spark job over its slice.
-    Use large batches on a cluster: every batch costs one job plus one read of the completion totals.
     """
     import uuid
 
     from feedlens.functions import cost
     from feedlens.operators.ledger import assign_batches
+    from feedlens.operators.store import CompletionStore
     from feedlens.session import ensure_checkpoint_dir
     spark = requests.sparkSession
     staged = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedlens-batches-{uuid.uuid4().hex}"
     assign_batches(requests, order, batch_size).sortWithinPartitions("batch_no").write.parquet(staged)
     batched = spark.read.parquet(staged)
     n_batches = batched.agg(F.max("batch_no")).first()[0]
-    spent, run = 0.0, 0
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(completions_path)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store = CompletionStore(spark, store_path)
+    closed = {r["batch"]: (r["input_tokens"], r["output_tokens"]) for r in store.ledger().collect()}  # one row per batch
+    tokens = [sum(t[0] for t in closed.values()), sum(t[1] for t in closed.values())]
+    priced = lambda: round(tokens[0] * cost.INPUT_USD_PER_TOKEN + tokens[1] * cost.OUTPUT_USD_PER_TOKEN, 4)
+    done = 0
     for b in range(0 if n_batches is None else n_batches + 1):
-        todo = batched.where(F.col("batch_no") == b)
-        if fs.exists(path):
-            todo = pending(todo, spark.read.parquet(completions_path))
-        complete(todo, client_factory, prompt_col, journal_dir=journal_dir).write.mode("append").parquet(completions_path)
-        run += 1
-        tok = spark.read.parquet(completions_path).agg(F.sum("input_tokens"), F.sum("output_tokens")).first()
-        spent = round((tok[0] or 0) * cost.INPUT_USD_PER_TOKEN + (tok[1] or 0) * cost.OUTPUT_USD_PER_TOKEN, 4)
-        if spent > limit_usd:
-            return {"batches_run": run, "total_cost_usd": spent, "stopped_by_budget": True}
-    return {"batches_run": run, "total_cost_usd": spent, "stopped_by_budget": False}
+        name = f"{run}-{b}"
+        if name in closed:
+            continue
+        if done == 0 and closed and priced() > limit_usd:
+            return {"batches_run": 0, "total_cost_usd": priced(), "stopped_by_budget": True}
+        todo = store.pending(batched.where(F.col("batch_no") == b))
+        store.add(name, complete(todo, client_factory, prompt_col, journal_dir=journal_dir))
+        tin, tout = store.close(name)
+        tokens[0] += tin
+        tokens[1] += tout
+        done += 1
+        if priced() > limit_usd:
+            return {"batches_run": done, "total_cost_usd": priced(), "stopped_by_budget": True}
+    return {"batches_run": done, "total_cost_usd": priced(), "stopped_by_budget": False}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from feedlens.functions.hashing import seeded_key, seeded_key_sql
 from feedlens.operators import completion, ledger, responses
 from feedlens.plans.fixtures import (EMPTY_OBJECT, MALFORMED_ARRAY, MALFORMED_TRAILING, MALFORMED_TRUNCATED,
                                      cte)
-from feedlens.plans.registry import query, r6
+from feedlens.operators.store import CompletionStore
+from feedlens.plans.registry import query, r6, shared_path
 from feedlens.session import ensure_checkpoint_dir
 
 MODEL = "stub-model"
@@ -169,6 +171,70 @@ def q_complete_stored(spark, sf_dir):
     return completion.stored(requests(spark), answers, ["comment_id"])
 
 
+class CountingModel:
+    """A rule in the place of a model: it answers with the number of the prompt's characters, and fails on some lengths.
+
+    Its answers can be written in SQL, so the calls, their failures and the sharing of equal prompts are checked row by row.
+    """
+
+    def complete(self, prompt: str) -> tuple[str, int, int]:
+        n = len(prompt)
+        if n % 11 == 0:
+            raise RuntimeError(f"length {n} is refused")
+        return json.dumps({"chars": n}), (n + 3) // 4, 1
+
+
+COUNTED_SQL = f"""
+WITH r AS ({REQ_SQL.format(tpl=_tpl_sql(), model=MODEL)}),
+q AS (SELECT DISTINCT request_id, length(prompt) AS n FROM r),
+a AS (SELECT request_id, CASE WHEN n % 11 <> 0 THEN concat('{{"chars": ', CAST(n AS VARCHAR), '}}') END AS text,
+             CAST(CASE WHEN n % 11 <> 0 THEN (n + 3) // 4 ELSE 0 END AS BIGINT) AS input_tokens,
+             CAST(CASE WHEN n % 11 <> 0 THEN 1 ELSE 0 END AS BIGINT) AS output_tokens,
+             CASE WHEN n % 11 <> 0 THEN 'success' ELSE 'error' END AS status,
+             CASE WHEN n % 11 = 0 THEN concat('length ', CAST(n AS VARCHAR), ' is refused') END AS error FROM q)
+"""
+
+
+@query("complete_calls", COUNTED_SQL + "SELECT request_id, text, input_tokens, output_tokens, status, error FROM a")
+def q_complete_calls(spark, sf_dir):
+    """One call per distinct prompt by a client in each task; failed calls are error rows (L1)."""
+    return completion.complete(requests(spark), CountingModel)
+
+
+@query("complete_resumed", COUNTED_SQL + """
+, b AS (SELECT r.comment_id, r.request_id FROM r)
+SELECT CASE WHEN EXISTS (SELECT 1 FROM b JOIN labels l ON l.doc_id = b.comment_id WHERE b.request_id = a.request_id)
+            THEN 'first' ELSE 'second' END AS batch, request_id, status, input_tokens FROM a""")
+def q_complete_resumed(spark, sf_dir):
+    """A run over the labelled comments, then one over all: the second calls only what the store does not hold."""
+    store = CompletionStore(spark, shared_path(spark, "answers"))
+    every = requests(spark)
+    first = every.join(spark.table("labels").select(F.col("doc_id").alias("comment_id")).distinct(), "comment_id", "left_semi")
+    for name, batch in (("first", first), ("second", every)):
+        store.add(name, completion.complete(store.pending(batch), CountingModel))
+        store.close(name)
+    return store.answers().select("batch", "request_id", "status", "input_tokens")
+
+
+@query("budgeted_run", COUNTED_SQL + f"""
+, o AS (SELECT comment_id, request_id, floor((row_number() OVER (ORDER BY comment_id) - 1) / 50) AS batch_no FROM r),
+f AS (SELECT request_id, min(batch_no) AS batch_no FROM o GROUP BY request_id),
+t AS (SELECT b.batch_no, count(f.request_id) AS n, coalesce(sum(a.input_tokens), 0) AS input_tokens,
+             coalesce(sum(a.output_tokens), 0) AS output_tokens
+      FROM (SELECT DISTINCT batch_no FROM o) b LEFT JOIN f ON f.batch_no = b.batch_no LEFT JOIN a ON a.request_id = f.request_id
+      GROUP BY b.batch_no),
+c AS (SELECT *, coalesce(sum(input_tokens) OVER w, 0) AS bi, coalesce(sum(output_tokens) OVER w, 0) AS bo FROM t
+      WINDOW w AS (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT concat('run-', CAST(CAST(batch_no AS BIGINT) AS VARCHAR)) AS batch, CAST(n AS BIGINT) AS n,
+       CAST(input_tokens AS BIGINT) AS input_tokens, CAST(output_tokens AS BIGINT) AS output_tokens
+FROM c WHERE round(bi * (0.8 / 1000000.0) + bo * (4.0 / 1000000.0), 4) <= {{limit}}""".replace("{limit}", "0.1"))
+def q_budgeted_run(spark, sf_dir):
+    """The ledger of a budgeted run ($0.10, batches of 50 comments): one total per batch up to the one that crosses the limit."""
+    path = shared_path(spark, "budgeted")
+    completion.run_budgeted(requests(spark), CountingModel, path, ["comment_id"], 50, 0.1)
+    return CompletionStore(spark, path).ledger()
+
+
 @query("pending_requests", f"""
 WITH r AS ({REQ_SQL.format(tpl=_tpl_sql(), model=MODEL)}),
 done AS (SELECT DISTINCT r.request_id FROM r JOIN labels l ON l.doc_id = r.comment_id)

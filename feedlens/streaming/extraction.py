@@ -2,7 +2,7 @@
 
 New comment files are picked up incrementally; each micro-batch renders
 prompts, calls the model only for request ids with no stored completion,
-appends the completions (persisted before any parsing), then parses and
+stores the completions (persisted before any parsing), then parses and
 writes that batch's results into its own ``epoch`` partition with dynamic
 partition overwrite, so replaying an epoch after a failure neither calls the
 model again nor duplicates rows.
@@ -18,17 +18,11 @@ from pyspark.sql import types as T
 
 from feedlens.functions import prompts
 from feedlens.operators import completion, responses
+from feedlens.operators.store import CompletionStore
 
 COMMENTS = T.StructType([T.StructField("comment_id", T.LongType()), T.StructField("comment", T.StringType())])
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p) and fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
-
-
 def process_batch(batch: DataFrame, epoch_id: int, client_factory, completions_path: str, results_path: str,
                   model: str, template: str, journal_dir: str | None = None) -> None:
     spark = batch.sparkSession
@@ -44,12 +38,9 @@ def _process(spark, batch, epoch_id, client_factory, completions_path, results_p
              journal_dir) -> None:
     req = completion.with_request_id(
         batch.withColumn("prompt", prompts.render(template, comment=F.col("comment"))), "prompt", model)
-    todo = req
-    if _table_exists(spark, completions_path):
-        todo = completion.pending(req, spark.read.parquet(completions_path))
-    completion.complete(todo, client_factory, "prompt", journal_dir=journal_dir) \
-        .write.mode("append").parquet(completions_path)
-    done = spark.read.parquet(completions_path).dropDuplicates(["request_id"])
+    store = CompletionStore(spark, completions_path)
+    store.add(f"epoch-{epoch_id}", completion.complete(store.pending(req), client_factory, "prompt", journal_dir=journal_dir))
+    done = store.lookup(req)
     joined = req.select("comment_id", "request_id").join(done, "request_id")
     parsed = responses.with_aspect_count(
         responses.parse_responses(joined.withColumn("text", F.coalesce("text", F.lit(""))), "text"))
@@ -64,7 +55,7 @@ def start_extraction_stream(spark: SparkSession, source_dir: str, out_dir: str,
                             checkpoint_location: str | None = None, available_now: bool = True,
                             journal_dir: str | None = None):
     """Start the stream; returns the ``StreamingQuery``.  Outputs under ``out_dir``:
-    ``completions/`` (append-only, keyed by request id) and ``results/`` (partitioned by epoch)."""
+    ``completions/`` (a ``CompletionStore``: a micro-batch reads only the folders of its own request ids) and ``results/`` (partitioned by epoch)."""
     completions_path = os.path.join(out_dir, "completions")
     results_path = os.path.join(out_dir, "results")
     ckpt = checkpoint_location or os.path.join(out_dir, "_checkpoint")

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.clients import EchoClient
+from feedlens.operators.store import CompletionStore
 from feedlens.operators import clustering, completion, ledger, mapping, quality
 from feedlens.sinks import files as sinks
 from feedlens.sources import files as sources
@@ -122,7 +123,7 @@ def test_streaming_extraction_is_idempotent(spark):
     from feedlens.streaming.extraction import start_extraction_stream
     q = start_extraction_stream(spark, os.path.join(src, "*"), out, EchoClient)
     q.awaitTermination(120)
-    comp = spark.read.parquet(os.path.join(out, "completions"))
+    comp = CompletionStore(spark, os.path.join(out, "completions")).answers()
     res = spark.read.parquet(os.path.join(out, "results"))
     assert comp.count() == 40 and res.count() == 40
     assert res.where(F.col("status") == "success").count() == comp.where(F.col("status") == "success").count()
@@ -131,7 +132,7 @@ def test_streaming_extraction_is_idempotent(spark):
         .write.parquet(os.path.join(src, "part2"))
     q = start_extraction_stream(spark, os.path.join(src, "*"), out, EchoClient)
     q.awaitTermination(120)
-    comp = spark.read.parquet(os.path.join(out, "completions"))
+    comp = CompletionStore(spark, os.path.join(out, "completions")).answers()
     assert comp.count() == 50 and comp.select("request_id").distinct().count() == 50
 
 
@@ -162,10 +163,51 @@ def test_budgeted_run_stops_after_crossing_batch(spark):
     # each request costs ~1000 input tokens -> ~$0.0008; 10 requests per batch -> ~$0.008 per batch
     res = completion.run_budgeted(req, EchoClient, out, ["comment_id"], 10, 0.02)
     assert res["stopped_by_budget"] and res["batches_run"] == 3
-    stored = spark.read.parquet(out)
-    assert stored.count() == 30
+    store = CompletionStore(spark, out)
+    assert store.answers().count() == 30 and store.ledger().count() == 3
     again = completion.run_budgeted(req, EchoClient, out, ["comment_id"], 10, 1.0)
-    assert not again["stopped_by_budget"] and spark.read.parquet(out).count() == 100
+    assert not again["stopped_by_budget"] and again["batches_run"] == 7 and store.answers().count() == 100
+    assert completion.run_budgeted(req, EchoClient, out, ["comment_id"], 10, 1.0)["batches_run"] == 0
+
+
+class CountingCalls:
+    """Leaves a file per call."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def complete(self, prompt):
+        import uuid
+        open(os.path.join(self.folder, uuid.uuid4().hex), "w").close()
+        return "x", 1000, 10
+
+
+def test_killed_run_resumes_without_paying_twice(spark):
+    out, calls = os.path.join(tmpdir(), "store"), tmpdir()
+    req = completion.with_request_id(spark.range(40).select(F.col("id").alias("comment_id"), F.concat(
+        F.lit("p "), F.col("id").cast("string")).alias("prompt")), "prompt", "m")
+    store = CompletionStore(spark, out)
+    # killed after the answers of batch 0 were stored and before its total was written
+    store.add("run-0", completion.complete(req.where("comment_id < 10"), lambda: CountingCalls(calls)))
+    assert store.ledger().count() == 0
+    res = completion.run_budgeted(req, lambda: CountingCalls(calls), out, ["comment_id"], 10, 1.0)
+    assert res["batches_run"] == 4 and len(os.listdir(calls)) == 40
+    rows = {r["batch"]: r for r in store.ledger().collect()}
+    assert sorted(rows) == [f"run-{b}" for b in range(4)] and all(r["n"] == 10 and r["input_tokens"] == 10000 for r in rows.values())
+    assert res["total_cost_usd"] == round(40000 * 0.8e-6 + 400 * 4e-6, 4)
+
+
+def test_lookup_reads_only_the_folders_of_its_requests(spark):
+    out = os.path.join(tmpdir(), "store")
+    req = completion.with_request_id(spark.range(300).select(F.concat(F.lit("p "), F.col("id").cast("string")).alias("prompt")), "prompt", "m")
+    store = CompletionStore(spark, out)
+    store.add("all", completion.complete(req, EchoClient))
+    few = req.limit(4).cache()
+    found = store.lookup(few)
+    assert sorted(r["request_id"] for r in found.collect()) == sorted(r["request_id"] for r in few.collect())
+    prefixes = {r["request_id"][:3] for r in few.collect()}
+    read = {f.split("prefix=")[1][:3] for f in found.inputFiles()}
+    assert read == prefixes
 
 
 def test_model_vectors_provider(spark):
