@@ -211,13 +211,14 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = fit(docs, labels, id_col, text_col, category_cols, length_col, label_col, max_labelled, pool)
     if model is None:
         return docs.select(*[F.col(f"`{c}`") for c in keep], *[F.lit(1.0).alias(c) for c in RESULTS])
-    schema = T.StructType([*[docs.schema[c] for c in keep], *[T.StructField(c, T.DoubleType()) for c in RESULTS]])
-    arrow = to_arrow_schema(schema)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    n_categories = len(category_cols)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = sent.value.scores(_features(batch, len(category_cols)))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c).cast(arrow.field(c).type) for c in keep],
-                                              *[pa.array(s.astype(np.float64)) for s in scores]], schema=arrow)
-    return _viewed(docs, keep, text_col, category_cols, length_col).mapInArrow(run, schema)
+    # an Arrow function of the columns: each text goes to Python once and does not come back
+    @F.arrow_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in RESULTS]))
+    def scores(text: pa.Array, length: pa.Array, *categories: pa.Array) -> pa.Array:
+        views = [text_features(text), metadata_features([c.to_pylist() for c in categories[:n_categories]], length.to_pylist())]
+        return pa.StructArray.from_arrays([pa.array(s.astype(np.float64)) for s in model.scores(views)], list(RESULTS))
+    one = scores(F.col(f"`{text_col}`").cast("string"), F.col(f"`{length_col}`").cast("long"),
+                 *[F.col(f"`{c}`").cast("string") for c in category_cols])
+    scored = docs.select(*[F.col(f"`{c}`") for c in keep], one.alias("__scores"))
+    return scored.select(*[F.col(f"`{c}`") for c in keep], *[F.col("__scores")[c].alias(c) for c in RESULTS])
