@@ -1,14 +1,18 @@
 """URL filtering by fixed host and path rules and by association rules mined from labels.
 
 A URL is a set of tokens: its scheme, the parts of its host, the words of its path, the keys of its query.
-Combinations of tokens that occur with the label ``bad`` are mined from all tokens of all labelled URLs (by
-levels, Apriori with free sets: FP-growth would list every subset of a long URL); a rule is kept if its
+Spark's FP-growth mines the combinations that occur in bad labelled URLs, from all their tokens; tokens that the same
+labelled URLs hold are one item there (FP-growth would list every subset of them) and are told apart again
+afterwards.  Each combination is then counted anew on all labelled URLs through the index.  A rule is kept if its
 support, its count of bad URLs and the lower Wilson bound of its confidence reach their limits, that bound
-is above the share of bad URLs among all, and it needs each of its tokens for that.  Count and bound are
+is above the share of bad URLs among all, and no part of it is a rule.  Count and bound are
 the same for tables of any size, so one or two URLs never make a rule.  Rules match by an
 inverted index: a rule is filed under its rarest token, so a URL meets only rules whose rarest token it
 has, and then all tokens of the rule are looked up among the URL's.
 
+The number of combinations grows with 2 to the number of items that the same bad URLs share without being one
+item; this is the price of FP-growth, and there is no cap on it.
+
 Fixed rules come first: of those that fit host (with subdomains) and path, the longest wins.
 
 Defined results: a null URL or one without ``://`` has empty host and path and no tokens, so no rule fits
@@ -19,6 +23,7 @@ table; columns of the caller are kept, and those named like a result column are
 
 from __future__ import annotations
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,54 +76,73 @@ def wilson(hits: Column, n: Column, z: float = Z) -> Column:
     return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def mine_rules(labelled: DataFrame, url_col: str, bad_col: str, min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
-    """(antecedent, rarest, confidence, support): rules that make a URL bad.  ``bad_col`` is boolean.
+def _items(rows: DataFrame, floor: int) -> DataFrame:
+    """(token, item, n): tokens of at least ``floor`` bad URLs; those that the same labelled URLs hold share an item, the least of them.
 
-    Level by level: token sets that are frequent among the bad URLs, are no rule yet and are rarer than each
-    of their parts are extended by one token.  A set as frequent as one of its parts has the counts of
-    that part, and so has each extension, so what is not extended cannot be the shortest form of a rule.
-    Only sets travel to the tasks, and the least support bounds their number, not the size of the table.
+    Tokens that all labelled URLs hold say nothing and are left out.
     """
+    total = rows.count()
+    held = rows.select("bad", F.xxhash64("row").alias("h"), F.explode("tokens").alias("token"))
+    sums = held.groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad"), F.bit_xor("h").alias("x"), F.sum(
+        F.shiftright("h", 24)).alias("s"))
+    kept = sums.where((F.col("bad") >= floor) & (F.col("n") < total))
+    least = kept.groupBy("n", "bad", "x", "s").agg(F.min("token").alias("item"))
+    return materialize(kept.join(least, ["n", "bad", "x", "s"]).select("token", "item", "n"), "url-items")
+
+
+def _counted(sets: DataFrame, rows: DataFrame, items: DataFrame) -> DataFrame:
+    """(set, n, bad): how many labelled URLs hold all items of a set, by the index on its rarest item."""
+    counts = items.where("token = item").select("item", F.col("n").alias("of"))
+    filed = sets.select("set", F.explode("set").alias("item")).join(counts, "item").groupBy("set").agg(
+        F.min_by("item", F.struct("of", "item")).alias("rarest"))
+    met = rows.select("tokens", "bad", F.explode("tokens").alias("rarest")).join(filed, "rarest")
+    return met.where(F.forall("set", lambda t: F.array_contains("tokens", t))).groupBy("set").agg(
+        F.count("*").alias("n"), F.count_if("bad").alias("bad"))
+
+
+def mine_rules(labelled: DataFrame, url_col: str, bad_col: str, min_support: float = MIN_SUPPORT,
+               min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
+    """(antecedent, rarest, confidence, support): rules that make a URL bad.  ``bad_col`` is boolean."""
     spark = labelled.sparkSession
     rows = labelled.select(F.array_sort(tokens(F.col(f"`{url_col}`"))).alias("tokens"),
                            F.col(f"`{bad_col}`").alias("bad")).where("bad is not null and size(tokens) > 0")
-    rows = materialize(rows, "url-labelled")
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "url-labelled")
     n, n_bad = rows.agg(F.count("*"), F.count_if("bad")).first()
-    found = spark.createDataFrame([], "antecedent array<string>, confidence double, support double, n long")
-    frequent = spark.createDataFrame([], "token string, n long")
     floor = max(min_count, -(-int(min_support * n * 1_000_000) // 1_000_000))
+    if not n_bad or n_bad < floor:
+        return spark.createDataFrame([], "antecedent array<string>, rarest string, confidence double, support double")
+    items = _items(rows, floor)
+    baskets = rows.where("bad").select("row", F.explode("tokens").alias("token")).join(
+        items.where("token = item"), "token").groupBy("row").agg(F.collect_set("item").alias("items"))
+    baskets = materialize(baskets, "url-baskets")  # a basket has at most the tokens of one URL
+    n_baskets = baskets.count()
+    if not n_baskets:
+        return spark.createDataFrame([], "antecedent array<string>, rarest string, confidence double, support double")
+    # half a row less, so that the least count is ``floor`` whatever rounding does to the share
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (floor - 0.5) / n_baskets)).setNumPartitions(
+        int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(baskets)
+    sets = materialize(model.freqItemsets.select(F.array_sort("items").alias("set")), "url-sets")
     bound = wilson(F.col("bad"), F.col("n"))
-    is_rule = (bound >= min_confidence) & (bound > F.lit((n_bad or 0) / max(n, 1)))
-    held = rows.select("bad", "tokens", F.explode(F.transform("tokens", lambda t: F.array(t))).alias("set"))
-    parts = open_tokens = None
-    while n_bad:
-        counted = held.groupBy("set").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).where(F.col("bad") >= floor)
-        if parts is None:
-            free = counted.where(F.col("n") < n)
-        else:
-            smaller = counted.select("set", "n", "bad", F.explode("set").alias("without")).select(
-                "set", "n", "bad", F.array_remove("set", F.col("without")).alias("part"))
-            known = smaller.join(parts.select(F.col("set").alias("part"), F.col("n").alias("part_n")), "part")
-            free = known.groupBy("set", "n", "bad").agg(F.count("*").alias("known"), F.min("part_n").alias("least")).where(
-                (F.col("known") == F.size("set")) & (F.col("least") > F.col("n"))).select("set", "n", "bad")
-        sets = materialize(free.withColumn("is_rule", is_rule), "url-sets")
-        found = found.unionByName(sets.where("is_rule").select(
-            F.col("set").alias("antecedent"), (F.col("bad") / F.col("n")).alias("confidence"),
-            (F.col("bad") / n).alias("support"), "n"))
-        if parts is None:
-            frequent = sets.select(F.col("set")[0].alias("token"), "n")
-        parts = sets.where("not is_rule")
-        if parts.isEmpty():
-            break
-        if open_tokens is None:
-            open_tokens = F.broadcast(parts.select(F.col("set")[0].alias("next")))
-        longer = held.join(F.broadcast(parts.select("set")), "set").select("bad", "tokens", "set", F.explode(
-            F.filter("tokens", lambda t: t > F.element_at("set", -1))).alias("next")).join(open_tokens, "next")
-        held = longer.select("bad", "tokens", F.concat("set", F.array("next")).alias("set"))
-    rarest = found.select("antecedent", F.explode("antecedent").alias("token")).join(frequent, "token").groupBy(
-        "antecedent").agg(F.min_by("token", F.struct("n", "token")).alias("rarest"))
-    return materialize(found.join(rarest, "antecedent").select("antecedent", "rarest", "confidence", "support"), "url-rules")
+    is_rule = (F.col("bad") >= floor) & (bound >= min_confidence) & (bound > F.lit(n_bad / n))
+    found = materialize(_counted(sets, rows, items).where(is_rule), "url-found")
+    counts = items.where("token = item").select("item", F.col("n").alias("of"))
+    filed = found.select("set", F.explode("set").alias("item")).join(counts, "item").groupBy("set").agg(
+        F.min_by("item", F.struct("of", "item")).alias("rarest"))
+    filed = materialize(filed, "url-filed")
+    part = filed.select(F.col("set").alias("part"), "rarest")
+    longer = found.select("set", F.explode("set").alias("rarest")).join(part, "rarest").where(
+        (F.size("part") < F.size("set")) & F.forall("part", lambda t: F.array_contains("set", t))).select("set").distinct()
+    least = found.join(longer, "set", "left_anti").join(filed, "set")
+    # an item stands for each of its tokens: one rule for each choice
+    members = items.groupBy("item").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    placed = least.select("set", "n", "bad", "rarest", F.posexplode("set").alias("at", "item")).join(members, "item")
+    choices = placed.groupBy("set", "n", "bad", "rarest").agg(F.sort_array(F.collect_list(F.struct("at", "tokens"))).alias("c"))
+    start = F.array(F.array().cast("array<string>"))
+    product = F.aggregate("c", start, lambda acc, c: F.flatten(F.transform(acc, lambda a: F.transform(
+        c["tokens"], lambda t: F.concat(a, F.array(t))))))
+    rules = choices.select("n", "bad", F.array_position("set", F.col("rarest")).cast("int").alias("at"), F.explode(product).alias("rule"))
+    return materialize(rules.select(F.array_sort("rule").alias("antecedent"), F.element_at("rule", F.col("at")).alias("rarest"),
+                                    (F.col("bad") / F.col("n")).alias("confidence"), (F.col("bad") / n).alias("support")), "url-rules")
 
 
 def matched_urls(urls: DataFrame, url_col: str, rules: DataFrame) -> DataFrame:
