@@ -1,10 +1,14 @@
 """Main text of web pages by two-pass block rules.
 
 A page is read once into blocks: runs of text between block-level tags, with their words, linked
-characters and stop words, and the container they stand in.  Pass 1 decides each block from link density,
-length, stop-word density and container (menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments are never main text; an ``article`` or ``main`` element speaks for its blocks).  Pass 2
-gives each undecided block the label of the nearest decided block of its container.
+characters, stop words and sentence marks, and the container they stand in.  Pass 1 decides each block from link
+density, length, stop-word density and container.  Menus, headers, footers, sidebars, notices, adverts, forms and
+reader comments are never main text: they are known by their tags and roles, or by the class or id of a container.
+A class of a paragraph or heading itself decides only if the block is short or full of links, never alone
+against prose.  Stop words know four languages; a long block with sentence marks in any script is prose as
+well, and length counts two characters of scripts without blanks as a word.  Pass 2 gives each undecided block the
+label of the nearest decided block of its container; where a page has none, blocks in an ``article`` or ``main``
+element stay, and on pages without such an element those that end like a sentence.
 
 Defined results: a null or blank page has an empty text; unclosed elements end with the page or where a
 block-level tag ends them; character references are decoded, white space inside a block becomes one space;
@@ -27,6 +31,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 MAX_LINK_DENSITY = 0.33
 LONG_WORDS = 10
 GOOD_STOP_DENSITY = 0.15
+MARK_EVERY = 40          # words: prose has a sentence mark in so many
+LETTER_SHARE = 0.6       # of the characters of prose
 
 #: Frequent function words of four languages.
 STOP_WORDS = frozenset(
@@ -50,7 +56,26 @@ BOILER_WORDS = frozenset(
     "notices pagination popup promo promoted related reply replies respond share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar widget".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_NAME_WORDS = re.compile(r"[a-z]+")
+#: Words that name the part of a layout that another word of the same class speaks of.
+LAYOUT_WORDS = frozenset(
+    "area bar block body bottom box col column container content footer group header holder inner item items left line links list "
+    "main module nav outer overlay panel right row section slot text title top unit wrap wrapper".split())
+#: A class of these elements speaks of one block, not of a container.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre td th dd dt figcaption".split())
+#: Marks of sentences in the scripts that use them; the first group ends a sentence.
+SENTENCE_ENDS = ".!?…。！？｡।؟።៕։"
+SENTENCE_MARKS = frozenset(SENTENCE_ENDS + ",;:，、；：،؛")
+_SPACELESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def names_boilerplate(value: str) -> bool:
+    """Whether a class or id names something around the main text: one of its names is such a word, alone or with layout words."""
+    for name in value.lower().split():
+        parts = [w for w in re.split(r"[^a-z]+", name) if w]
+        said = [w for w in parts if w in BOILER_WORDS]
+        if said and (parts[-1] in BOILER_WORDS or all(w in BOILER_WORDS or w in LAYOUT_WORDS for w in parts)):
+            return True
+    return False
 
 
 @dataclass
@@ -58,6 +83,7 @@ class Block:
     container: int          # the nearest article or main element, or 0 for the page
     in_main: bool
     boiler: bool
+    hinted: bool = False    # by the class of the paragraph or heading itself
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -66,15 +92,28 @@ class Block:
         self.text = " ".join(self.words)
         return bool(self.words)
 
+    def length(self) -> int:
+        """In words; two characters of a script without blanks count as one."""
+        spaceless = len(_SPACELESS.findall(self.text))
+        return len(self.words) + spaceless // 2 if spaceless else len(self.words)
+
+    def is_sentence(self) -> bool:
+        return self.text.rstrip("\"')]»”’」』")[-1:] in SENTENCE_ENDS and self.text[-1:] != ""
+
     def decided(self) -> bool | None:
         """Pass 1: main text, not, or open."""
         if self.boiler or self.linked > MAX_LINK_DENSITY * len(self.text):
             return False
-        stops = sum(w.lower().strip(".,;:!?\"'()") in STOP_WORDS for w in self.words)
-        dense = stops >= GOOD_STOP_DENSITY * len(self.words)
-        if len(self.words) >= LONG_WORDS and dense:
-            return True
-        return None if self.in_main or len(self.words) < LONG_WORDS else False
+        long = self.length() >= LONG_WORDS
+        if long:
+            stops = sum(w.lower().strip(".,;:!?\"'()") in STOP_WORDS for w in self.words)
+            if stops >= GOOD_STOP_DENSITY * len(self.words):
+                return True
+            marks = sum(c in SENTENCE_MARKS for c in self.text)
+            letters = sum(c.isalpha() for c in self.text)
+            if marks * MARK_EVERY >= self.length() and letters >= LETTER_SHARE * len(self.text) and self.is_sentence():
+                return True
+        return False if self.hinted and not long else None
 
 
 class PageReader(HTMLParser):
@@ -83,7 +122,7 @@ class PageReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, int]] = []  # (tag, boiler, container) of each open element
+        self.open: list[tuple[str, bool, int, bool]] = []  # (tag, boiler, container, hinted) of each open element
         self.skip = self.links = self.breaks = self.containers = 0
         self.block: Block | None = None
 
@@ -93,7 +132,7 @@ class PageReader(HTMLParser):
         self.block, self.breaks = None, 0
 
     def _pop_to(self, depth: int) -> None:
-        for tag, _, _ in self.open[depth:]:
+        for tag, *_ in self.open[depth:]:
             self.skip -= tag in SKIPPED
             self.links -= tag == "a"
         del self.open[depth:]
@@ -118,7 +157,7 @@ class PageReader(HTMLParser):
                     break
         if tag in VOID:
             return
-        boiler, container = self.open[-1][1:] if self.open else (False, 0)
+        boiler, container, hinted = self.open[-1][1:] if self.open else (False, 0, False)
         if tag in MAIN_TAGS and not boiler:
             self.containers += 1
             container = self.containers
@@ -127,11 +166,15 @@ class PageReader(HTMLParser):
         for name, value in attrs:
             if not value or tag in ("html", "body") or tag in MAIN_TAGS:
                 continue
-            if name in ("class", "id"):
-                boiler = boiler or not BOILER_WORDS.isdisjoint(_NAME_WORDS.findall(value.lower()))
+            if name in ("class", "id") and names_boilerplate(value):
+                own = container and {w for w in re.split(r"[^a-z]+", value.lower()) if w in BOILER_WORDS} <= {"header"}
+                if tag in TEXT_TAGS:
+                    hinted = True
+                elif not own:  # the header of an article is its title
+                    boiler = True
             elif name == "role":
                 boiler = boiler or value.lower() in BOILER_ROLES
-        self.open.append((tag, boiler, container))
+        self.open.append((tag, boiler, container, hinted))
         self.skip += tag in SKIPPED
         self.links += tag == "a"
 
@@ -156,8 +199,8 @@ class PageReader(HTMLParser):
         if self.block is None:
             if data.isspace():
                 return
-            _, boiler, container = self.open[-1] if self.open else ("", False, 0)
-            self.block = Block(container, container > 0, boiler)
+            _, boiler, container, hinted = self.open[-1] if self.open else ("", False, 0, False)
+            self.block = Block(container, container > 0, boiler, hinted)
         self.block.parts.append(data)
         if not data.isspace():
             self.breaks = 0
@@ -173,6 +216,7 @@ class PageReader(HTMLParser):
 def _labels(blocks: list[Block]) -> list[bool]:
     """Pass 2: open blocks take the label of the nearest decided block of their container."""
     first = [b.decided() for b in blocks]
+    has_main = any(b.in_main for b in blocks)
     before: list[tuple[int, bool] | None] = []
     after: list[tuple[int, bool] | None] = [None] * len(blocks)
     last: dict[int, tuple[int, bool]] = {}
@@ -190,7 +234,7 @@ def _labels(blocks: list[Block]) -> list[bool]:
         if first[i] is not None:
             out.append(first[i])
         elif not before[i] and not after[i]:
-            out.append(b.in_main)
+            out.append(b.in_main or not has_main and b.is_sentence())
         elif before[i] and after[i]:
             left, right = i - before[i][0], after[i][0] - i
             out.append(before[i][1] or after[i][1] if left == right else (before[i] if left < right else after[i])[1])
