@@ -442,6 +442,6 @@ def test_weak_view_learns_from_the_strong_one():
     rest = slice(60, 1000)
     accuracy = []
     for rounds in (0, 5):
-        model = quality.co_train([strong[few], weak[few]], y[few], [strong[rest], weak[rest]], rounds)
+        model = quality.co_train([strong[few], weak[few]], y[few], lambda t: quality.confident_sums(t, [strong[rest], weak[rest]]), rounds)
         accuracy.append((((model.views[1].logit(weak[1000:]) > 0) == y[1000:]).mean()))
     assert accuracy[1] > accuracy[0] + 0.03
