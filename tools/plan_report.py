@@ -1,6 +1,6 @@
 """Summarise the executed physical plan of every registered query (after one run, AQE final plans).
 
-usage: python tools/plan_report.py [sf_dir] > PLANS.md
+usage: python tools/plan_report.py [sf_dir [names...]] > PLANS.md
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ MARKERS = {
     "broadcasts": r"BroadcastExchange",
     "windows": r"\bWindow \[",
     "group-limit": r"WindowGroupLimit",
-    "python (arrow)": r"MapInPandas|FlatMapCoGroupsInPandas|FlatMapGroupsInPandas|ArrowEvalPython",
+    "python (arrow)": r"MapInPandas|MapInArrow|FlatMapCoGroupsIn|FlatMapGroupsIn|ArrowEvalPython",
     "python (row udf)": r"BatchEvalPython",
     "cartesian/BNLJ": r"CartesianProduct|BroadcastNestedLoopJoin",
     "scans": r"FileScan|Scan parquet|Scan ExistingRDD",
@@ -36,7 +36,7 @@ def main():
           "exchanges appear only after aggregation to report-sized frames (top-k, one-row reports).\n")
     print("| query | check | " + " | ".join(MARKERS) + " |")
     print("|---|---|" + "---|" * len(MARKERS))
-    for name in sorted(QUERIES):
+    for name in sys.argv[2:] or sorted(QUERIES):
         df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
