@@ -128,17 +128,18 @@ def complete(requests: DataFrame, client_factory: Callable[[], object], prompt_c
     return todo.mapInPandas(run, COMPLETION_SCHEMA)
 
 
-def stored(requests: DataFrame, answers: DataFrame, keys: list[str], prompt_col: str = "prompt") -> DataFrame:
+def stored(requests: DataFrame, answers: DataFrame, keys: list[str], prompt_col: str = "prompt", keep: bool = False) -> DataFrame:
     """Completions of the requests whose answer is stored in ``answers`` (``keys`` and ``text``).
 
     Tokens are estimated from the lengths (4 characters each).  Requests without an answer are not in the
-    result: ``pending`` finds them.  An answer that is null is a failed call.
+    result: ``pending`` finds them.  An answer that is null is a failed call.  ``keep``: the keys stay as columns, as equal
+    prompts (one request id) of different keys may have different answers.
     """
     met = requests.select("request_id", F.length(prompt_col).alias("n"), *keys).join(
         answers.select(*keys, "text"), keys)
     failed = F.col("text").isNull()
     return met.select(
-        "request_id", "text", F.when(failed, 0).otherwise(F.floor((F.col("n") + 3) / 4)).cast("long").alias("input_tokens"),
+        *(keys if keep else []), "request_id", "text", F.when(failed, 0).otherwise(F.floor((F.col("n") + 3) / 4)).cast("long").alias("input_tokens"),
         F.when(failed, 0).otherwise(F.floor(F.length("text") / 4)).cast("long").alias("output_tokens"),
         F.when(failed, "error").otherwise("success").alias("status"),
         F.when(failed, "no answer stored").alias("error"))

@@ -35,8 +35,14 @@ def cluster_prompts(members: DataFrame, template: str = prompts.INSIGHT_TEMPLATE
 
 
 def parse_insights(prompts_df: DataFrame, done: DataFrame, keys=("cluster_id", "chunk")) -> DataFrame:
-    """Completions of insight prompts, parsed (fence variant B); failures stay as error rows."""
-    joined = prompts_df.select(*keys, "request_id").join(done.drop("status", "error"), "request_id")
+    """Completions of insight prompts, parsed (fence variant B); failures stay as error rows.
+
+    One row per prompt: equal prompts share a request id, so the completions are reduced to one per request id (and per
+    key, where ``done`` has one) before they meet the prompts.
+    """
+    by = ["request_id", *[k for k in keys if k in done.columns]]
+    one = done.groupBy(*by).agg(F.max(F.struct("text", "input_tokens", "output_tokens")).alias("c")).select(*by, "c.*")
+    joined = prompts_df.select(*keys, "request_id").join(one, by)
     parsed = responses.parse_responses(joined.withColumn("text", F.coalesce("text", F.lit(""))), "text",
                                        schema=jsonparse.INSIGHT_SCHEMA, fence="b", out="insight")
     return parsed.select(*keys, "request_id", "status", F.col("insight.cluster_name").alias("cluster_name"),
@@ -64,7 +70,8 @@ def cluster_insights(members: DataFrame, answer: Callable[[DataFrame], DataFrame
     ``answer`` maps requests (``prompt``, ``request_id``, cluster, ``chunk``) to completions.  A cluster of up to
     ``max_lines`` aspects is one prompt.  A larger one is answered in parts, and the parts are merged by
     further prompts, level by level, until one answer is left; every level is written to the shared
-    checkpoint folder, so no prompt is answered twice.  A part that failed is an empty line of its merge.
+    checkpoint folder, so no prompt is answered twice.  A part that failed is an empty line of its merge, so clusters whose
+    parts all failed may have equal prompts.  Completions may carry the cluster, where an answer belongs to one.
     """
     keys = (cluster_col, "chunk")
     requests = cluster_prompts(members, max_lines=max_lines, cluster_col=cluster_col, **kw)

@@ -226,7 +226,7 @@ INSIGHT_SQL = cte("v_aspects", "v_insight_answers") + """
 def stored_insights(spark):
     """One insight per cluster from the stored answers; large clusters are answered in parts and merged."""
     answers = spark.table("v_insight_answers")
-    return insights.cluster_insights(aspect_rows(spark), lambda req: completion.stored(req, answers, ["cluster_id"]))
+    return insights.cluster_insights(aspect_rows(spark), lambda req: completion.stored(req, answers, ["cluster_id"], keep=True))
 
 
 @query("cluster_insights", INSIGHT_SQL + """
