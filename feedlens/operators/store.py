@@ -55,8 +55,12 @@ class CompletionStore:
         return requests.join(self.lookup(requests).select("request_id"), "request_id", "left_anti")
 
     def add(self, batch: str, answers: DataFrame) -> None:
-        """Store the answers of a batch; the same batch again replaces what it wrote in the same folders."""
-        (answers.withColumn("prefix", self._prefix()).withColumn("batch", F.lit(batch)).write.mode("overwrite")
+        """Store the answers of a batch; the same batch again replaces what it wrote in the same folders.
+
+        The answers of a prefix meet in one task, so a batch has one file per prefix, whatever the number of tasks.
+        """
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # named, as files take time however little they hold
+        (answers.withColumn("prefix", self._prefix()).repartition(tasks, "prefix").withColumn("batch", F.lit(batch)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("prefix", "batch").parquet(self.answers_path))
 
     def close(self, batch: str) -> tuple[int, int]:
