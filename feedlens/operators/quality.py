@@ -246,13 +246,14 @@ def sample_size(epsilon: float, delta: float, n: int, k: int) -> int:
 
 
 def silhouette_anchors(points: DataFrame, id_col: str, epsilon: float = 0.1, delta: float = 0.1, vec_col: str = "v",
-                       cluster_col: str = "cluster_id", seed: int = 42) -> DataFrame:
+                       cluster_col: str = "cluster_id", seed: int = 42, per_cluster: int = 0) -> DataFrame:
     """(id, cluster, v, weight): anchors of each cluster, drawn with probability in proportion to their importance.
 
     Altieri, Pietracaprina, Pucci and Vandin (2021): a few uniform points of each cluster (about 2 ln(2 k / delta)) bound
     the importance of its points from below: the largest share that a point has in one of their distance sums, and at
     least 1 / size.  A point is drawn with probability min(1, t x importance), t = ``sample_size``, and weighs the
-    inverse.  Draws are seeded hashes of the id.  A cluster with fewer than about t points is taken whole.
+    inverse.  Draws are seeded hashes of the id.  A cluster with fewer than about t points is taken whole.  ``per_cluster``: expected anchors that
+    a cluster has at least, if it has as many points.
     """
     from feedlens.functions.hashing import seeded_key
     pts = points.where(F.col(vec_col).isNotNull()).select(
@@ -274,12 +275,14 @@ def silhouette_anchors(points: DataFrame, id_col: str, epsilon: float = 0.1, del
     sums = sums.groupBy("cid").agg(F.transform(F.sort_array(F.collect_list(F.struct("e", "w"))), lambda x: x["w"]).alias("w"))
     share = F.array_max(F.zip_with("d", "w", lambda d, w: F.when(w > 0, d / w).otherwise(F.lit(0.0))))
     chance = F.least(F.lit(1.0), F.lit(float(t)) * F.greatest(F.lit(1.0) / F.col("size"), F.coalesce(share, F.lit(0.0))))
+    if per_cluster:
+        chance = F.least(F.lit(1.0), F.greatest(chance, F.lit(float(per_cluster)) / F.col("size")))
     drawn = to_few.join(sums, "cid", "left").select("pid", "cid", "v", chance.alias("p"))
     return drawn.where(_uniform(seeded_key(key, seed + 1)) < F.col("p")).select("pid", "cid", "v", (F.lit(1.0) / F.col("p")).alias("weight"))
 
 
 def silhouette_sampled(points: DataFrame, id_col: str, epsilon: float = 0.1, delta: float = 0.1, vec_col: str = "v",
-                       cluster_col: str = "cluster_id", seed: int = 42, block_size: int = 2048) -> DataFrame:
+                       cluster_col: str = "cluster_id", seed: int = 42, block_size: int = 2048, per_cluster: int = 0) -> DataFrame:
     """An estimate of the Euclidean silhouette: every point against the importance-weighted anchors of each cluster.
 
     All N points are scored.  With ``sample_size`` anchors (up to the constant of the published analysis), the estimate is
@@ -291,7 +294,7 @@ def silhouette_sampled(points: DataFrame, id_col: str, epsilon: float = 0.1, del
     ship_package(points.sparkSession)
     pts = points.where(F.col(vec_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("pid"), F.col(cluster_col).cast("long").alias("cid"), vectors.as_double(vec_col).alias("v"))
-    anchors = materialize(silhouette_anchors(points, id_col, epsilon, delta, vec_col, cluster_col, seed), "anchors")
+    anchors = materialize(silhouette_anchors(points, id_col, epsilon, delta, vec_col, cluster_col, seed, per_cluster), "anchors")
     nl, nr = (max(1, math.ceil(df.count() / block_size)) for df in (pts, anchors))
     left = pts.withColumn("_b", F.pmod(F.xxhash64("pid"), F.lit(nl))).withColumn(
         "_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nr - 1).cast("long")))).withColumn(
