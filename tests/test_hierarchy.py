@@ -222,3 +222,24 @@ def test_sweep_of_few_equal_or_no_points(spark):
     assert kmeans.sweep(spark.createDataFrame([], "vec_id long, v array<double>"), "vec_id")[0].count() == 0
     scores, labelled = kmeans.sweep(frame(spark, np.ones((6, 2))), "vec_id")
     assert [r["k"] for r in scores.collect()] == [3] and labelled.count() == 6
+
+
+def test_sweep_ships_points_not_sums_and_passes_have_several_tasks(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 3))
+    packed = kmeans.B.pack_points(frame(spark, x), "vec_id", block=20)
+    assert len(packed.inputFiles()) > 8  # files that small were coalesced into one, so one task did every pass
+    ks = [3, 5]
+    centres = {k: rng.normal(size=(k, 3)) for k in ks}
+    scores = kmeans.silhouettes(kmeans.label_all(packed, centres), ks)
+    assert "CoGroup" not in scores._jdf.queryExecution().toString()
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    for r in scores.collect():
+        own = ((x[:, None] - centres[r["k"]][None]) ** 2).sum(-1).argmin(1)
+        size = np.bincount(own, minlength=r["k"])
+        sums = np.stack([d[:, own == c].sum(1) for c in range(r["k"])], 1)
+        rows = np.arange(len(x))
+        a, mean = sums[rows, own] / (size[own] - 1), sums / size
+        mean[rows, own] = np.inf
+        s = np.where(size[own] > 1, (mean.min(1) - a) / np.maximum(a, mean.min(1)), 0)
+        assert r["silhouette"] == pytest.approx(s.mean(), abs=1e-9)
