@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.session import ship_package
 
+PIECE = 1 << 14   # characters of a document that travel in one row; an Arrow batch has up to 10,000 rows
+
 
 def write_success_jsonl(parsed: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:
     """JSON Lines of successful rows ``{keys…, aspects}`` (K2); Spark's JSON writer is line-delimited."""
@@ -68,32 +72,66 @@ def write_json_document(df: DataFrame, key_col: str, value, path: str, field: st
                         many: str | None = None) -> None:
     """The published form: one document, ``{key: value}`` or ``{"metadata": ..., field: {key: value}}`` (K5, K6).
 
-    One file has one writer: a single task streams the sorted entries and holds one row at a time.  ``many``: a column to order
-    by; the value of a key is then the list of its rows' values.
+    Tasks sort ranges of the entries and turn them into pieces of text; the one file has one writer, which keeps the pieces in a
+    file of its own until it knows their order, and holds one piece at a time.  ``many``: a column to order by; the value of a
+    key is then the list of its rows' values.
     """
     ship_package(df.sparkSession)
     order = [F.col("key"), *([F.col("at")] if many else [])]
     rows = df.select(F.col(key_col).cast("string").alias("key"), F.to_json(value).alias("value"),
                      (F.col(many) if many else F.lit(0)).alias("at"))
-    rows = rows.repartition(1).sortWithinPartitions(*order).select("key", "value")
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "value")
+    ends = "]" if many else ""
+
+    def line(key: str | None, before: str | None, value: str | None) -> str:
+        if many and key == before:
+            return f"    {value}"
+        return f"  {json.dumps(key, ensure_ascii=False)}: {'[' if many else ''}{value}"
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = ["{"] if field is None else ["{", f'  "metadata": {json.dumps(metadata or {})},', f"  {json.dumps(field)}: {{"]
-        now, open_list, held = None, False, None    # the line that waits for its comma
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, out, size, first, now = TaskContext.get().partitionId(), 0, [], 0, None, None
         for batch in batches:
             for key, value in zip(batch.column("key").to_pylist(), batch.column("value").to_pylist()):
-                if held is not None:
-                    last = many and key != now
-                    out.append(held + ("]," if last else ","))
-                held = f"    {value}" if many and key == now else f"  {json.dumps(key, ensure_ascii=False)}: {'[' if many else ''}{value}"
-                now, open_list = key, bool(many)
-            yield pa.RecordBatch.from_pydict({"value": out}, schema=pa.schema([("value", pa.string())]))
-            out = []
-        if held is not None:
-            out.append(held + ("]" if open_list else ""))
-        out += ["}"] if field is None else ["  }", "}"]
-        yield pa.RecordBatch.from_pydict({"value": out}, schema=pa.schema([("value", pa.string())]))
-    rows.mapInArrow(lines, "value string").write.text(path)
+                if size >= PIECE:
+                    yield _piece(part, number, first, now, out)
+                    number, out, size = number + 1, [], 0
+                if out:
+                    out.append(("," if many and key == now else f"{ends},") + "\n" + line(key, now, value))
+                else:
+                    first = key
+                    out.append(str(value))  # its line is begun by the writer, who knows the key before
+                now, size = key, size + len(out[-1])
+        if out:
+            yield _piece(part, number, first, now, out)
+
+    def document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = lambda x: pa.RecordBatch.from_pydict({"value": [x]}, schema=pa.schema([("value", pa.string())]))
+        with tempfile.TemporaryFile() as kept:
+            found = []
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    r = batch.slice(i, 1).to_pylist()[0]
+                    raw = r["text"].encode()
+                    found.append((r["part"], r["number"], r["first"], r["last"], kept.tell(), len(raw)))
+                    kept.write(raw)
+            yield text("{" if field is None else f'{{\n  "metadata": {json.dumps(metadata or {})},\n  {json.dumps(field)}: {{')
+            found.sort(key=lambda r: r[:2])
+            now = None
+            for n, (_, _, first, last, at, size) in enumerate(found):
+                kept.seek(at)
+                following = found[n + 1][2] if n + 1 < len(found) else None
+                end = ends if n + 1 == len(found) else "," if many and following == last else f"{ends},"
+                yield text(line(first, now, kept.read(size).decode()) + end)
+                now = last
+            yield text("}" if field is None else "  }\n}")
+    made = rows.mapInArrow(pieces, "part int, number int, first string, last string, text string")
+    made.repartition(1).mapInArrow(document, "value string").write.text(path)
+
+
+def _piece(part: int, number: int, first: str | None, last: str | None, lines: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(
+        [{"part": part, "number": number, "first": first, "last": last, "text": "".join(lines)}],
+        schema=pa.schema([("part", pa.int32()), ("number", pa.int32()), ("first", pa.string()), ("last", pa.string()), ("text", pa.string())]))
 
 
 def write_comments_csv(comments: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from feedlens import schemas
 from feedlens.functions import jsonparse
 from feedlens.session import materialize
-from feedlens.sources.json_map import keyed_entries
+from feedlens.sources.json_map import keyed_entries, keyed_members
 
 
 def read_comments_csv(spark: SparkSession, path: str, with_id: bool = True) -> DataFrame:
@@ -108,6 +108,11 @@ def read_insights(spark: SparkSession, path: str, lines: bool = False) -> DataFr
 
 def read_clusters(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Clusters file (map id -> aspects) -> long form ``(cluster_id, pos, aspect, sentiment, confidence)``."""
+    if not lines:  # by members: a cluster may be larger than a task can hold
+        name = F.get(F.from_json(F.concat(F.lit('["'), F.col("key"), F.lit('"]')), "array<string>"), F.lit(0))
+        return keyed_members(spark, path).select(
+            name.cast("int").alias("cluster_id"), F.col("pos").cast("int").alias("pos"),
+            F.from_json("text", schemas.CLUSTER_MEMBER).alias("a")).select("cluster_id", "pos", "a.*")
     m = _read_json_map(spark, path, T.ArrayType(schemas.CLUSTER_MEMBER), lines)
     ex = m.select(F.col("key").cast("int").alias("cluster_id"), F.posexplode("v").alias("pos", "a"))
     return ex.select("cluster_id", "pos", "a.*")
