@@ -3,7 +3,7 @@
 A document is the set of its distinct word shingles (64-bit hashes).  Equal sets are one node from the
 start.  The plan:
 
-1. *Counts.*  Each task cuts its documents into shingles and sends them, packed by range of hash, to one
+1. *Counts.*  Each task cuts its documents into shingles, once, and sends the documents' set names and the shingles, packed by range of hash, to one
    reducer per range, which finds in how many distinct sets each shingle occurs.  Shingles of a single set
    can match nothing: they are only counted.  A node keeps its shared shingles, rarest first.
 2. *Prefixes.*  Two sets of sizes n and m with Jaccard likeness t or more share a shingle among the first
@@ -71,31 +71,28 @@ def set_groups(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarra
         yield sizes, (sums[kept[1:]] - sums[kept[:-1]]).astype(np.int64), flat
 
 
-def named_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, node, n): the name of each document's shingle set and its size."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = list(zip(*[(s, n) for s, n, _ in set_groups(batch.column("text"), k)]))
-            sizes, names = (np.concatenate(x) for x in groups) if groups else (np.zeros(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, mask=sizes == 0), pa.array(sizes, pa.int64())],
-                                             ["id", "node", "n"])
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, node bigint, n bigint")
-
-
 def _range_of(shingles: np.ndarray, ranges: int) -> np.ndarray:
     where = ((shingles >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
     return where.astype(np.uint16 if ranges <= 1 << 16 else np.uint32)
 
 
-def shared_shingles(docs: DataFrame, text_col: str, k: int, ranges: int) -> DataFrame:
-    """(node, n, shingle, df) of each shingle that at least two distinct sets hold.
+def shingled(docs: DataFrame, id_col: str, text_col: str, k: int, ranges: int) -> DataFrame:
+    """One pass over the texts: (id, node, n) of each document, its set's name and size, with a null shingle and df, and
+    (node, n, shingle, df) of each shingle that at least two distinct sets hold, with a null id.
 
     Shingles travel as their range and a 32-bit rest, 32 + log2(ranges) bits.  Two that agree there count as one:
     two in different sets add to the overlap of a pair, two in one set lower it.  A text of 1,000 shingles has
     such a pair of its own with a probability of about 5e5 / (ranges x 2**32).
     """
+    packs = [("range", pa.int64()), *[(c, pa.binary()) for c in ("rest", "counts", "nodes", "sizes")]]
+    named = ["id", "node", "n"]
+
+    def both(batch: pa.RecordBatch, kind: pa.DataType) -> pa.RecordBatch:
+        """Packs (ranges 0 and up) and named documents (``ranges`` and up) have the same columns."""
+        every = pa.schema([*packs, ("id", kind), ("node", pa.int64()), ("n", pa.int64())])
+        return pa.RecordBatch.from_arrays([batch.column(f.name) if f.name in batch.schema.names else pa.nulls(batch.num_rows, f.type)
+                                           for f in every], schema=every)
+
     def pack(nodes: list[np.ndarray], sizes: list[np.ndarray], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         node, size = np.concatenate(nodes), np.concatenate(sizes).astype(np.int32)
         at = np.repeat(np.arange(len(node), dtype=np.uint32), size)
@@ -112,13 +109,14 @@ def shared_shingles(docs: DataFrame, text_col: str, k: int, ranges: int) -> Data
             holders, each = mine[new], np.diff(np.flatnonzero(np.append(new, True))).astype(np.uint32)
             rows.append((r, every[cuts[r]:cuts[r + 1]].tobytes(), each.tobytes(), node[holders].tobytes(), size[holders].tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)],
-                                         schema=pa.schema([("range", pa.int64()), ("rest", pa.binary()), ("counts", pa.binary()),
-                                                           ("nodes", pa.binary()), ("sizes", pa.binary())]))
+                                         schema=pa.schema(packs))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, sizes, sets, seen, held = [], [], [], set(), 0
         for batch in batches:
+            kind, of = batch.schema.field("id").type, []
             for size, name, flat in set_groups(batch.column("text"), k):
+                of.append((size, name))
                 new = np.zeros(len(size), bool)
                 for d, (x, n) in enumerate(zip(name.tolist(), size.tolist())):
                     if n and x not in seen:
@@ -129,12 +127,20 @@ def shared_shingles(docs: DataFrame, text_col: str, k: int, ranges: int) -> Data
                 sets.append(flat if new.all() else flat[np.repeat(new, size)])
                 held += len(sets[-1])
                 if held >= FLUSH:
-                    yield from pack(nodes, sizes, sets)
+                    yield from (both(b, kind) for b in pack(nodes, sizes, sets))
                     nodes, sizes, sets, seen, held = [], [], [], set(), 0
+            if batch.num_rows:
+                size, name = (np.concatenate(x) for x in zip(*of))
+                yield both(pa.RecordBatch.from_arrays(
+                    [pa.array(ranges + np.arange(len(size)) % ranges), batch.column("id"), pa.array(name, mask=size == 0),
+                     pa.array(size, pa.int64())], ["range", *named]), kind)
         if held:
-            yield from pack(nodes, sizes, sets)
+            yield from (both(b, kind) for b in pack(nodes, sizes, sets))
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= ranges:
+            none = pa.nulls(len(table), pa.int64())
+            return pa.table({c: table.column(c) for c in named} | {"shingle": none, "df": none})
         whole = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
         rest, counts = whole("rest", np.uint32), whole("counts", np.uint32)
         nodes, sizes = whole("nodes", np.int64), whole("sizes", np.int32)
@@ -147,12 +153,13 @@ def shared_shingles(docs: DataFrame, text_col: str, k: int, ranges: int) -> Data
         df = np.repeat(np.diff(starts, append=len(rest)), np.diff(starts, append=len(rest)))
         some = df >= 2
         shingle = (rest[some] | np.uint64(int(key[0].as_py()) << 32)).astype(np.int64)
-        return pa.table({"node": distinct[holder[some]], "n": n_of[holder[some]], "shingle": shingle,
+        return pa.table({"id": pa.nulls(int(some.sum()), table.schema.field("id").type), "node": distinct[holder[some]], "n": n_of[holder[some]], "shingle": shingle,
                          "df": df[some].astype(np.int64)})
 
-    packed = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(
-        send, "range bigint, rest binary, counts binary, nodes binary, sizes binary")
-    return packed.groupBy("range").applyInArrow(count, "node bigint, n bigint, shingle bigint, df bigint")
+    kind = docs.schema[id_col].dataType.simpleString()
+    packed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(
+        send, f"range bigint, rest binary, counts binary, nodes binary, sizes binary, id {kind}, node bigint, n bigint")
+    return packed.groupBy("range").applyInArrow(count, f"id {kind}, node bigint, n bigint, shingle bigint, df bigint")
 
 
 def _prefix_length(n: Column) -> Column:
@@ -199,14 +206,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         _links(F.col("sa"), F.col("na"), F.col("sb"), F.col("nb"))).select("a", "b")
 
 
-def similar_links(docs: DataFrame, text_col: str = "text", k: int = K) -> tuple[DataFrame, DataFrame]:
-    """(links, components) between names of distinct shingle sets.
+def similar_links(shared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links, components) between names of distinct shingle sets, from (node, n, shingle, df).
 
     ``links``: verified pairs (a, b) that connect each component; ``components``: (node, root).
     """
-    spark = docs.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = shared_shingles(docs, text_col, k, ranges)
     nodes = shared.groupBy("node").agg(F.first("n").alias("n"), F.sort_array(
         F.collect_list(F.struct("df", "shingle"))).alias("by_rarity"))
     s = F.size("by_rarity").cast("long")
@@ -259,8 +263,10 @@ def similar_links(docs: DataFrame, text_col: str = "text", k: int = K) -> tuple[
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """(id, n_shingles, component_id) of every row: the smallest id that links reach."""
-    sets = materialize(named_sets(docs, id_col, text_col, k), "join-sets")
-    _, parts = similar_links(docs, text_col, k)
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = materialize(shingled(docs, id_col, text_col, k, ranges), "join-sets")
+    sets = once.where("shingle is null").select("id", "node", "n")
+    _, parts = similar_links(once.where("shingle is not null").select("node", "n", "shingle", "df"))
     least = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
     rooted = least.join(parts.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select(
         "node", "least", F.coalesce("root", "node").alias("root"))

@@ -445,3 +445,15 @@ def test_weak_view_learns_from_the_strong_one():
         model = quality.co_train([strong[few], weak[few]], y[few], lambda t: quality.confident_sums(t, [strong[rest], weak[rest]]), rounds)
         accuracy.append((((model.views[1].logit(weak[1000:]) > 0) == y[1000:]).mean()))
     assert accuracy[1] > accuracy[0] + 0.03
+
+
+def test_join_cuts_each_text_once(spark):
+    """One pass gives the set names of all documents, ids of any type, and the shared shingles."""
+    docs = spark.createDataFrame([((i, "s"), t) for i, t in enumerate(["a b c d e f", "A b c d e f", "x y", None, "q r s t u v"])],
+                                 "key struct<id:bigint,s:string>, text string")
+    rows = similarity_join.shingled(docs, "key", "text", 5, 4).collect()
+    named = {r["id"]["id"]: (r["node"], r["n"]) for r in rows if r["id"] is not None}
+    assert [named[i][1] for i in range(5)] == [2, 2, 1, 0, 2] and named[3][0] is None and named[0] == named[1]
+    assert all(r["shingle"] is None for r in rows)  # equal texts are one set, so no shingle is shared
+    got = {r["key"]["id"]: r["component_id"]["id"] for r in similarity_join.jaccard_components(docs, "key", "text").collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
