@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from feedlens.operators import hierarchy, kmeans, neighbours
+from feedlens.operators import blocks, clustering, hierarchy, kmeans, neighbours
 
 
 def frame(spark, x, ids=None):
@@ -243,3 +243,53 @@ def test_sweep_ships_points_not_sums_and_passes_have_several_tasks(spark):
         mean[rows, own] = np.inf
         s = np.where(size[own] > 1, (mean.min(1) - a) / np.maximum(a, mean.min(1)), 0)
         assert r["silhouette"] == pytest.approx(s.mean(), abs=1e-9)
+
+
+def test_runs_of_kmeans_move_in_the_same_passes_on_several_tasks(spark):
+    x = np.vstack([blobs([200, 150, 180, 120, 90], spread=2.0, far=2.0, dims=4, seed=8)[0], np.zeros((30, 4))])
+    table = frame(spark, x).select("v").coalesce(1)  # one file of one row group: every pass of a run was one task's work
+    packed = blocks.matrices(table, len(x)).persist()
+    assert packed.getNumPartitions() > 1
+    assert sorted(map(tuple, np.vstack(packed.collect()))) == sorted(map(tuple, x))
+    rng = np.random.default_rng(3)
+    starts = {i: x[rng.choice(len(x), 6, replace=False)] for i in range(4)} | {4: np.vstack([x[:3], np.full((1, 4), 1e6)])}
+    spark.sparkContext.setJobGroup("lloyd", "")
+    got = kmeans.lloyd(packed, starts)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("lloyd")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == max(passes for _, _, passes in got.values())  # each run had jobs of its own
+    for i, centres in starts.items():
+        passes, moved = 0, np.inf
+        while moved > 1e-4:
+            d = ((x[:, None] - centres[None]) ** 2).sum(-1)
+            own, cost = d.argmin(1), d.min(1).sum()
+            new = np.array([x[own == c].mean(0) if (own == c).any() else centres[c] for c in range(len(centres))])
+            moved, centres, passes = np.sqrt(((new - centres) ** 2).sum(1)).max(), new, passes + 1
+        assert np.allclose(got[i][0], centres) and got[i][1] == pytest.approx(cost) and got[i][2] == passes
+    assert {i: (p, c) for i, (_, c, p) in kmeans.lloyd(packed, starts, max_iter=1).items()}.keys() == starts.keys()
+    assert all(p == 0 and c is starts[i] for i, (c, _, p) in kmeans.lloyd(packed, starts, max_iter=0).items())
+    packed.unpersist()
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_kmeans_fit_is_the_best_of_spark_mls_runs(spark, parts):
+    from pyspark.ml.clustering import KMeans
+    x = blobs([150, 120, 90, 60], spread=2.5, far=2.0, dims=5, seed=9)[0]
+    points = frame(spark, x).repartition(parts, "vec_id").cache()
+    fit = clustering.kmeans_fit(points, 5, seed=42, n_init=3)
+    feats = clustering._features(points, "v").select("features").cache()
+    runs = [KMeans(k=5, seed=42 + i, maxIter=300).fit(feats) for i in range(3)]
+    best = min(runs, key=lambda m: m.summary.trainingCost)
+    assert np.allclose(fit.clusterCenters(), best.clusterCenters())
+    assert fit.summary.trainingCost == pytest.approx(best.summary.trainingCost) and fit.summary.numIter == best.summary.numIter
+    labels = [{r["vec_id"]: r["cluster_id"] for r in clustering.assign(m, points).collect()} for m in (fit, best)]
+    assert labels[0] == labels[1] and len(labels[0]) == len(x)
+    assert clustering.assign(fit, points).dtypes == clustering.assign(best, points).dtypes
+    assert clustering.assign(fit, points.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bad", [None, [1.0, float("nan")], [1.0, float("inf")], [1.0, None]])
+def test_kmeans_fit_refuses_vectors_that_are_no_points(spark, bad):
+    points = spark.createDataFrame([(i, v) for i, v in enumerate([[0.0, 1.0], [5.0, 5.0], [0.0, 1.5], bad])], "vec_id long, v array<double>")
+    with pytest.raises(Exception):
+        clustering.kmeans_fit(points, 2, n_init=2)
