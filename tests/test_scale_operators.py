@@ -39,6 +39,42 @@ def test_ward_merges_are_those_of_the_sequential_algorithm(spark, block, last):
     assert sum(r[0] for r in rows) == pytest.approx(((x - x.mean(0)) ** 2).sum())
 
 
+def test_ward_rounds_do_not_grow_with_equal_points_or_chains(spark, monkeypatch):
+    copies = np.repeat(np.random.default_rng(4).integers(-200, 200, (2, 3)).astype(float), 40, 0)
+    x = np.vstack([copies, np.cumsum(np.arange(40.0, 0, -1))[:, None] * np.ones(3)])
+    written, real = [], ward.materialize
+    monkeypatch.setattr(ward, "materialize", lambda df, name: (written.append(name), real(df, name))[1])
+    got = ward.merges(frame(spark, x), "vec_id", block=16, last=8).collect()
+    assert len(written) < 20  # a round for each merge of the copies, or of the chain, wrote several tables
+    expected = sorted((a, b, n) for a, b, _, n in brute_ward(x))
+    assert sorted((r["a"], r["b"], r["size"]) for r in got) == expected
+    assert sum(r["cost"] for r in got) == pytest.approx(((x - x.mean(0)) ** 2).sum())
+
+
+@pytest.mark.parametrize("kind", ["noise", "lattice", "simplex"])
+def test_ward_merges_across_groups_and_beyond_short_lists(spark, monkeypatch, kind):
+    grid = np.stack(np.meshgrid(np.arange(5.0), np.arange(4.0)), -1).reshape(-1, 2)
+    x = {"noise": np.random.default_rng(8).normal(size=(45, 5)), "lattice": grid, "simplex": np.eye(16)}[kind]
+    monkeypatch.setattr(ward, "GROUP_BYTES", 15 * (8 * x.shape[1] + 16 * 3))  # several groups of some 15 clusters
+    monkeypatch.setattr(ward, "MATRIX", 1)
+    monkeypatch.setattr(ward, "NEAR", 3)
+    got = ward.merges(frame(spark, x), "vec_id", block=6, last=8).collect()
+    expected = brute_ward(x)
+    if kind != "simplex":  # there all costs stay equal but for rounding
+        assert sorted((r["a"], r["b"], r["size"]) for r in got) == sorted((a, b, n) for a, b, _, n in expected)
+    assert np.allclose(sorted(r["cost"] for r in got), sorted(e[2] for e in expected))
+    assert len({r["b"] for r in got}) == len(x) - 1 == len(got)
+
+
+def test_ward_of_ids_that_repeat_or_are_null(spark):
+    x = np.random.default_rng(9).normal(size=(30, 3))
+    x[5] = x[4]
+    rows = [(None if i == 20 else i // 2, v.tolist()) for i, v in enumerate(x)]
+    got = ward.merges(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", block=6, last=4).collect()
+    assert len(got) == 29 and sorted(r["cost"] for r in got) == pytest.approx(sorted(e[2] for e in brute_ward(x)))
+    assert [(r["a"], r["b"], r["size"]) for r in got if r["cost"] == 0] == [(2, 2, 2.0)]
+
+
 def test_ward_cut_finds_planted_clusters_and_handles_few_points(spark):
     x, of = blobs([15, 20, 10, 5], spread=0.3, far=10, seed=4)
     got = {r["vec_id"]: r["cluster_id"] for r in ward.ward(frame(spark, x), "vec_id", 4, block=16, last=10).collect()}
