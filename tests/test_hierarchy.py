@@ -218,6 +218,19 @@ def test_sweep_silhouettes_and_costs_are_those_of_its_labels(spark):
         assert got[k] == pytest.approx(np.mean(s), abs=1e-9)
 
 
+def test_sweep_passes_read_points_once_dealt_evenly_to_the_cores(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(600, 3)) + 50
+    packed = kmeans.B.pack_points(frame(spark, x), "vec_id", block=20)
+    seen, real = [], kmeans._moved
+    monkeypatch.setattr(kmeans, "_moved", lambda points, models: (seen.append(points), real(points, models))[1])
+    fitted = kmeans.fit_all(packed, [4, 6], n_init=2)
+    assert all(p is seen[0] for p in seen)  # each pass planned a query that read the table and shuffled its sums
+    held = seen[0].mapPartitions(lambda ms: [sum(len(m) for m in ms)]).collect()
+    assert len(held) == min(spark.sparkContext.defaultParallelism, packed.count()) and sum(held) == 600 and max(held) < 3 * 600 / len(held)
+    for centres, cost, _ in fitted.values():
+        assert cost == pytest.approx(((x[:, None] - centres[None]) ** 2).sum(-1).min(1).sum(), rel=1e-7)
+
+
 def test_sweep_of_few_equal_or_no_points(spark):
     assert kmeans.sweep(spark.createDataFrame([], "vec_id long, v array<double>"), "vec_id")[0].count() == 0
     scores, labelled = kmeans.sweep(frame(spark, np.ones((6, 2))), "vec_id")
